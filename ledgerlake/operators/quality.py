@@ -171,7 +171,7 @@ def _before_parent(df: DataFrame, parent: DataFrame, rule: BeforeParentRule) ->
 def missing_months(series: DataFrame, field: str, first: Column, last: Column) -> DataFrame:
     present = series.select(month_start(F.col(field).try_cast("date")).alias("mes")).distinct()
     expected = series.sparkSession.range(1).select(
-        F.explode(F.sequence(first, last, F.expr("interval 1 month"))).cast("date").alias("mes")
+        F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("mes")
     )
     return expected.join(present, "mes", "left_anti")
 

@@ -25,6 +25,7 @@ def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerlake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
