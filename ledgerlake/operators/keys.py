@@ -66,6 +66,21 @@ def current_rows(dim: DataFrame, flag: str = "eh_registro_atual") -> DataFrame:
     return dim.where(F.col(flag))
 
 
+# Rows a side may hold to be broadcast: a few dozen megabytes at most for narrow rows.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Store a join side and mark it for broadcast if it is small; else leave the join to shuffle.
+
+    Storing it first means that its size is known, not guessed, and that it is
+    not computed again. Runs one job for the checkpoint.
+    """
+    shared_folder(df.sparkSession)
+    kept = df.checkpoint()
+    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+
+
 def hot_keys(fact: DataFrame, key: str, share: float) -> DataFrame:
     """Keys holding more than `share` of the rows. There can be at most 1/share of them."""
     counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import finance
 from ledgerlake.functions.dates import month_label
-from ledgerlake.operators.keys import current_rows
+from ledgerlake.operators.keys import current_rows, small_side
 
 # The status that counts as approved, and the labels of a branch.
 APPROVED = "Aprovada"
@@ -411,17 +411,14 @@ def fraud_totals(frauds: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Exact median of a non-negative decimal per group, without gathering a group anywhere.
 
-    Equal values are merged first, map-side. A monotone bucket of the value (256
-    per doubling, so a few thousand per group) then locates the two middle ranks,
-    and only the values of those buckets are put in order.
+    A monotone bucket of the value (256 per doubling, so a few thousand per
+    group) locates the two middle ranks. A second scan keeps only the values of
+    those buckets, merges equal ones map-side, and puts them in order. Both
+    shuffles are small however many rows a group has.
     """
     bucket = F.floor(F.log2(F.col(value).cast("double") + 1) * 256).alias("_b")
-    merged = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, bucket, value)
-        .agg(F.count("*").alias("_n"))
-    )
-    sizes = merged.groupBy(group, "_b").agg(F.sum("_n").alias("_n"))
+    rows = df.where(F.col(value).isNotNull()).select(group, value, bucket)
+    sizes = rows.groupBy(group, "_b").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(group).orderBy("_b")
     placed = sizes.withColumn("_end", F.sum("_n").over(upto)).withColumn(
         "_all", F.sum("_n").over(Window.partitionBy(group))
@@ -430,8 +427,14 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     start = F.col("_end") - F.col("_n")
     middle = placed.where(
         low.between(start + 1, F.col("_end")) | high.between(start + 1, F.col("_end"))
-    ).select(group, "_b", start.alias("_start"), low.alias("_low"), high.alias("_high"))
-    counted = merged.join(middle, [group, "_b"])
+    ).select(
+        F.col(group).alias("_g"), F.col("_b").alias("_mb"), start.alias("_start"), low.alias("_low"), high.alias("_high")
+    )
+    counted = (
+        rows.join(small_side(middle), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_mb")))
+        .groupBy(group, "_b", "_start", "_low", "_high", value)
+        .agg(F.count("*").alias("_n"))
+    )
     inside = Window.partitionBy(group, "_b").orderBy(value)
     ranked = counted.withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
     first = F.col("_end") - F.col("_n") + 1
@@ -452,7 +455,8 @@ def value_calibration(transactions: DataFrame, kind: str = "nome_transacao", val
         F.count("*").alias("qtd"),
         F.round(F.stddev_pop(F.col(value).cast("double")) + 1, 2).alias("desvio"),
     )
-    return spread.join(exact_median(used, kind, value), kind)
+    middle = exact_median(used, kind, value).withColumnRenamed(kind, "_kind")
+    return spread.join(middle, F.col(kind).eqNullSafe(F.col("_kind"))).drop("_kind")
 
 
 def counts_by(df: DataFrame, column: str) -> DataFrame:

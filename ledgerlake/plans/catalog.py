@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from pyspark.sql.types import DateType, DecimalType, ShortType, TimestampNTZType
 from ledgerlake.operators.dimensions import calendar_of
 from ledgerlake.plans import bank_view, warehouse
 from ledgerlake.plans.oracle import sql
+from ledgerlake.plans.warehouse import StoredTables
 from ledgerlake.session import shared_folder
 
 # The last day of the account data: accounts without an entry are placed on it.
@@ -22,11 +22,11 @@ LAST_DAY = dt.date(2001, 8, 1)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
 
-_BUILT: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_LAYERS: dict[tuple[str, str, str], StoredTables] = {}
 
 
 class Bank:
-    """The supplied folder as a bank: its tables, raw texts, clean tables and stored star schema."""
+    """The supplied folder as a bank: its tables, and the layers stored from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -37,14 +37,6 @@ class Bank:
     def event(self, name: str) -> DataFrame:
         return bank_view.event(self.spark, self.folder, name)
 
-    @cached_property
-    def raw(self) -> bank_view.RawTables:
-        return bank_view.RawTables(self.spark, self.folder)
-
-    def clean(self, name: str) -> DataFrame:
-        """A clean table as a plan over the raw ones, not stored."""
-        return warehouse.silver(self.raw)[name]()
-
     @property
     def root(self) -> str:
         """A folder of this application and input, on storage all executors share."""
@@ -54,6 +46,40 @@ class Bank:
     def scratch(self, name: str) -> str:
         return f"{self.root}/scratch/{name}"
 
+    def _layer(self, name: str, make: Callable[[], StoredTables]) -> StoredTables:
+        """A layer is stored once per application and input, table by table, as it is used."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _LAYERS:
+            _LAYERS[key] = make()
+        return _LAYERS[key]
+
+    @property
+    def raw(self) -> StoredTables:
+        makers = {
+            name: (lambda name=name: bank_view.raw(self.spark, self.folder, name)) for name in bank_view.RAW_SQL
+        }
+        return self._layer("raw", lambda: StoredTables(makers, f"{self.root}/bronze"))
+
+    @property
+    def silver(self) -> StoredTables:
+        return self._layer("silver", lambda: warehouse.silver_layer(self.raw, self.root))
+
+    @property
+    def gold(self) -> StoredTables:
+        return self._layer(
+            "gold",
+            lambda: warehouse.gold_layer(
+                self.raw, self.silver, lambda: self.calendar, self.root, LAST_DAY, all_active=False
+            ),
+        )
+
+    def clean(self, name: str) -> DataFrame:
+        """A clean table as a plan over the raw ones, not stored."""
+        return warehouse.silver(self.raw)[name]()
+
+    def mart(self, name: str) -> DataFrame:
+        return warehouse.mart_views(self.gold)[name]()
+
     @property
     def days(self) -> DataFrame:
         orders = self.table("orders").select(F.col("o_orderdate").cast("date").alias("d"))
@@ -63,21 +89,6 @@ class Bank:
     def calendar(self) -> DataFrame:
         return calendar_of(self.days, "d")
 
-    @property
-    def gold(self) -> dict[str, DataFrame]:
-        """The stored star schema, built once per application and input."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _BUILT:
-            clean = warehouse.build_silver(self.raw, self.root)
-            _BUILT[key] = warehouse.build_gold(
-                self.raw, clean, self.calendar, self.root, LAST_DAY, all_active=False
-            )
-        return _BUILT[key]
-
-    @property
-    def marts(self) -> dict[str, DataFrame]:
-        return warehouse.mart_views(self.gold)
-
 
 def plain(df: DataFrame) -> DataFrame:
     """Amounts as doubles and days as text, so that results compare across engines."""

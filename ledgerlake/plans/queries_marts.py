@@ -27,7 +27,7 @@ _MONTHLY = """
 
 @query("kpi1_balance_by_branch", _PLAIN_BALANCES)
 def kpi1(bank):
-    return bank.marts["kpi1"]
+    return bank.mart("kpi1")
 
 
 @query("kpi2_3_volume_and_mix_by_month", f"""
@@ -36,7 +36,7 @@ def kpi1(bank):
            ano || '-' || lpad(mes::varchar, 2, '0') as ano_mes
     from ({_MONTHLY})""")
 def kpi2_3(bank):
-    return marts.with_month_label(bank.marts["kpi2_3"])
+    return marts.with_month_label(bank.mart("kpi2_3"))
 
 
 @query("kpi3_mix_by_value", f"""
@@ -58,7 +58,7 @@ def kpi3_by_value(bank):
            {pct('count(*)', 'sum(count(*)) over ()')} as pct_status
     from f_propostas group by 1""")
 def kpi4(bank):
-    return bank.marts["kpi4"]
+    return bank.mart("kpi4")
 
 
 @query("kpi5_branch_ranking", f"""
@@ -67,7 +67,7 @@ def kpi4(bank):
            row_number() over (order by k.saldo_total desc, coalesce(v.volume_total, 0) desc, k.cod_agencia) as ranking
     from ({_BALANCES}) k left join ({_VOLUMES}) v using (cod_agencia)""")
 def kpi5(bank):
-    return bank.marts["kpi5"]
+    return bank.mart("kpi5")
 
 
 @query("kpi5_ranking_with_ties", f"""
@@ -95,7 +95,7 @@ def kpi5_with_ties(bank):
                from f_propostas group by 1) p on p.sk_colaborador = o.sk_colaborador
     where o.eh_ativo""")
 def kpi6(bank):
-    return bank.marts["kpi6"]
+    return bank.mart("kpi6")
 
 
 @query("kpi7_client_segments", f"""
@@ -107,7 +107,7 @@ def kpi6(bank):
     group by k.faixa_etaria""")
 def kpi7(bank):
     labels = [label for _, _, label in AGE_BANDS]
-    return bank.marts["kpi7"].withColumn("ordem", marts.band_order("faixa_etaria", labels).cast("int"))
+    return bank.mart("kpi7").withColumn("ordem", marts.band_order("faixa_etaria", labels).cast("int"))
 
 
 @query("kpi8_deflated_volume", f"""
@@ -118,7 +118,7 @@ def kpi7(bank):
           from f_transacoes x join g_tempo t using (sk_tempo) where t.indice_ipca is not null group by all) m,
          (select arg_max(indice_ipca, data) as base from g_tempo where indice_ipca is not null) b""")
 def kpi8(bank):
-    return bank.marts["kpi8"]
+    return bank.mart("kpi8")
 
 
 @query("working_days_per_month", """
@@ -176,7 +176,7 @@ def transactions_against_rate(bank):
 @query("first_branch_per_client", """
     select cod_cliente, arg_min(cod_agencia, num_conta) as cod_agencia from s_contas group by 1""")
 def first_branch_per_client(bank):
-    return marts.first_branch(bank.clean("contas"))
+    return marts.first_branch(bank.silver["contas"])
 
 
 @query("last_quote_of_day", """
@@ -222,7 +222,7 @@ def fraud_totals(bank):
            median((valor_absoluto * 100)::bigint) / 100 as mediana
     from s_transacoes where valor_absoluto > 0 group by 1""")
 def value_calibration(bank):
-    return marts.value_calibration(bank.clean("transacoes"))
+    return marts.value_calibration(bank.silver["transacoes"])
 
 
 @query("event_value_median", """
@@ -297,7 +297,7 @@ def accounts_marked_all_active(bank):
     """The form of the account fact that treats every account as active."""
     gold = bank.gold
     fact = facts.fact_accounts(
-        bank.clean("contas"), gold["dim_tempo"], gold["dim_cliente"], gold["dim_agencia"], gold["dim_colaborador"],
+        bank.silver["contas"], gold["dim_tempo"], gold["dim_cliente"], gold["dim_agencia"], gold["dim_colaborador"],
         F.lit("2001-08-01").cast("date"),
     )
     return marts.balance_by_branch(fact, gold["dim_agencia"], labels=["cod_agencia"]).select(

@@ -160,7 +160,7 @@ def _check(table: str, column: str, test: str, count: str) -> str:
     _check("propostas", "status_proposta", "accepted_values", "select count(*) from s_propostas where status_proposta = 'Em Análise'"),
 ]))
 def column_checks(bank):
-    return quality.column_checks({c.table: bank.clean(c.table) for c in _CHECKS}, _CHECKS)
+    return quality.column_checks(bank.silver, _CHECKS)
 
 
 @query("expectations", """
@@ -175,7 +175,7 @@ def expectations(bank):
         Expectation("saldo nao negativo", "saldo_total >= 0"),
         Expectation("lancamento informado", "data_ultimo_lancamento IS NOT NULL"),
     ]
-    return quality.expectation_report(bank.clean("contas"), rules)
+    return quality.expectation_report(bank.silver["contas"], rules)
 
 
 @query("marts_reconciled", """
@@ -186,12 +186,12 @@ def expectations(bank):
       union all select 'kpi7', 'qtd_clientes', count(*)::double, 'APROVADO' from g_cliente)""")
 def marts_reconciled(bank):
     """Totals of the marts against the same totals taken straight from the facts and dimensions."""
-    views, gold = bank.marts, bank.gold
+    gold = bank.gold
     actual = [
-        quality.totals(views["kpi2_3"], "kpi2_3", {"volume_total": F.sum("volume_total")}),
-        quality.totals(views["kpi4"], "kpi4", {"qtd_propostas": F.sum("qtd_propostas")}),
-        quality.totals(views["kpi5"], "kpi5", {"qtd_agencias": F.count("*")}),
-        quality.totals(views["kpi7"], "kpi7", {"qtd_clientes": F.sum("qtd_clientes")}),
+        quality.totals(bank.mart("kpi2_3"), "kpi2_3", {"volume_total": F.sum("volume_total")}),
+        quality.totals(bank.mart("kpi4"), "kpi4", {"qtd_propostas": F.sum("qtd_propostas")}),
+        quality.totals(bank.mart("kpi5"), "kpi5", {"qtd_agencias": F.count("*")}),
+        quality.totals(bank.mart("kpi7"), "kpi7", {"qtd_clientes": F.sum("qtd_clientes")}),
     ]
     expected = [
         quality.totals(gold["fato_transacoes"], "kpi2_3", {"volume_total": marts.money("valor_absoluto")}),

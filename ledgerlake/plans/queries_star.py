@@ -51,7 +51,7 @@ def dim_client(bank):
     union all
     select cod_cliente, email, idade, faixa_etaria from s_clientes where cod_cliente not in (select cod_cliente from s_sinteticos)""")
 def clients_last_loaded(bank):
-    return dimensions.last_loaded_clients(bank.clean("clientes"), bank.clean("clientes_sinteticos")).select(
+    return dimensions.last_loaded_clients(bank.silver["clientes"], bank.silver["clientes_sinteticos"]).select(
         "cod_cliente", "email", "idade", "faixa_etaria"
     )
 
@@ -75,7 +75,7 @@ def dim_staff(bank):
 
 @query("dim_channel", "select sk_canal, nome_canal, tipo_canal from g_canal")
 def dim_channel(bank):
-    return dimensions.dim_channel(bank.clean("transacoes"))
+    return dimensions.dim_channel(bank.silver["transacoes"])
 
 
 @query("dim_municipality", """
@@ -129,7 +129,7 @@ def clients_with_orders(bank):
 def fact_transactions(bank):
     gold = bank.gold
     return facts.fact_transactions(
-        bank.clean("transacoes"), gold["dim_tempo"], bank.clean("contas"), gold["dim_cliente"],
+        bank.silver["transacoes"], gold["dim_tempo"], bank.silver["contas"], gold["dim_cliente"],
         gold["dim_agencia"], gold["dim_canal"],
     )
 
@@ -143,7 +143,7 @@ def fact_transactions(bank):
 def fact_transactions_unmatched(bank):
     gold = bank.gold
     fact = facts.fact_transactions(
-        bank.clean("transacoes"), gold["dim_tempo"], bank.clean("contas"), gold["dim_cliente"],
+        bank.silver["transacoes"], gold["dim_tempo"], bank.silver["contas"], gold["dim_cliente"],
         gold["dim_agencia"], gold["dim_canal"], keep_unmatched=True,
     )
     return fact.agg(
@@ -276,7 +276,7 @@ def products_sold(bank):
     from s_transacoes where canal in ('Pix', 'TED', 'DOC', 'Pagamento Boleto', 'Saque') group by 1""")
 def channel_seed_used(bank):
     """Transactions whose channel the seeded channel dimension knows."""
-    used = marts.counts_by(bank.clean("transacoes").withColumnRenamed("canal", "nome_canal"), "nome_canal")
+    used = marts.counts_by(bank.silver["transacoes"].withColumnRenamed("canal", "nome_canal"), "nome_canal")
     return used.join(dimensions.dim_channel_seed(bank.spark), "nome_canal").select(
         "nome_canal", "tipo_canal", "eh_digital", "qtd"
     )

@@ -70,7 +70,7 @@ def events_appended_and_compacted(bank):
     select status_proposta, count(*) as qtd_propostas, sum(valor_proposta)::double as valor_total_proposto from f_propostas group by 1""")
 def answers_as_json(bank):
     path = bank.scratch("kpi4_json")
-    writers.write_json(bank.marts["kpi4"].select("status_proposta", "qtd_propostas", "valor_total_proposto"), path)
+    writers.write_json(bank.mart("kpi4").select("status_proposta", "qtd_propostas", "valor_total_proposto"), path)
     return bank.spark.read.schema("status_proposta string, qtd_propostas bigint, valor_total_proposto decimal(38,2)").json(path)
 
 

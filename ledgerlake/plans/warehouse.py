@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,39 @@ Tables = Mapping[str, DataFrame]
 Makers = dict[str, Callable[[], DataFrame]]
 
 
+class StoredTables(Mapping):
+    """Tables of one layer, each written when first asked for and read back from then on.
+
+    A stored table cuts the lineage, survives lost executors, and gives the next
+    layer real sizes to plan with.
+    """
+
+    def __init__(self, makers: Makers, root: str, partitioned: dict[str, list[str]] | None = None):
+        self._makers, self._root, self._partitioned = makers, root, partitioned or {}
+        self._stored: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in makers}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        with self._locks[name]:
+            if name not in self._stored:
+                self._stored[name] = overwrite(
+                    self._makers[name](), f"{self._root}/{name}", self._partitioned.get(name, ())
+                )
+            return self._stored[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def build(self, workers: int = 8) -> StoredTables:
+        """Write every table, several at a time; one that needs another waits for it."""
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            list(pool.map(self.__getitem__, self._makers))
+        return self
+
+
 def silver(raw: Tables, as_of: dt.date = REFERENCE_DAY) -> Makers:
     """How to make each clean table; nothing is planned until one is called."""
     return {
@@ -51,77 +85,47 @@ def enriched_calendar(cal: DataFrame, raw: Tables) -> DataFrame:
     return dimensions.with_holidays(cal, raw["feriados"])
 
 
-def _written(makers: Makers, root: str, partitioned: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
-    """Write every table of a layer, several at a time, and read them back."""
-    partitioned = partitioned or {}
-
-    def write(item: tuple[str, Callable[[], DataFrame]]) -> tuple[str, DataFrame]:
-        name, make = item
-        return name, overwrite(make(), f"{root}/{name}", partitioned.get(name, ()))
+def silver_layer(raw: Tables, root: str, as_of: dt.date = REFERENCE_DAY) -> StoredTables:
+    return StoredTables(silver(raw, as_of), f"{root}/silver")
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        return dict(pool.map(write, makers.items()))
 
-
-def build_silver(raw: Tables, root: str, as_of: dt.date = REFERENCE_DAY) -> dict[str, DataFrame]:
-    return _written(silver(raw, as_of), f"{root}/silver")
-
-
-def build_gold(
+def gold_layer(
     raw: Tables,
     clean: Tables,
-    cal: DataFrame,
+    cal: Callable[[], DataFrame],
     root: str,
     as_of: dt.date = REFERENCE_DAY,
     all_active: bool = True,
     partition_facts: bool = True,
-) -> dict[str, DataFrame]:
-    """Dimensions, then facts. Large facts are laid out by month, for partition pruning."""
-    gold = f"{root}/gold"
-    base = _written(
-        {
-            "dim_tempo": lambda: enriched_calendar(cal, raw),
-            "dim_municipio": lambda: dimensions.dim_municipality(
-                raw["municipios"], raw["populacao"], raw["pib_municipal"]
-            ),
-            "dim_canal": lambda: dimensions.dim_channel(clean["transacoes"]),
-        },
-        gold,
-    )
-    places = base["dim_municipio"]
-    people = _written(
-        {
-            "dim_agencia": lambda: dimensions.link_municipality(
-                dimensions.dim_branch(clean["agencias"]), places
-            ),
-            "dim_cliente": lambda: dimensions.link_municipality(
-                dimensions.dim_client(clean["clientes"], clean["clientes_sinteticos"]), places
-            ),
-        },
-        gold,
-    )
-    staff = _written(
-        {"dim_colaborador": lambda: dimensions.dim_staff(clean["colaboradores"], people["dim_agencia"])}, gold
-    )
-    dims = base | people | staff
-    built = _written(
-        {
-            "fato_transacoes": lambda: facts.fact_transactions(
-                clean["transacoes"], dims["dim_tempo"], clean["contas"],
-                dims["dim_cliente"], dims["dim_agencia"], dims["dim_canal"],
-            ).withColumn("ano_mes", _month_of_key(dims["dim_tempo"])),
-            "fato_contas": lambda: facts.fact_accounts(
-                clean["contas"], dims["dim_tempo"], dims["dim_cliente"], dims["dim_agencia"],
-                dims["dim_colaborador"], as_of, all_active,
-            ),
-            "fato_propostas_credito": lambda: facts.fact_proposals(
-                raw["propostas_credito"], dims["dim_tempo"], dims["dim_cliente"], dims["dim_colaborador"]
-            ),
-        },
-        gold,
-        {"fato_transacoes": ["ano_mes"]} if partition_facts else {},
-    )
-    return dims | built
+) -> StoredTables:
+    """Dimensions and facts. The transaction fact is laid out by month, for partition pruning."""
+    makers: Makers = {
+        "dim_tempo": lambda: enriched_calendar(cal(), raw),
+        "dim_municipio": lambda: dimensions.dim_municipality(
+            raw["municipios"], raw["populacao"], raw["pib_municipal"]
+        ),
+        "dim_canal": lambda: dimensions.dim_channel(clean["transacoes"]),
+        "dim_agencia": lambda: dimensions.link_municipality(
+            dimensions.dim_branch(clean["agencias"]), layer["dim_municipio"]
+        ),
+        "dim_cliente": lambda: dimensions.link_municipality(
+            dimensions.dim_client(clean["clientes"], clean["clientes_sinteticos"]), layer["dim_municipio"]
+        ),
+        "dim_colaborador": lambda: dimensions.dim_staff(clean["colaboradores"], layer["dim_agencia"]),
+        "fato_transacoes": lambda: facts.fact_transactions(
+            clean["transacoes"], layer["dim_tempo"], clean["contas"],
+            layer["dim_cliente"], layer["dim_agencia"], layer["dim_canal"],
+        ).withColumn("ano_mes", _month_of_key(layer["dim_tempo"])),
+        "fato_contas": lambda: facts.fact_accounts(
+            clean["contas"], layer["dim_tempo"], layer["dim_cliente"], layer["dim_agencia"],
+            layer["dim_colaborador"], as_of, all_active,
+        ),
+        "fato_propostas_credito": lambda: facts.fact_proposals(
+            raw["propostas_credito"], layer["dim_tempo"], layer["dim_cliente"], layer["dim_colaborador"]
+        ),
+    }
+    layer = StoredTables(makers, f"{root}/gold", {"fato_transacoes": ["ano_mes"]} if partition_facts else {})
+    return layer
 
 
 def _month_of_key(cal: DataFrame):
@@ -130,27 +134,37 @@ def _month_of_key(cal: DataFrame):
     return F.date_format(F.date_add(first, F.col("sk_tempo") - 1), "yyyy-MM")
 
 
-def mart_views(gold: Tables) -> dict[str, DataFrame]:
-    """The marts, as plans over the stored facts."""
-    tx, contas, props = gold["fato_transacoes"], gold["fato_contas"], gold["fato_propostas_credito"]
-    cal, branches = gold["dim_tempo"], gold["dim_agencia"]
-    balances = marts.balance_by_branch(contas, branches)
-    per_branch = marts.volume_by(tx, ["sk_agencia"]).join(branches.select("sk_agencia", "cod_agencia"), "sk_agencia")
+def mart_views(gold: Tables) -> Makers:
+    """How to make each mart, as a plan over the stored facts."""
+
+    def balances() -> DataFrame:
+        return marts.balance_by_branch(gold["fato_contas"], gold["dim_agencia"])
+
+    def volumes() -> DataFrame:
+        codes = gold["dim_agencia"].select("sk_agencia", "cod_agencia")
+        return marts.volume_by(gold["fato_transacoes"], ["sk_agencia"]).join(codes, "sk_agencia")
+
     return {
         "kpi1": balances,
-        "kpi2_3": marts.mix_by_month(tx, cal),
-        "kpi4": marts.share_by_status(props),
-        "kpi5": marts.branch_ranking(balances, per_branch),
-        "kpi6": marts.staff_portfolio(gold["dim_colaborador"], branches, contas, props),
-        "kpi7": marts.client_segments(gold["dim_cliente"], contas),
-        "kpi8": marts.deflated_volume(tx, cal),
+        "kpi2_3": lambda: marts.mix_by_month(gold["fato_transacoes"], gold["dim_tempo"]),
+        "kpi4": lambda: marts.share_by_status(gold["fato_propostas_credito"]),
+        "kpi5": lambda: marts.branch_ranking(balances(), volumes()),
+        "kpi6": lambda: marts.staff_portfolio(
+            gold["dim_colaborador"], gold["dim_agencia"], gold["fato_contas"], gold["fato_propostas_credito"]
+        ),
+        "kpi7": lambda: marts.client_segments(gold["dim_cliente"], gold["fato_contas"]),
+        "kpi8": lambda: marts.deflated_volume(gold["fato_transacoes"], gold["dim_tempo"]),
     }
 
 
-def from_raw_to_marts(
-    raw: Tables, cal: DataFrame, root: str, as_of: dt.date = REFERENCE_DAY, partition_facts: bool = True
+def build_warehouse(
+    raw: Tables,
+    cal: Callable[[], DataFrame],
+    root: str,
+    as_of: dt.date = REFERENCE_DAY,
+    all_active: bool = True,
 ) -> dict[str, DataFrame]:
-    """Everything, in order. Returns the marts; all layers are under `root`."""
-    clean = build_silver(raw, root)
-    return mart_views(build_gold(raw, clean, cal, root, as_of, partition_facts=partition_facts))
-
+    """Every layer, written under `root`, and the marts over it."""
+    clean = silver_layer(raw, root).build()
+    gold = gold_layer(raw, clean, cal, root, as_of, all_active).build()
+    return {name: make() for name, make in mart_views(gold).items()}
