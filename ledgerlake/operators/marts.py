@@ -222,7 +222,8 @@ def client_segments(clients: DataFrame, accounts: DataFrame, band: str = "faixa_
         .join(held, "sk_cliente", "left")
         .groupBy(band)
         .agg(
-            F.count_distinct("sk_cliente").alias("qtd_clientes"),
+            # The join leaves one row per client, so rows are clients.
+            F.count("*").alias("qtd_clientes"),
             F.sum("_total").cast("decimal(38,2)").alias("saldo_total"),
             F.sum("_n").alias("_n"),
             F.coalesce(F.sum("_contas"), F.lit(0)).alias("qtd_contas"),
@@ -260,7 +261,7 @@ def clients_by_municipality(
         .join(spent, "sk_cliente", "left")
         .groupBy("sk_municipio")
         .agg(
-            F.count_distinct("sk_cliente").alias("qtd_clientes"),
+            F.count("*").alias("qtd_clientes"),
             F.sum("_total").cast("decimal(38,2)").alias("volume_transacoes"),
             F.sum("_n").alias("_n"),
         )

@@ -53,6 +53,14 @@ class Bank:
             _LAYERS[key] = make()
         return _LAYERS[key]
 
+    def _warehouse(self) -> StoredTables:
+        """Store all layers, several tables at a time; the marts need most of them."""
+        self.raw.build()
+        clean = self.silver.build()
+        return warehouse.gold_layer(
+            self.raw, clean, lambda: self.calendar, self.root, LAST_DAY, all_active=False
+        ).build()
+
     @property
     def raw(self) -> StoredTables:
         makers = {
@@ -66,12 +74,7 @@ class Bank:
 
     @property
     def gold(self) -> StoredTables:
-        return self._layer(
-            "gold",
-            lambda: warehouse.gold_layer(
-                self.raw, self.silver, lambda: self.calendar, self.root, LAST_DAY, all_active=False
-            ),
-        )
+        return self._layer("gold", self._warehouse)
 
     def clean(self, name: str) -> DataFrame:
         """A clean table as a plan over the raw ones, not stored."""

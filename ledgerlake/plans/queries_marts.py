@@ -8,6 +8,7 @@ from ledgerlake.functions import finance
 from ledgerlake.functions import text as t
 from ledgerlake.functions.rules import AGE_BANDS
 from ledgerlake.operators import facts, marts
+from ledgerlake.plans import warehouse
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.oracle import avg_money, cents, money, pct, ratio
 
@@ -98,6 +99,26 @@ def kpi6(bank):
     return bank.mart("kpi6")
 
 
+@query("top_staff_report", """
+    select o.cod_colaborador, c.saldo::double as saldo_gerido
+    from g_colaborador o join (select sk_colaborador, sum(saldo_total) as saldo from f_contas where computed_flag group by 1) c using (sk_colaborador)
+    where o.eh_ativo order by c.saldo desc, o.cod_colaborador limit 20""")
+def top_staff_report(bank):
+    return warehouse.report(bank.gold, "kpi6", 20).where("qtd_contas_geridas > 0").select("cod_colaborador", "saldo_gerido")
+
+
+@query("views_over_views", f"""
+    select k.uf, count(*) as agencias, sum(k.saldo_total)::double as saldo, sum(v.volume_total)::double as volume
+    from ({_BALANCES}) k join ({_VOLUMES}) v using (cod_agencia) group by 1""")
+def views_over_views(bank):
+    """SQL over the published marts."""
+    warehouse.publish_marts(bank.gold)
+    return bank.spark.sql(
+        "select k.uf, count(*) as agencias, sum(k.saldo_total) as saldo, sum(r.volume_total) as volume "
+        "from mart_kpi1 k join mart_kpi5 r on r.cod_agencia = k.cod_agencia group by k.uf"
+    )
+
+
 @query("kpi7_client_segments", f"""
     select k.faixa_etaria, count(distinct k.sk_cliente) as qtd_clientes,
            {avg_money('sum(c.saldo_total)', 'count(c.saldo_total)')} as saldo_medio, {money('c.saldo_total')} as saldo_total,

@@ -12,12 +12,13 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.dates import REFERENCE_DAY
+from ledgerlake.functions.rules import AGE_BANDS
 from ledgerlake.operators import cleaning, dimensions, facts, marts
-from ledgerlake.sources.writers import overwrite
+from ledgerlake.sources.writers import overwrite, publish_view
 
 Tables = Mapping[str, DataFrame]
 Makers = dict[str, Callable[[], DataFrame]]
@@ -157,6 +158,30 @@ def mart_views(gold: Tables) -> Makers:
     }
 
 
+# How each mart is ordered when it is shown.
+REPORT_ORDER: dict[str, list[Callable[[], Column]]] = {
+    "kpi1": [lambda: F.desc("saldo_total")],
+    "kpi2_3": [lambda: F.asc("ano"), lambda: F.asc("mes"), lambda: F.desc("volume_total")],
+    "kpi4": [lambda: F.desc("qtd_propostas")],
+    "kpi5": [lambda: F.asc("ranking")],
+    "kpi6": [lambda: F.desc_nulls_last("saldo_gerido"), lambda: F.asc("cod_colaborador")],
+    "kpi7": [lambda: marts.band_order("faixa_etaria", [label for _, _, label in AGE_BANDS])],
+    "kpi8": [lambda: F.asc("ano"), lambda: F.asc("mes")],
+}
+
+
+def report(gold: Tables, name: str, rows: int | None = None) -> DataFrame:
+    """A mart in its usual order; `rows` keeps the top of it."""
+    ordered = mart_views(gold)[name]().orderBy(*[key() for key in REPORT_ORDER[name]])
+    return ordered if rows is None else ordered.limit(rows)
+
+
+def publish_marts(gold: Tables) -> None:
+    """Every mart as a temporary view: mart_kpi1, mart_kpi2_3 and so on."""
+    for name, make in mart_views(gold).items():
+        publish_view(make(), f"mart_{name}")
+
+
 def build_warehouse(
     raw: Tables,
     cal: Callable[[], DataFrame],

@@ -35,7 +35,8 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
             .partitionBy(*partition_by)
         )
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known, so no job has to read it back from the files.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def save_table(df: DataFrame, name: str) -> DataFrame:
