@@ -24,6 +24,9 @@ class Lookup:
 
     `natural` and `surrogate` are columns of the dimension; `fact_key` is the
     fact column (or expression) to match and `name` the key's name in the fact.
+    `bounded` says that the dimension cannot grow with the data (a calendar, a
+    list of channels or products), so its two key columns may be broadcast
+    without looking at estimates.
     """
 
     dim: DataFrame
@@ -33,6 +36,7 @@ class Lookup:
     how: str = "inner"
     name: str | None = None
     hot_share: float | None = None
+    bounded: bool = False
 
 
 def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Column]) -> DataFrame:
@@ -42,6 +46,8 @@ def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Co
         name, probe = look.name or look.surrogate, f"_probe{i}"
         expression = F.col(look.fact_key) if isinstance(look.fact_key, str) else look.fact_key
         side = look.dim.select(F.col(look.natural).alias(probe), F.col(look.surrogate).alias(name))
+        if look.bounded:
+            side = F.broadcast(side)
         fact = lookup(fact.withColumn(probe, expression), side, probe, look.how, look.hot_share)
         keys.append(name)
     return fact.select(*keys, *measures)
@@ -81,8 +87,8 @@ def fact_transactions(
     return build_fact(
         owned,
         [
-            Lookup(cal, "data", "sk_tempo", F.col("data_transacao").cast("date"), how),
-            Lookup(channels, "nome_canal", "sk_canal", "canal", "left"),
+            Lookup(cal, "data", "sk_tempo", F.col("data_transacao").cast("date"), how, bounded=True),
+            Lookup(channels, "nome_canal", "sk_canal", "canal", "left", bounded=True),
         ],
         [
             "sk_cliente",
@@ -112,7 +118,7 @@ def fact_accounts(
     return build_fact(
         accounts,
         [
-            Lookup(cal, "data", "sk_tempo", last_day),
+            Lookup(cal, "data", "sk_tempo", last_day, bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
             Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia"),
             Lookup(staff, "cod_colaborador", "sk_colaborador", "cod_colaborador", "left"),
@@ -127,7 +133,7 @@ def fact_proposals(raw: DataFrame, cal: DataFrame, clients: DataFrame, staff: Da
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", t.to_day("data_entrada_proposta"), name="sk_tempo_entrada"),
+            Lookup(cal, "data", "sk_tempo", t.to_day("data_entrada_proposta"), name="sk_tempo_entrada", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", t.to_whole("cod_cliente")),
             Lookup(staff, "cod_colaborador", "sk_colaborador", t.to_whole("cod_colaborador"), "left"),
         ],
@@ -151,9 +157,9 @@ def fact_investments(
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_aplicacao"),
+            Lookup(cal, "data", "sk_tempo", "data_aplicacao", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
         ],
         [
             "id_investimento",
@@ -170,9 +176,9 @@ def fact_cards(source: DataFrame, cal: DataFrame, clients: DataFrame, products:
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "mes_referencia"),
+            Lookup(cal, "data", "sk_tempo", "mes_referencia", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
         ],
         [
             "id_fatura",
@@ -188,9 +194,9 @@ def fact_insurance(source: DataFrame, cal: DataFrame, clients: DataFrame, produc
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_inicio"),
+            Lookup(cal, "data", "sk_tempo", "data_inicio", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
         ],
         ["num_apolice", "data_inicio", "data_fim", "valor_segurado", "premio_mensal", "status_apolice"],
     )
@@ -200,7 +206,7 @@ def fact_arrears(source: DataFrame, cal: DataFrame, clients: DataFrame) -> DataF
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_referencia"),
+            Lookup(cal, "data", "sk_tempo", "data_referencia", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
         ],
         [
@@ -217,9 +223,9 @@ def fact_frauds(source: DataFrame, cal: DataFrame, clients: DataFrame, channels:
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", F.col("data_ocorrencia").cast("date")),
+            Lookup(cal, "data", "sk_tempo", F.col("data_ocorrencia").cast("date"), bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(channels, "nome_canal", "sk_canal", "canal", "left"),
+            Lookup(channels, "nome_canal", "sk_canal", "canal", "left", bounded=True),
         ],
         [
             "id_fraude",
@@ -235,9 +241,9 @@ def fact_revenue(source: DataFrame, cal: DataFrame, branches: DataFrame, product
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data"),
+            Lookup(cal, "data", "sk_tempo", "data", bounded=True),
             Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto", "left"),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto", "left", bounded=True),
         ],
         [
             "tipo_receita",

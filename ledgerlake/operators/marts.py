@@ -89,6 +89,15 @@ def branch_ranking(
 # ------------------------------------------------------------------ volumes
 
 
+def daily_volume(transactions: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Count and volume per calendar day and key: what the monthly marts join to the calendar.
+
+    The fact is reduced map-side here, so the calendar meets one row per day and
+    key and the fact itself is never shuffled for a join.
+    """
+    return volume_by(transactions, ["sk_tempo", *keys])
+
+
 def mix_by_month(
     transactions: DataFrame, cal: DataFrame, kind: str = "nome_transacao", weight: str = "count"
 ) -> DataFrame:
@@ -97,9 +106,10 @@ def mix_by_month(
     `weight` says whether the share is of the count or of the value.
     """
     monthly = (
-        transactions.join(cal.select("sk_tempo", "ano", "mes", "mes_nome"), "sk_tempo")
+        daily_volume(transactions, [kind])
+        .join(cal.select("sk_tempo", "ano", "mes", "mes_nome"), "sk_tempo")
         .groupBy("ano", "mes", "mes_nome", kind)
-        .agg(F.count("*").alias("qtd_transacoes"), money(F.abs("valor_transacao")).alias("volume_total"))
+        .agg(F.sum("qtd_transacoes").alias("qtd_transacoes"), money("volume_total").alias("volume_total"))
     )
     part = "qtd_transacoes" if weight == "count" else "volume_total"
     # The window sees one row per month and type.
@@ -119,9 +129,10 @@ def deflated_volume(transactions: DataFrame, cal: DataFrame, index: str = "indic
     priced = cal.where(F.col(index).isNotNull())
     base = priced.agg(F.max_by(index, "data")).scalar()
     monthly = (
-        transactions.join(priced.select("sk_tempo", "ano", "mes", "mes_nome", index), "sk_tempo")
+        daily_volume(transactions)
+        .join(priced.select("sk_tempo", "ano", "mes", "mes_nome", index), "sk_tempo")
         .groupBy("ano", "mes", "mes_nome", F.col(index).alias("indice_mes"))
-        .agg(money(F.abs("valor_transacao")).alias("volume_nominal"))
+        .agg(money("volume_total").alias("volume_nominal"))
         .withColumn("indice_base", base)
     )
     month_index = F.nullif("indice_mes", F.lit(0).cast("decimal(10,2)"))
@@ -282,22 +293,11 @@ def clients_by_municipality(
 
 def credit_by_region(municipalities: DataFrame, clients: DataFrame, proposals: DataFrame) -> DataFrame:
     """Proposals and approval rate of each region and state, beside its product per head."""
-    per_client = (
-        proposals.groupBy("sk_cliente", "cod_proposta")
-        .agg(
-            F.count("*").alias("_rows"),
-            F.max((F.col("status_proposta") == APPROVED).cast("int")).alias("_ok"),
-            F.sum("valor_proposta").alias("_value"),
-            F.count("valor_proposta").alias("_n"),
-        )
-        .groupBy("sk_cliente")
-        .agg(
-            F.sum("_rows").alias("_rows"),
-            F.count("*").alias("_proposals"),
-            F.sum("_ok").alias("_ok"),
-            money("_value").alias("_value"),
-            F.sum("_n").alias("_n"),
-        )
+    per_client = proposals.groupBy("sk_cliente").agg(
+        F.count("*").alias("_rows"),
+        F.count_if(F.col("status_proposta") == APPROVED).alias("_ok"),
+        money("valor_proposta").alias("_value"),
+        F.count("valor_proposta").alias("_n"),
     )
     gdp = F.col("pib_per_capita")
     return (
@@ -309,7 +309,7 @@ def credit_by_region(municipalities: DataFrame, clients: DataFrame, proposals: D
             # The average runs over proposal rows, so each municipality weighs by its rows.
             F.sum(gdp * F.col("_rows")).alias("_gdp"),
             F.sum(F.when(gdp.isNotNull(), F.col("_rows"))).alias("_gdp_rows"),
-            F.sum("_proposals").alias("qtd_propostas"),
+            F.sum("_rows").alias("qtd_propostas"),
             F.sum("_ok").alias("propostas_aprovadas"),
             money("_value").alias("_value"),
             F.sum("_n").alias("_n"),
@@ -346,7 +346,9 @@ def working_days(cal: DataFrame) -> DataFrame:
 
 
 def transactions_in_dollars(transactions: DataFrame, cal: DataFrame) -> DataFrame:
-    return transactions.join(cal.select("sk_tempo", "data", "cotacao_dolar"), "sk_tempo").select(
+    # One row per day: small enough to broadcast whatever the fact's size.
+    quoted = F.broadcast(cal.select("sk_tempo", "data", "cotacao_dolar"))
+    return transactions.join(quoted, "sk_tempo").select(
         "cod_transacao",
         "data",
         "valor_transacao",
@@ -357,7 +359,7 @@ def transactions_in_dollars(transactions: DataFrame, cal: DataFrame) -> DataFram
 
 def transactions_against_rate(transactions: DataFrame, cal: DataFrame) -> DataFrame:
     """Daily rate and what each amount would have earned that day; days without a rate drop out."""
-    rated = cal.where("taxa_selic IS NOT NULL").select("sk_tempo", "data", "taxa_selic")
+    rated = F.broadcast(cal.where("taxa_selic IS NOT NULL").select("sk_tempo", "data", "taxa_selic"))
     return transactions.join(rated, "sk_tempo").select(
         "cod_transacao",
         "data",

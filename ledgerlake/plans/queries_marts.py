@@ -166,9 +166,8 @@ def clients_by_municipality(bank):
 
 @query("credit_by_region", f"""
     select m.regiao, m.uf, {avg_money('sum(m.pib_per_capita)', 'count(m.pib_per_capita)')} as pib_per_capita_medio,
-           count(distinct p.cod_proposta) as qtd_propostas,
-           count(distinct p.cod_proposta) filter (where p.status_proposta = 'Aprovada') as propostas_aprovadas,
-           {pct("count(distinct p.cod_proposta) filter (where p.status_proposta = 'Aprovada')", 'count(distinct p.cod_proposta)')} as taxa_aprovacao_pct,
+           count(*) as qtd_propostas, count(*) filter (where p.status_proposta = 'Aprovada') as propostas_aprovadas,
+           {pct("count(*) filter (where p.status_proposta = 'Aprovada')", 'count(*)')} as taxa_aprovacao_pct,
            {avg_money('sum(p.valor_proposta)', 'count(p.valor_proposta)')} as valor_medio_solicitado
     from g_municipio m join g_cliente k on k.sk_municipio = m.sk_municipio join f_propostas p on p.sk_cliente = k.sk_cliente
     group by m.regiao, m.uf""")
