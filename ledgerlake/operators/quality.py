@@ -204,7 +204,7 @@ def audit(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
             gaps = day_gaps(df, rule.field, rule.days)
             parts.append(_audit_row(gaps.agg(F.count("*").alias("n")), rule))
     parts += [_row_rules(tables[name], group) for name, group in by_table.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 def scorecard(log: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def column_checks(tables: dict[str, DataFrame], checks: Sequence[ColumnCheck]) -
             for i, (c, _) in enumerate(pairs)
         ]
         parts.append(counts.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 def _check_row(counted: DataFrame, check: ColumnCheck) -> DataFrame:

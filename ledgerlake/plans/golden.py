@@ -60,7 +60,7 @@ def actual_totals(marts: dict[str, DataFrame]) -> DataFrame:
         bands,
         totals(marts["kpi8"], "kpi8", {"qtd_meses": F.count("*"), "volume_nominal": F.sum("volume_nominal")}),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 def golden_check(marts: dict[str, DataFrame], expected: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

@@ -61,7 +61,7 @@ def clients_last_loaded(bank):
            meta_comercial_mensal::double as meta_comercial_mensal, latitude::double as latitude, longitude::double as longitude,
            sk_municipio from g_agencia""")
 def dim_branch(bank):
-    return bank.gold["dim_agencia"].drop("eh_ativa")
+    return bank.gold["dim_agencia"].drop("eh_ativa", "_carga_ts")
 
 
 @query("dim_staff", """
@@ -156,7 +156,7 @@ def fact_transactions_unmatched(bank):
     select sk_tempo, sk_cliente, sk_agencia, sk_colaborador, num_conta, saldo_total::double as saldo_total,
            saldo_disponivel::double as saldo_disponivel, computed_flag as eh_conta_ativa from f_contas""")
 def fact_accounts(bank):
-    return bank.gold["fato_contas"]
+    return bank.gold["fato_contas"].drop("_carga_ts")
 
 
 @query("fact_proposals", """

@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.dates import REFERENCE_DAY
 from ledgerlake.functions.rules import AGE_BANDS
 from ledgerlake.operators import cleaning, dimensions, facts, marts
+from ledgerlake.sources.readers import with_stamp
 from ledgerlake.sources.writers import overwrite, publish_view
 
+# The columns that hold the time a clean or final table was written.
+SILVER_STAMP, GOLD_STAMP = "_silver_ts", "_carga_ts"
+
 Tables = Mapping[str, DataFrame]
 Makers = dict[str, Callable[[], DataFrame]]
 
@@ -86,8 +90,12 @@ def enriched_calendar(cal: DataFrame, raw: Tables) -> DataFrame:
     return dimensions.with_holidays(cal, raw["feriados"])
 
 
+def _stamped(makers: Makers, stamp: str) -> Makers:
+    return {name: (lambda make=make: with_stamp(make(), stamp)) for name, make in makers.items()}
+
+
 def silver_layer(raw: Tables, root: str, as_of: dt.date = REFERENCE_DAY) -> StoredTables:
-    return StoredTables(silver(raw, as_of), f"{root}/silver")
+    return StoredTables(_stamped(silver(raw, as_of), SILVER_STAMP), f"{root}/silver")
 
 
 def gold_layer(
@@ -100,32 +108,37 @@ def gold_layer(
     partition_facts: bool = True,
 ) -> StoredTables:
     """Dimensions and facts. The transaction fact is laid out by month, for partition pruning."""
+
+    def c(name: str) -> DataFrame:
+        return clean[name].drop(SILVER_STAMP)
+
+    def g(name: str) -> DataFrame:
+        return layer[name].drop(GOLD_STAMP)
+
     makers: Makers = {
         "dim_tempo": lambda: enriched_calendar(cal(), raw),
         "dim_municipio": lambda: dimensions.dim_municipality(
             raw["municipios"], raw["populacao"], raw["pib_municipal"]
         ),
-        "dim_canal": lambda: dimensions.dim_channel(clean["transacoes"]),
+        "dim_canal": lambda: dimensions.dim_channel(c("transacoes")),
         "dim_agencia": lambda: dimensions.link_municipality(
-            dimensions.dim_branch(clean["agencias"]), layer["dim_municipio"]
+            dimensions.dim_branch(c("agencias")), g("dim_municipio")
         ),
         "dim_cliente": lambda: dimensions.link_municipality(
-            dimensions.dim_client(clean["clientes"], clean["clientes_sinteticos"]), layer["dim_municipio"]
+            dimensions.dim_client(c("clientes"), c("clientes_sinteticos")), g("dim_municipio")
         ),
-        "dim_colaborador": lambda: dimensions.dim_staff(clean["colaboradores"], layer["dim_agencia"]),
+        "dim_colaborador": lambda: dimensions.dim_staff(c("colaboradores"), g("dim_agencia")),
         "fato_transacoes": lambda: facts.fact_transactions(
-            clean["transacoes"], layer["dim_tempo"], clean["contas"],
-            layer["dim_cliente"], layer["dim_agencia"], layer["dim_canal"],
-        ).withColumn("ano_mes", _month_of_key(layer["dim_tempo"])),
+            c("transacoes"), g("dim_tempo"), c("contas"), g("dim_cliente"), g("dim_agencia"), g("dim_canal")
+        ).withColumn("ano_mes", _month_of_key(g("dim_tempo"))),
         "fato_contas": lambda: facts.fact_accounts(
-            clean["contas"], layer["dim_tempo"], layer["dim_cliente"], layer["dim_agencia"],
-            layer["dim_colaborador"], as_of, all_active,
+            c("contas"), g("dim_tempo"), g("dim_cliente"), g("dim_agencia"), g("dim_colaborador"), as_of, all_active
         ),
         "fato_propostas_credito": lambda: facts.fact_proposals(
-            raw["propostas_credito"], layer["dim_tempo"], layer["dim_cliente"], layer["dim_colaborador"]
+            raw["propostas_credito"], g("dim_tempo"), g("dim_cliente"), g("dim_colaborador")
         ),
     }
-    layer = StoredTables(makers, f"{root}/gold", {"fato_transacoes": ["ano_mes"]} if partition_facts else {})
+    layer = StoredTables(_stamped(makers, GOLD_STAMP), f"{root}/gold", {"fato_transacoes": ["ano_mes"]} if partition_facts else {})
     return layer
 
 

@@ -15,7 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoints are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

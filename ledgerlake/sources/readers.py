@@ -71,15 +71,27 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({LINEAGE[0]: F.lit(source), LINEAGE[1]: F.current_timestamp()})
 
 
+def with_stamp(df: DataFrame, name: str) -> DataFrame:
+    """The time a layer was written, under the layer's own column name."""
+    return df.withColumn(name, F.current_timestamp())
+
+
 def load_group(
     spark: SparkSession, root: str, specs: Sequence[TableSpec]
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """The tables that are there, with lineage, and the names of those that are not."""
+    """The tables with lineage, and the names of those whose file is missing.
+
+    A missing file gives an empty table when its layout is known, so that the
+    rest of the build can run without it.
+    """
     tables, absent = {}, []
     for spec in specs:
         path = f"{root}/{spec.file}"
         if not path_exists(spark, path):
             absent.append(spec.table)
+            if spec.columns:
+                empty = spark.range(0).select(*[F.lit(None).cast("string").alias(c) for c in spec.columns])
+                tables[spec.table] = with_lineage(empty, spec.group)
             continue
         tables[spec.table] = with_lineage(read_text_csv(spark, path, spec.columns, spec.sep), spec.group)
     return tables, absent
@@ -114,4 +126,4 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("linhas")).select(F.lit(name).alias("tabela"), "linhas")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)

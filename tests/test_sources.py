@@ -32,14 +32,15 @@ def test_text_csv_keeps_texts_and_drops_surplus_by_position(spark, tmp_path):
         readers.read_text_csv(spark, path, ["a", "b", "c", "d"])
 
 
-def test_group_loading_skips_what_is_missing(spark, tmp_path):
+def test_group_loading_leaves_missing_tables_empty(spark, tmp_path):
     root = str(tmp_path)
     write(f"{root}/data/original/colaborador_agencia.csv", "cod_colaborador,cod_agencia\n1,2\n")
     tables, absent = readers.load_group(spark, root, bank_specs("original"))
-    assert list(tables) == ["colaborador_agencia"] and len(absent) == 6
+    assert len(tables) == 7 and len(absent) == 6 and "colaborador_agencia" not in absent
+    assert tables["contas"].columns == [*layout("contas"), "_fonte", "_carga_ts"] and tables["contas"].isEmpty()
     row = tables["colaborador_agencia"].first()
     assert (row.cod_colaborador, row._fonte) == ("1", "original") and row._carga_ts is not None
-    assert values(readers.row_counts(tables)) == [("colaborador_agencia", 1)]
+    assert values(readers.row_counts(tables).where("linhas > 0")) == [("colaborador_agencia", 1)]
 
 
 def test_required_inputs(spark, tmp_path):
