@@ -25,7 +25,7 @@ class Lookup:
     `natural` and `surrogate` are columns of the dimension; `fact_key` is the
     fact column (or expression) to match and `name` the key's name in the fact.
     `bounded` says that the dimension cannot grow with the data (a calendar, a
-    list of channels or products), so its two key columns may be broadcast
+    list of channels), so its two key columns may be broadcast
     without looking at estimates.
     """
 
@@ -159,7 +159,7 @@ def fact_investments(
         [
             Lookup(cal, "data", "sk_tempo", "data_aplicacao", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
         [
             "id_investimento",
@@ -178,7 +178,7 @@ def fact_cards(source: DataFrame, cal: DataFrame, clients: DataFrame, products:
         [
             Lookup(cal, "data", "sk_tempo", "mes_referencia", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
         [
             "id_fatura",
@@ -196,7 +196,7 @@ def fact_insurance(source: DataFrame, cal: DataFrame, clients: DataFrame, produc
         [
             Lookup(cal, "data", "sk_tempo", "data_inicio", bounded=True),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto", bounded=True),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
         ["num_apolice", "data_inicio", "data_fim", "valor_segurado", "premio_mensal", "status_apolice"],
     )
@@ -243,7 +243,7 @@ def fact_revenue(source: DataFrame, cal: DataFrame, branches: DataFrame, product
         [
             Lookup(cal, "data", "sk_tempo", "data", bounded=True),
             Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia"),
-            Lookup(products, "cod_produto", "sk_produto", "cod_produto", "left", bounded=True),
+            Lookup(products, "cod_produto", "sk_produto", "cod_produto", "left"),
         ],
         [
             "tipo_receita",

@@ -36,14 +36,12 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str) -> D
     row fell into is fixed. One small count per partition then gives the offset
     that the partition's own numbering starts from. Runs one job for the checkpoint.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
+    shared_folder(df.sparkSession)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(width, *order).sortWithinPartitions(*order).checkpoint()
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
     marked = placed.withColumn("_id", F.monotonically_increasing_id())
     part = F.shiftright("_id", _ROW_BITS)
-    # One row per partition: a bound of `width`, whatever the table's size.
+    # One row per shuffle partition, whatever the table's size.
     sizes = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

@@ -14,7 +14,7 @@ from ledgerlake.plans.oracle import age, age_band, cents, family, number, ratio,
 @query("clean_clients", """
     select cod_cliente, primeiro_nome, ultimo_nome, email, tipo_pessoa, data_inclusao::varchar as data_inclusao, cpf_digits,
            cpf_formatado, data_nascimento::varchar as data_nascimento, endereco, cep_digits, idade, faixa_etaria
-    from s_clientes""")
+    from s_clientes""", ("idade",))
 def clean_clients(bank):
     return bank.clean("clientes")
 
@@ -29,7 +29,7 @@ def clean_synthetic_clients(bank):
 @query("clean_accounts", """
     select * replace (data_abertura::varchar as data_abertura, saldo_total::double as saldo_total,
                       saldo_disponivel::double as saldo_disponivel, data_ultimo_lancamento::varchar as data_ultimo_lancamento)
-    from s_contas""")
+    from s_contas""", ("cod_colaborador",))
 def clean_accounts(bank):
     return bank.clean("contas")
 
@@ -51,7 +51,7 @@ def clean_branches(bank):
 
 @query("clean_staff", """
     select * replace (data_nascimento::varchar as data_nascimento, salario_base::double as salario_base,
-                      data_admissao::varchar as data_admissao, data_demissao::varchar as data_demissao) from s_colaboradores""")
+                      data_admissao::varchar as data_admissao, data_demissao::varchar as data_demissao) from s_colaboradores""", ("cod_agencia", "nivel_hierarquico"))
 def clean_staff(bank):
     return bank.clean("colaboradores")
 
@@ -83,7 +83,7 @@ def clean_selic(bank):
            g.pib_per_capita::double as pib_per_capita, g.ano::int as ano_pib
     from raw_municipios m
     left join raw_populacao p on p.codigo_ibge = m.codigo_ibge and p.ano = '2022'
-    left join raw_pib_municipal g on g.codigo_ibge = m.codigo_ibge and g.ano = '2021'""")
+    left join raw_pib_municipal g on g.codigo_ibge = m.codigo_ibge and g.ano = '2021'""", ("populacao", "ano_populacao", "pib_total", "ano_pib"))
 def clean_municipalities(bank):
     return bank.clean("municipios")
 
@@ -92,7 +92,7 @@ def clean_municipalities(bank):
     select codigo_ibge, municipio, uf, populacao, ano_populacao, pib_total, pib_per_capita::double as pib_per_capita, ano_pib, regiao,
            case when pib_per_capita < 10000 then '<10k' when pib_per_capita < 25000 then '10-25k'
                 when pib_per_capita < 50000 then '25-50k' else '>50k' end as faixa_pib_per_cap
-    from g_municipio""")
+    from g_municipio""", ("populacao", "ano_populacao", "pib_total", "ano_pib"))
 def latest_year_municipalities(bank):
     return dimensions.municipality_rows(
         bank.raw["municipios"], bank.raw["populacao"], bank.raw["pib_municipal"]
@@ -221,12 +221,14 @@ def _check(length: int) -> str:
 
 @query("identity_numbers", f"""
     select cod_cliente, cpfcnpj, case when length(d) <> 11 then false when d = repeat(d[1], 11) then false
-                else ({_check(9)}) = {_D[9]} and ({_check(10)}) = {_D[10]} end as cpf_valido,
+                else ({_check(9)}) = {_D[9]} and ({_check(10)}) = {_D[10]} end::varchar as cpf_valido,
            length(regexp_replace(cep, '[^0-9]', '', 'g')) = 8 as cep_valido
     from (select *, regexp_replace(cpfcnpj, '[^0-9]', '', 'g') as d from raw_clientes)""")
 def identity_numbers(bank):
+    # A missing number is neither valid nor invalid, so the verdict is published as text.
     return bank.raw["clientes"].select(
-        "cod_cliente", "cpfcnpj", t.valid_cpf("cpfcnpj").alias("cpf_valido"), t.valid_cep("cep").alias("cep_valido")
+        "cod_cliente", "cpfcnpj", t.valid_cpf("cpfcnpj").cast("string").alias("cpf_valido"),
+        t.valid_cep("cep").alias("cep_valido"),
     )
 
 
@@ -237,7 +239,7 @@ _BY_DAYS = "date_diff('day', data_nascimento, date '2026-06-10') / 365.25"
     select cod_cliente, {age('data_nascimento')} as idade, {age_band(age('data_nascimento'), 'Menor de idade')} as faixa,
            case when {_BY_DAYS} < 25 then '18-24' when {_BY_DAYS} < 35 then '25-34' when {_BY_DAYS} < 45 then '35-44'
                 when {_BY_DAYS} < 55 then '45-54' when {_BY_DAYS} < 65 then '55-64' else '65+' end as faixa_por_dias
-    from (select cod_cliente, try_cast(data_nascimento as date) as data_nascimento from raw_clientes)""")
+    from (select cod_cliente, try_cast(data_nascimento as date) as data_nascimento from raw_clientes)""", ("idade",))
 def age_bands(bank):
     birth = t.to_day("data_nascimento")
     return bank.raw["clientes"].select(

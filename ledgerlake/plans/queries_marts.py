@@ -158,7 +158,7 @@ def working_days_per_month(bank):
            {avg_money('sum(x.valor_transacao)', 'count(x.valor_transacao)')} as ticket_medio
     from g_municipio m left join g_cliente k on k.sk_municipio = m.sk_municipio
     left join f_transacoes x on x.sk_cliente = k.sk_cliente
-    group by m.sk_municipio, m.municipio, m.uf, m.regiao, m.populacao, m.pib_per_capita""")
+    group by m.sk_municipio, m.municipio, m.uf, m.regiao, m.populacao, m.pib_per_capita""", ("populacao",))
 def clients_by_municipality(bank):
     gold = bank.gold
     return marts.clients_by_municipality(gold["dim_municipio"], gold["dim_cliente"], gold["fato_transacoes"])

@@ -37,7 +37,7 @@ def dim_calendar_enriched(bank):
            data_inclusao::varchar as data_inclusao, idade, faixa_etaria, cidade, uf, sk_municipio,
            renda_mensal::double as renda_mensal, score_credito, data_inclusao::varchar as data_inicio_vigencia,
            '9999-12-31' as data_fim_vigencia, true as eh_registro_atual
-    from g_cliente""")
+    from g_cliente""", ("idade", "score_credito", "sk_municipio"))
 def dim_client(bank):
     return bank.gold["dim_cliente"].select(
         "sk_cliente", "cod_cliente", "nome_completo", "email", "tipo_pessoa", "data_inclusao", "idade", "faixa_etaria",
@@ -49,7 +49,7 @@ def dim_client(bank):
 @query("clients_last_loaded", """
     select cod_cliente, email, idade, faixa_etaria from s_sinteticos
     union all
-    select cod_cliente, email, idade, faixa_etaria from s_clientes where cod_cliente not in (select cod_cliente from s_sinteticos)""")
+    select cod_cliente, email, idade, faixa_etaria from s_clientes where cod_cliente not in (select cod_cliente from s_sinteticos)""", ("idade",))
 def clients_last_loaded(bank):
     return dimensions.last_loaded_clients(bank.silver["clientes"], bank.silver["clientes_sinteticos"]).select(
         "cod_cliente", "email", "idade", "faixa_etaria"
@@ -59,14 +59,14 @@ def clients_last_loaded(bank):
 @query("dim_branch", """
     select sk_agencia, cod_agencia, nome, tipo_agencia, cidade, uf, regiao, data_abertura::varchar as data_abertura,
            meta_comercial_mensal::double as meta_comercial_mensal, latitude::double as latitude, longitude::double as longitude,
-           sk_municipio from g_agencia""")
+           sk_municipio from g_agencia""", ("sk_municipio",))
 def dim_branch(bank):
     return bank.gold["dim_agencia"].drop("eh_ativa", "_carga_ts")
 
 
 @query("dim_staff", """
     select sk_colaborador, cod_colaborador, primeiro_nome || ' ' || ultimo_nome as nome_completo, cargo, salario_base::double as salario_base,
-           sk_agencia_principal, eh_ativo from g_colaborador""")
+           sk_agencia_principal, eh_ativo from g_colaborador""", ("sk_agencia_principal",))
 def dim_staff(bank):
     return bank.gold["dim_colaborador"].select(
         "sk_colaborador", "cod_colaborador", "nome_completo", "cargo", "salario_base", "sk_agencia_principal", "eh_ativo"
@@ -79,7 +79,7 @@ def dim_channel(bank):
 
 
 @query("dim_municipality", """
-    select sk_municipio, codigo_ibge, municipio, uf, populacao, pib_total, pib_per_capita::double as pib_per_capita from g_municipio""")
+    select sk_municipio, codigo_ibge, municipio, uf, populacao, pib_total, pib_per_capita::double as pib_per_capita from g_municipio""", ("populacao", "pib_total"))
 def dim_municipality(bank):
     return bank.gold["dim_municipio"].select(
         "sk_municipio", "codigo_ibge", "municipio", "uf", "populacao", "pib_total", "pib_per_capita"
@@ -125,7 +125,7 @@ def clients_with_orders(bank):
 
 @query("fact_transactions", """
     select sk_tempo, sk_canal, sk_cliente, sk_agencia, cod_transacao, num_conta, nome_transacao,
-           valor_transacao::double as valor_transacao, valor_absoluto::double as valor_absoluto, flag_credito from f_transacoes""")
+           valor_transacao::double as valor_transacao, valor_absoluto::double as valor_absoluto, flag_credito from f_transacoes""", ("sk_canal",))
 def fact_transactions(bank):
     gold = bank.gold
     return facts.fact_transactions(
@@ -154,14 +154,14 @@ def fact_transactions_unmatched(bank):
 
 @query("fact_accounts", """
     select sk_tempo, sk_cliente, sk_agencia, sk_colaborador, num_conta, saldo_total::double as saldo_total,
-           saldo_disponivel::double as saldo_disponivel, computed_flag as eh_conta_ativa from f_contas""")
+           saldo_disponivel::double as saldo_disponivel, computed_flag as eh_conta_ativa from f_contas""", ("sk_colaborador",))
 def fact_accounts(bank):
     return bank.gold["fato_contas"].drop("_carga_ts")
 
 
 @query("fact_proposals", """
     select sk_tempo_entrada, sk_cliente, sk_colaborador, cod_proposta, status_proposta, valor_proposta::double as valor_proposta,
-           taxa_juros_mensal::double as taxa_juros_mensal from f_propostas""")
+           taxa_juros_mensal::double as taxa_juros_mensal from f_propostas""", ("sk_colaborador",))
 def fact_proposals(bank):
     return bank.gold["fato_propostas_credito"].select(
         "sk_tempo_entrada", "sk_cliente", "sk_colaborador", "cod_proposta", "status_proposta", "valor_proposta",
@@ -223,7 +223,7 @@ def fact_arrears(bank):
     select (e.data_ocorrencia::date - (select min(ts)::date from events) + 1)::int as sk_tempo, k.sk_cliente, n.sk_canal, e.id_fraude,
            strftime(e.data_ocorrencia, '%H:%M:%S') as hora_ocorrencia, e.valor_fraude::double as valor_fraude, e.flag_confirmada,
            e.valor_recuperado::double as valor_recuperado
-    from e_fraudes e join g_cliente k on k.cod_cliente = e.cod_cliente left join g_canal n on n.nome_canal = e.canal""")
+    from e_fraudes e join g_cliente k on k.cod_cliente = e.cod_cliente left join g_canal n on n.nome_canal = e.canal""", ("sk_canal",))
 def fact_frauds(bank):
     cal = dimensions.calendar_of(bank.table("events"), "ts")
     return facts.fact_frauds(bank.event("fraudes"), cal, bank.gold["dim_cliente"], bank.gold["dim_canal"])
@@ -233,7 +233,7 @@ def fact_frauds(bank):
     select a.sk_agencia, p.sk_produto, e.tipo_receita, count(*) as linhas, sum(e.valor_receita)::double as receita,
            sum(e.valor_receita - coalesce(e.valor_custo, 0))::double as margem
     from e_receitas e {_TIME.format('e.data')} join g_agencia a on a.cod_agencia = e.cod_agencia {_PRODUCT.format('left')}
-    group by all""")
+    group by all""", ("sk_produto",))
 def fact_revenue(bank):
     fact = facts.fact_revenue(bank.event("receitas"), bank.gold["dim_tempo"], bank.gold["dim_agencia"], _products(bank))
     return fact.groupBy("sk_agencia", "sk_produto", "tipo_receita").agg(

@@ -102,9 +102,10 @@ def typed_csv_read(bank):
 @query("sources_loaded_by_group", """
     select 'agencias' as tabela, count(*) as linhas from raw_agencias
     union all select 'clientes', count(*) from raw_clientes
-    union all select 'contas', count(*) from raw_contas""")
+    union all select 'contas', count(*) from raw_contas
+    union all select * from (values ('colaboradores', 0), ('colaborador_agencia', 0), ('propostas_credito', 0), ('transacoes', 0))""")
 def sources_loaded_by_group(bank):
-    """Three files of the original group laid out as the registry expects; the missing ones are skipped."""
+    """Three files of the original group laid out as the registry expects; the missing ones count 0."""
     root = bank.scratch("arquivos")
     specs = {spec.table: spec for spec in bank_specs("original")}
     for name in ("agencias", "clientes", "contas"):
