@@ -99,7 +99,8 @@ def lookup(
     into a broadcast or split where a partition is oversized. With it, the rows of
     hot keys skip the shuffle: their few dimension rows (at most 1/hot_share) are
     broadcast, and only the remaining rows are shuffled. Nothing is salted at
-    random, so a retried task always sees the same rows.
+    random, so a retried task always sees the same rows. The fact is read once
+    for the counts and once for the rows, so it should be a stored table.
     """
     if hot_share is None:
         return fact.join(dim, key, how)
