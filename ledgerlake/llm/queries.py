@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -26,3 +27,13 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     from ledgerlake.llm.packing import pack, piece_rows
 
     return piece_rows(pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.toxicity import held_out, scored, train
+
+    documents = table(spark, folder, "documents")
+    model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
+    rows = scored(documents.select("doc_id", "text"), model)
+    return rows.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -57,6 +59,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def in_parts(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices of about so many bytes; a longer row is a slice of its own."""
+    sizes = np.diff(text_bytes(batch.column("text"))[1])
+    total, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        before = total[begin] - sizes[begin]
+        end = max(begin + 1, int(np.searchsorted(total, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true values; no run crosses a text boundary."""
     n = len(inside)
