@@ -37,3 +37,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
     rows = scored(documents.select("doc_id", "text"), model)
     return rows.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
