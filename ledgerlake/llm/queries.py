@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.storage import small_batches
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
 
@@ -17,6 +19,7 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -44,3 +47,46 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from ledgerlake.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.decontamination import contamination
+
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    rows = contamination(documents, table(spark, folder, "benchmark"))
+    return rows.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ANSWERS["op6_decontamination"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), items as (
+  select coalesce(item_id::varchar, '') as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as v
+  from (select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from items where len(w) > 0)
+), places as (
+  select doc_id, w, n, unnest(range(1, greatest(1, len(w) - n + 2))) as i
+  from words, (select distinct n from windows)
+), found as (
+  select distinct doc_id, i, p.n, item
+  from (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as v from places) p join windows using (n, v)
+), hit as (
+  select doc_id, count(distinct k) as n_hit from (select distinct doc_id, unnest(range(i, i + n)) as k from found) group by doc_id
+), listed as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list from (select distinct doc_id, item from found) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (doc_id) left join listed using (doc_id)
+"""

@@ -19,3 +19,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of rows that go to a Python worker at once; one longer row goes alone.
+BATCH = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Python workers get rows in batches of bounded size, unless the session has a limit of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("64m", "64MB", "67108864", "67108864b"):
+        spark.conf.set(key, BATCH)
