@@ -90,3 +90,19 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
        sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hit using (doc_id) left join listed using (doc_id)
 """
+
+
+@query
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.secrets import KINDS, listed, scan
+
+    rows = scan(table(spark, folder, "documents").select("doc_id", "text"))
+    # Once computed, a row's spans are used by several columns.
+    rows = rows.select("row.doc_id", F.explode(F.array("spans")).alias("spans"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return rows.select(
+        "doc_id",
+        *(count(k) for k in ("assign", "access", "hex")),
+        F.sha2(listed(F.col("spans"), 3), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
