@@ -106,3 +106,38 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(F.col("spans"), 3), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+#: The rules of the URL query (fixed values): host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.urls import judged
+
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judged(table(spark, folder, "pages").select("page_id", "url"), rules)
+
+
+ANSWERS["op7_url_filters"] = r"""
+with parts as (
+  select page_id, row_number() over () as place,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from pages
+), rules(h, p, v) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), fits as (
+  select place, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as verdict
+  from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+  group by place
+)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parts left join fits using (place)
+"""
