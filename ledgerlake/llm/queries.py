@@ -141,3 +141,18 @@ with parts as (
 )
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parts left join fits using (place)
 """
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.repeats import kept_bytes, repeats
+
+    rows = kept_bytes(repeats(table(spark, folder, "documents").select("doc_id", "text")))
+    n_bytes = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    return rows.select(
+        "row.doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
