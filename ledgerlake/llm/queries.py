@@ -156,3 +156,15 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from ledgerlake.llm.chat import digests, formatted
+
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return digests(formatted(given.unionByName(more), public_tokenizers.path("word_bpe_49k.json")))
