@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.storage import small_batches
+from ledgerlake.llm.storage import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ANSWERS: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -168,3 +168,10 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     return digests(formatted(given.unionByName(more), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.neighbours import nearest
+
+    return nearest(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)

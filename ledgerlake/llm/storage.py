@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 BATCH = "8m"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Python workers get rows in batches of bounded size, unless the session has a limit of its own."""
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers find this package, and get rows in batches of bounded size unless the session has a limit of its own."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("64m", "64MB", "67108864", "67108864b"):
         spark.conf.set(key, BATCH)
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
