@@ -175,3 +175,12 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     from ledgerlake.llm.neighbours import nearest
 
     return nearest(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.pii import with_surrogates
+
+    rows = with_surrogates(table(spark, folder, "documents").select("doc_id", "text"), key=b"surrogates of this corpus")
+    spans = F.transform("replaced", lambda r: F.concat_ws(":", r["kind"], r["start"].cast("string"), r["end"].cast("string")))
+    return rows.select("row.doc_id", F.col("new_text").alias("text"), F.size("replaced").cast("long").alias("n_replaced"), F.array_join(spans, ",").alias("replaced"))
