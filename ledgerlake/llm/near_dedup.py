@@ -6,10 +6,11 @@ has a chunk of CHUNK symbols with at most one error, as DISTANCE < 2 * SYMBOLS /
 once for each symbol under its chunk without that symbol, and every such pair meets in some bucket. At similarity 0.8 the distance
 is over the limit with a probability of about one in a million. Every link is confirmed on the full sets.
 
-Equal sets are one class first. Buckets are not expanded into all pairs: their members are compared with one member
-each (the smallest; for what is left then, one of the largest component there, another in each bucket), then every
-pair of a bucket whose two sides are still in different components is compared, if its signatures allow a link. So
-no link between components is lost, and a group of near copies costs about as many comparisons as it has members.
+Equal sets are one class first. Buckets are not expanded into all pairs: each member is compared with the smallest of its
+bucket. Buckets that still hold several components then form families (nodes tied by such buckets), and the nodes outside
+a family's largest component are compared with all the others there whose signatures allow a link: sets of bounded blocks of the
+family meet in a task, which gives back only links that join components. So no link between components is lost, no pairs
+are sent around, and a large family is spread over many tasks.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; with fewer words than a shingle has,
 the whole sequence is the only shingle; a null doc_id is never linked, its component is null and it is kept; rows that
@@ -32,6 +33,8 @@ from ledgerlake.llm.storage import stored
 from ledgerlake.llm.text import LOWER, fingerprints, in_parts, mix, runs, text_bytes, texts_of
 
 SYMBOLS, CHUNK, BITS = 52, 4, 16
+#: Bytes of sets in a block of a family.
+BLOCK = 1 << 23
 DISTANCE = 2 * SYMBOLS // CHUNK - 1
 
 _WORD = np.ones(256, bool)
@@ -145,6 +148,65 @@ def _divided(members: DataFrame, links: DataFrame) -> DataFrame:
     return stored(members.join(several.select("key"), "key", "left_semi"), "divided")
 
 
+def _joined(percent: int):
+    """Links between the rows of two blocks of a family (or within one), as many as join components."""
+
+    def meet(rows: pa.Table) -> pa.Table:
+        node, side = rows["node"].to_numpy(), rows["side"].to_numpy()
+        _, label = np.unique(rows["component"].to_numpy(), return_inverse=True)
+        signature = np.frombuffer(text_bytes(rows["signature"])[0], np.uint16).reshape(len(node), SYMBOLS)
+        data, offsets = text_bytes(rows["own"])
+        values, offsets = np.frombuffer(data.tobytes(), np.uint64), offsets // 8
+        size = np.diff(offsets)
+        within = side.max(initial=0) == 0  # one block with itself
+        others = np.flatnonzero(side == 1) if not within else np.arange(len(node))
+        found = []
+        for u in np.flatnonzero(side == 0):
+            near = others[(label[others] != label[u]) & ((others > u) | (not within))]
+            near = near[(signature[near] != signature[u]).sum(axis=1) <= DISTANCE]
+            own = values[offsets[u] : offsets[u + 1]]
+            steps = np.cumsum(size[near]) // (1 << 20)
+            for some in np.split(near, np.flatnonzero(np.diff(steps)) + 1):
+                if not len(some):
+                    continue
+                begins = np.cumsum(size[some]) - size[some]
+                theirs = values[np.repeat(offsets[some] - begins, size[some]) + np.arange(int(size[some].sum()))]
+                at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+                common = np.add.reduceat(own[at] == theirs, begins, dtype=np.int64)
+                linked = some[100 * common >= percent * (size[u] + size[some] - common)]
+                for v in linked:
+                    if label[v] != label[u]:
+                        found.append((node[u], node[v]))
+                        label[label == label[v]] = label[u]
+        return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
+
+    return meet
+
+
+def _within_families(left: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """left (key, node, component): links between different components of a bucket, enough to join those that are linked."""
+    first = left.groupBy("key").agg(F.min("node").alias("first"))
+    ties = left.join(first, "key").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    family = components(ties).select("node", F.col("component").alias("family"))
+    rows = stored(family.join(left.select("node", "component").distinct(), "node").join(sets, "node"), "families")
+    parts = rows.groupBy("family", "component").agg(F.count("*").alias("n"), F.sum(F.octet_length("own")).alias("bytes"))
+    shape = parts.groupBy("family").agg(F.max(F.struct("n", "component", "bytes")).alias("main"), F.sum("bytes").alias("bytes"))
+    blocks = lambda x: F.greatest(F.lit(1), F.ceil(x / BLOCK)).cast("int")
+    shape = shape.select("family", F.col("main.component").alias("main"), blocks(F.col("main.bytes")).alias("m"), blocks(F.col("bytes") - F.col("main.bytes")).alias("r"))
+    rows = rows.join(shape, "family").join(classes.select("node", "signature"), "node")
+    # Blocks 0..r-1 hold the nodes outside the main component, r..r+m-1 those inside; block x meets block y for x < r, x <= y.
+    outside = F.col("component") != F.col("main")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.when(outside, F.col("r")).otherwise(F.col("m"))).cast("int"))
+    meeting = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), F.lit(side).alias("side"))
+    as_first = F.transform(F.sequence(F.col("block"), F.col("r") + F.col("m") - 1), lambda y: meeting(F.col("block"), y, 0))
+    as_second = F.when(F.col("block") > 0, F.transform(F.sequence(F.lit(0), F.col("block") - 1), lambda x: meeting(x, F.col("block"), 1)))
+    inside = F.transform(F.sequence(F.lit(0), F.col("r") - 1), lambda x: meeting(x, F.col("r") + F.col("block"), 1))
+    none = F.array().cast("array<struct<x: int, y: int, side: int>>")
+    spread = rows.withColumn("at", F.explode(F.when(outside, F.concat(as_first, F.coalesce(as_second, none))).otherwise(inside)))
+    spread = spread.select("family", "at.x", "at.y", "at.side", "node", "component", "signature", "own")
+    return stored(spread.groupBy("family", "x", "y").applyInArrow(_joined(percent), "a long, b long"), "family_links")
+
+
 def near_duplicates(documents: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links), kept; one row for each of documents."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -167,19 +229,9 @@ def near_duplicates(documents: DataFrame, words: int = 4, percent: int = 80) ->
 
     # One comparison a member, with the smallest of its bucket.
     links = _confirmed(members.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), nodes, sets, percent)
-    # What is left: with a member of the largest component of each bucket, another one in each.
     left = _divided(members, links)
     if not left.isEmpty():
-        sizes = left.groupBy("key", "component").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("key", "node")).alias("b"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component", "b")).alias("m")).select("key", "m.component", "m.b")
-        others = left.join(largest.withColumnRenamed("component", "most"), "key").filter("component <> most")
-        links = links.unionByName(_confirmed(others.select(F.col("node").alias("a"), "b").distinct(), nodes, sets, percent))
-        # Then every pair of a bucket that no link has joined yet.
-        left = _divided(left, links)
-        if not left.isEmpty():
-            a, b = (left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "component"))) for s in "ab")
-            pairs = a.join(b, "key").filter("component_a < component_b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-            links = links.unionByName(_confirmed(pairs.distinct(), nodes, sets, percent))
+        links = links.unionByName(_within_families(left, classes, sets, percent))
     of = components(links.unionByName(by_id))
     tied = rows.join(classes.select("mark", "node"), "mark", "left").join(of, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "doc_id"))
