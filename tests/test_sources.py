@@ -12,7 +12,7 @@ def test_registry():
     assert len(specs) == len({s.table for s in specs}) == 35
     assert {s.group for s in specs} == {"original", "sintetico", "externo"}
     assert layout("contas_sinteticas") == layout("contas") + ("flag_ativa",)
-    assert layout("fraudes") is None
+    assert layout("fraudes")[:2] == ("id_fraude", "cod_cliente") and layout("elsewhere") is None
     assert len(bank_specs("original")) == 7
 
 
