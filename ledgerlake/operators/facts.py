@@ -24,9 +24,8 @@ class Lookup:
 
     `natural` and `surrogate` are columns of the dimension; `fact_key` is the
     fact column (or expression) to match and `name` the key's name in the fact.
-    `bounded` says that the dimension cannot grow with the data (a calendar, a
-    list of channels), so its two key columns may be broadcast
-    without looking at estimates.
+    Dimensions are stored tables, so the optimizer knows their size and broadcasts
+    a calendar or a list of channels by itself.
     """
 
     dim: DataFrame
@@ -36,7 +35,6 @@ class Lookup:
     how: str = "inner"
     name: str | None = None
     hot_share: float | None = None
-    bounded: bool = False
 
 
 def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Column]) -> DataFrame:
@@ -46,8 +44,6 @@ def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Co
         name, probe = look.name or look.surrogate, f"_probe{i}"
         expression = F.col(look.fact_key) if isinstance(look.fact_key, str) else look.fact_key
         side = look.dim.select(F.col(look.natural).alias(probe), F.col(look.surrogate).alias(name))
-        if look.bounded:
-            side = F.broadcast(side)
         fact = lookup(fact.withColumn(probe, expression), side, probe, look.how, look.hot_share)
         keys.append(name)
     return fact.select(*keys, *measures)
@@ -87,8 +83,8 @@ def fact_transactions(
     return build_fact(
         owned,
         [
-            Lookup(cal, "data", "sk_tempo", F.col("data_transacao").cast("date"), how, bounded=True),
-            Lookup(channels, "nome_canal", "sk_canal", "canal", "left", bounded=True),
+            Lookup(cal, "data", "sk_tempo", F.col("data_transacao").cast("date"), how),
+            Lookup(channels, "nome_canal", "sk_canal", "canal", "left"),
         ],
         [
             "sk_cliente",
@@ -118,7 +114,7 @@ def fact_accounts(
     return build_fact(
         accounts,
         [
-            Lookup(cal, "data", "sk_tempo", last_day, bounded=True),
+            Lookup(cal, "data", "sk_tempo", last_day),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
             Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia"),
             Lookup(staff, "cod_colaborador", "sk_colaborador", "cod_colaborador", "left"),
@@ -133,7 +129,7 @@ def fact_proposals(raw: DataFrame, cal: DataFrame, clients: DataFrame, staff: Da
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", t.to_day("data_entrada_proposta"), name="sk_tempo_entrada", bounded=True),
+            Lookup(cal, "data", "sk_tempo", t.to_day("data_entrada_proposta"), name="sk_tempo_entrada"),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", t.to_whole("cod_cliente")),
             Lookup(staff, "cod_colaborador", "sk_colaborador", t.to_whole("cod_colaborador"), "left"),
         ],
@@ -157,7 +153,7 @@ def fact_investments(
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_aplicacao", bounded=True),
+            Lookup(cal, "data", "sk_tempo", "data_aplicacao"),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
             Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
@@ -176,7 +172,7 @@ def fact_cards(source: DataFrame, cal: DataFrame, clients: DataFrame, products:
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "mes_referencia", bounded=True),
+            Lookup(cal, "data", "sk_tempo", "mes_referencia"),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
             Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
@@ -194,7 +190,7 @@ def fact_insurance(source: DataFrame, cal: DataFrame, clients: DataFrame, produc
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_inicio", bounded=True),
+            Lookup(cal, "data", "sk_tempo", "data_inicio"),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
             Lookup(products, "cod_produto", "sk_produto", "cod_produto"),
         ],
@@ -206,7 +202,7 @@ def fact_arrears(source: DataFrame, cal: DataFrame, clients: DataFrame) -> DataF
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data_referencia", bounded=True),
+            Lookup(cal, "data", "sk_tempo", "data_referencia"),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
         ],
         [
@@ -223,9 +219,9 @@ def fact_frauds(source: DataFrame, cal: DataFrame, clients: DataFrame, channels:
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", F.col("data_ocorrencia").cast("date"), bounded=True),
+            Lookup(cal, "data", "sk_tempo", F.col("data_ocorrencia").cast("date")),
             Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
-            Lookup(channels, "nome_canal", "sk_canal", "canal", "left", bounded=True),
+            Lookup(channels, "nome_canal", "sk_canal", "canal", "left"),
         ],
         [
             "id_fraude",
@@ -241,7 +237,7 @@ def fact_revenue(source: DataFrame, cal: DataFrame, branches: DataFrame, product
     return build_fact(
         source,
         [
-            Lookup(cal, "data", "sk_tempo", "data", bounded=True),
+            Lookup(cal, "data", "sk_tempo", "data"),
             Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia"),
             Lookup(products, "cod_produto", "sk_produto", "cod_produto", "left"),
         ],

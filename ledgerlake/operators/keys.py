@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.session import shared_folder
+from ledgerlake.session import stored
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -17,29 +17,26 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the greatest by `order_by`, ties settled by all other columns.
 
-    Written as an aggregate rather than a window, so that each map task reduces
-    a hot key to one row before the shuffle.
+    Ranks are limited to the first before the shuffle, so each map task reduces a
+    hot key to one row.
     """
     rest = [c for c in df.columns if c not in keys]
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    best = F.max(
-        F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*rest).alias("_row"))
-    )
-    picked = df.groupBy(*keys).agg(best.alias("_best"))
-    return picked.select(*keys, "_best._row.*").select(*df.columns)
+    ties = [F.struct(*rest).desc()] if rest else []
+    first = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order], *ties, *([] if order or ties else list(keys)))
+    return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
     """Gap-free numbers 1..n in the given order, without a one-task window.
 
-    The rows are range-partitioned and checkpointed, so that the partition each
-    row fell into is fixed. One small count per partition then gives the offset
-    that the partition's own numbering starts from. Runs one job for the checkpoint.
+    The rows are range-partitioned and written once, each with its partition and
+    its place there. One small count per partition then gives the offset that the
+    partition's own numbering starts from. Runs one job for the written table.
     """
-    shared_folder(df.sparkSession)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-    marked = placed.withColumn("_id", F.monotonically_increasing_id())
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = stored(placed.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_id", _ROW_BITS)
     # One row per shuffle partition, whatever the table's size.
     sizes = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
@@ -64,25 +61,14 @@ def current_rows(dim: DataFrame, flag: str = "eh_registro_atual") -> DataFrame:
     return dim.where(F.col(flag))
 
 
-# Rows a side may hold to be broadcast: a few dozen megabytes at most for narrow rows.
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Store a join side and mark it for broadcast if it is small; else leave the join to shuffle.
-
-    Storing it first means that its size is known, not guessed, and that it is
-    not computed again. Runs one job for the checkpoint.
-    """
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint()
-    return F.broadcast(kept) if kept.limit(limit + 1).count() <= limit else kept
+# Parts that the rows of a hot key, or those without a key, are spread over.
+SPREAD = 32
 
 
 def hot_keys(fact: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than `share` of the rows. There can be at most 1/share of them."""
+    """Keys holding more than `share` of the keyed rows. There can be at most 1/share of them."""
     counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = fact.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") > F.lit(share) * total).select(key)
 
 
@@ -92,22 +78,25 @@ def lookup(
     key: str,
     how: str = "inner",
     hot_share: float | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join a fact to a dimension that has one row per key.
 
-    Without `hot_share` this is a plain join, which adaptive execution may turn
-    into a broadcast or split where a partition is oversized. With it, the rows of
-    hot keys skip the shuffle: their few dimension rows (at most 1/hot_share) are
-    broadcast, and only the remaining rows are shuffled. Nothing is salted at
-    random, so a retried task always sees the same rows. The fact is read once
-    for the counts and once for the rows, so it should be a stored table.
+    Rows without a key match nothing; they are spread by the hash of `spread_by` (all
+    columns by default), so that a left join does not send them to one task. With
+    `hot_share` the rows of hot keys are spread likewise, and the few dimension rows
+    of those keys (at most 1/hot_share) are repeated for every part. The keys are
+    counted first, in a scan of that column alone; the rows are read and
+    shuffled once. Nothing is salted at random, so a retried task sees the same rows.
     """
+    part = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(SPREAD)).cast("int")
     if hot_share is None:
-        return fact.join(dim, key, how)
-    hot = F.broadcast(hot_keys(fact, key, hot_share))
-    hot_part = fact.join(hot, key, "left_semi").join(
-        F.broadcast(dim.join(hot, key, "left_semi")), key, how
-    )
-    # left_anti keeps rows with a NULL key; they are cold by definition.
-    cold_part = fact.join(hot, key, "left_anti").join(dim, key, how)
-    return hot_part.unionByName(cold_part)
+        if how == "inner":
+            return fact.join(dim, key)
+        rows = fact.withColumn("_part", F.when(F.col(key).isNull(), part).otherwise(0))
+        return rows.join(dim.withColumn("_part", F.lit(0)), [key, "_part"], how).drop("_part")
+    hot = F.broadcast(hot_keys(fact, key, hot_share).withColumn("_hot", F.lit(True)))
+    rows = fact.join(hot, key, "left").withColumn("_part", F.when(F.col("_hot") | F.col(key).isNull(), part).otherwise(0))
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    sides = dim.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot")
+    return rows.drop("_hot").join(sides, [key, "_part"], how).drop("_part")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import finance
 from ledgerlake.functions.dates import month_label
-from ledgerlake.operators.keys import current_rows, small_side
+from ledgerlake.operators.keys import current_rows
 
 # The status that counts as approved, and the labels of a branch.
 APPROVED = "Aprovada"
@@ -159,8 +159,7 @@ def share_by_status(proposals: DataFrame, status: str = "status_proposta") -> Da
         F.sum("taxa_juros_mensal").alias("_rate"),
         F.count("taxa_juros_mensal").alias("_rates"),
     )
-    # One row per status reaches this window.
-    whole = F.sum("qtd_propostas").over(Window.partitionBy())
+    whole = grouped.agg(F.sum("qtd_propostas")).scalar()
     rate = F.col("_rate").cast("decimal(24,6)") * 100 / F.nullif("_rates", F.lit(0)).cast("decimal(10,0)")
     return grouped.select(
         status,
@@ -346,8 +345,7 @@ def working_days(cal: DataFrame) -> DataFrame:
 
 
 def transactions_in_dollars(transactions: DataFrame, cal: DataFrame) -> DataFrame:
-    # One row per day: small enough to broadcast whatever the fact's size.
-    quoted = F.broadcast(cal.select("sk_tempo", "data", "cotacao_dolar"))
+    quoted = cal.select("sk_tempo", "data", "cotacao_dolar")
     return transactions.join(quoted, "sk_tempo").select(
         "cod_transacao",
         "data",
@@ -359,7 +357,7 @@ def transactions_in_dollars(transactions: DataFrame, cal: DataFrame) -> DataFram
 
 def transactions_against_rate(transactions: DataFrame, cal: DataFrame) -> DataFrame:
     """Daily rate and what each amount would have earned that day; days without a rate drop out."""
-    rated = F.broadcast(cal.where("taxa_selic IS NOT NULL").select("sk_tempo", "data", "taxa_selic"))
+    rated = cal.where("taxa_selic IS NOT NULL").select("sk_tempo", "data", "taxa_selic")
     return transactions.join(rated, "sk_tempo").select(
         "cod_transacao",
         "data",
@@ -414,14 +412,13 @@ def fraud_totals(frauds: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Exact median of a non-negative decimal per group, without gathering a group anywhere.
 
-    A monotone bucket of the value (256 per doubling, so a few thousand per
-    group) locates the two middle ranks. A second scan keeps only the values of
-    those buckets, merges equal ones map-side, and puts them in order. Both
-    shuffles are small however many rows a group has.
+    Equal values are merged first, map-side and by one shuffle. A monotone bucket of
+    the value (256 per doubling, so a few thousand per group) locates the two middle
+    ranks among the merged rows, and only the values of those buckets are put in order.
     """
-    bucket = F.floor(F.log2(F.col(value).cast("double") + 1) * 256).alias("_b")
-    rows = df.where(F.col(value).isNotNull()).select(group, value, bucket)
-    sizes = rows.groupBy(group, "_b").agg(F.count("*").alias("_n"))
+    bucket = F.floor(F.log2(F.col(value).cast("double") + 1) * 256)
+    merged = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n")).withColumn("_b", bucket)
+    sizes = merged.groupBy(group, "_b").agg(F.sum("_n").alias("_n"))
     upto = Window.partitionBy(group).orderBy("_b")
     placed = sizes.withColumn("_end", F.sum("_n").over(upto)).withColumn(
         "_all", F.sum("_n").over(Window.partitionBy(group))
@@ -433,11 +430,7 @@ def exact_median(df: DataFrame, group: str, value: str) -> DataFrame:
     ).select(
         F.col(group).alias("_g"), F.col("_b").alias("_mb"), start.alias("_start"), low.alias("_low"), high.alias("_high")
     )
-    counted = (
-        rows.join(small_side(middle), F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_mb")))
-        .groupBy(group, "_b", "_start", "_low", "_high", value)
-        .agg(F.count("*").alias("_n"))
-    )
+    counted = merged.join(middle, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_mb")))
     inside = Window.partitionBy(group, "_b").orderBy(value)
     ranked = counted.withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
     first = F.col("_end") - F.col("_n") + 1

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does the run-time half of the skew and sizing work: it coalesces small
 # shuffle partitions, turns a join into a broadcast when the measured side is
@@ -38,24 +38,14 @@ def local_session(cores: str = "*", partitions: int = 8, **extra: str) -> SparkS
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by spark.checkpoint.dir.
-
-    A local master may fall back to a temporary folder; a cluster may not,
-    because its executors would not see the driver's disk.
-    """
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ledgerlake-")
-    context.setCheckpointDir(folder)
-    return folder
+    """The folder every executor can reach: that of spark.checkpoint.dir, else one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read again: their plan is cut, a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

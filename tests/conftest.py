@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ledgerlake.session import local_session
 
-    session = local_session("8", partitions=4)
+    folder = tmp_path_factory.mktemp("shared")
+    session = local_session("8", partitions=4, **{"spark.checkpoint.dir": str(folder)})
     yield session
     session.stop()
 

@@ -68,15 +68,6 @@ def test_latest_per_key_breaks_ties_the_same_way_every_time(frame):
     assert values(keys.latest_per_key(df.repartition(7), ["k"], ["at"])) == expected
 
 
-def test_small_side_is_broadcast_only_when_small(frame):
-    df = frame("k int", [(i,) for i in range(20)])
-    fact = frame("k int, n int", [(i % 20, i) for i in range(100)])
-    for limit, hinted in ((20, True), (19, False)):
-        side = keys.small_side(df, limit)
-        plan = fact.join(side, "k")._jdf.queryExecution().analyzed().toString()
-        assert ("ResolvedHint" in plan or "UnresolvedHint" in plan) is hinted
-
-
 @pytest.mark.parametrize("sizes", [[1], [2], [5, 6], [301, 500]])
 def test_exact_median_by_brute_force(frame, sizes):
     rng = random.Random(sum(sizes))
