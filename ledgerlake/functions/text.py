@@ -43,7 +43,17 @@ def strict_decimal(
     return F.when(numeric_text(value, signed), to_decimal(value, precision, scale))
 
 
-def to_whole(value: Column | str, kind: str = "int") -> Column:
+def held_amount(wide: Column, precision: int = 14, scale: int = 2) -> Column:
+    """A wide amount rounded half away from zero; NULL where the column cannot hold it."""
+    return wide.try_cast(DecimalType(precision, scale))
+
+
+def wide_amount(value: Column | str, signed: bool = True) -> Column:
+    """Amount text as it is written, unrounded, for tests on zero and sign."""
+    return strict_decimal(value, 38, 10, signed)
+
+
+def to_whole(value: Column | str, kind: str = "bigint") -> Column:
     return _col(value).try_cast(kind)
 
 

@@ -81,7 +81,7 @@ def clean_accounts(raw: DataFrame) -> DataFrame:
         t.to_whole("cod_colaborador").alias("cod_colaborador"),
         F.trim("tipo_conta").alias("tipo_conta"),
         t.to_day("data_abertura").alias("data_abertura"),
-        t.strict_decimal("saldo_total").alias("saldo_total"),
+        t.held_amount(t.wide_amount("saldo_total")).alias("saldo_total"),
         t.to_decimal("saldo_disponivel").alias("saldo_disponivel"),
         last_entry.alias("data_ultimo_lancamento"),
     ).where("num_conta IS NOT NULL AND saldo_total IS NOT NULL")
@@ -91,24 +91,30 @@ def clean_accounts(raw: DataFrame) -> DataFrame:
 def clean_transactions(
     raw: DataFrame, channel: Callable[[str], Column] = channel_of
 ) -> DataFrame:
-    value = t.strict_decimal("valor_transacao")
+    """Zero and sign are told from the amount as written, before it is rounded.
+
+    Rows that cannot be kept are listed, each with its reason, by `rejects`.
+    """
+    wide = t.wide_amount("valor_transacao")
     return (
         raw.select(
             t.to_whole("cod_transacao", "bigint").alias("cod_transacao"),
             t.to_whole("num_conta").alias("num_conta"),
             t.to_instant("data_transacao").alias("data_transacao"),
             F.trim("nome_transacao").alias("nome_transacao"),
-            value.alias("valor_transacao"),
+            t.held_amount(wide).alias("valor_transacao"),
             channel("nome_transacao").alias("canal"),
+            wide.alias("_wide"),
         )
-        .where("cod_transacao IS NOT NULL AND valor_transacao <> 0")
+        .where("cod_transacao IS NOT NULL AND _wide <> 0 AND valor_transacao IS NOT NULL")
         .withColumns(
             {
                 "mes_referencia": month_start("data_transacao"),
                 "valor_absoluto": F.abs("valor_transacao"),
-                "flag_credito": F.col("valor_transacao") >= 0,
+                "flag_credito": F.col("_wide") >= 0,
             }
         )
+        .drop("_wide")
     )
 
 
@@ -192,7 +198,7 @@ def _proposals(raw: DataFrame, amount: Column) -> DataFrame:
 
 def clean_proposals(originals: DataFrame, synthetic: DataFrame | None = None) -> DataFrame:
     """Originals need an unsigned plain amount; synthetic rows are taken as they come."""
-    kept = _proposals(originals, t.strict_decimal("valor_proposta", signed=False)).where(
+    kept = _proposals(originals, t.held_amount(t.wide_amount("valor_proposta", signed=False))).where(
         "valor_proposta IS NOT NULL"
     )
     if synthetic is None:
@@ -327,3 +333,50 @@ def flatten_series(raw: DataFrame, column: str = "value", year: str = "2022") ->
             F.try_element_at(F.col("s.serie"), F.lit(year)).alias("valor"),
         )
     )
+
+
+# ---------------------------------------------------------------- rows that cleaning leaves out
+
+# What cleaning asks of each raw table: key, amount, whether it may have a sign, and be zero.
+KEPT_IF = [
+    ("clientes", "cod_cliente", None, True, True),
+    ("contas", "num_conta", "saldo_total", True, True),
+    ("transacoes", "cod_transacao", "valor_transacao", True, False),
+    ("propostas_credito", "cod_proposta", "valor_proposta", False, True),
+]
+
+
+def reject_reason(key: str, amount: str | None, signed: bool = True, zero: bool = True) -> Column:
+    """Why a raw row is not kept; NULL for a row that is."""
+    reason = F.when(F.col(key).isNull(), "chave ausente").when(t.to_whole(key).isNull(), "chave inválida")
+    if amount is not None:
+        wide = t.wide_amount(amount, signed)
+        reason = (
+            reason.when(F.col(amount).isNull(), "valor ausente")
+            .when(~t.numeric_text(amount, signed), "valor não numérico")
+            .when(wide.isNull() | t.held_amount(wide).isNull(), "valor grande demais")
+        )
+        if not zero:
+            reason = reason.when(wide == 0, "valor zero")
+    return reason
+
+
+def rejects(raw: dict[str, DataFrame], rules: list[tuple] = KEPT_IF) -> DataFrame:
+    """Every raw row that cleaning leaves out: table, key, amount as written, reason."""
+    found = None
+    for table, key, amount, signed, zero in rules:
+        # A client without an identity number is no client at all; that is told first.
+        reason = reject_reason(key, amount, signed, zero)
+        if table == "clientes":
+            reason = F.when(F.col("cpfcnpj").isNull(), "documento ausente").otherwise(reason)
+        one = raw[table].select(
+            F.lit(table).alias("tabela"), F.col(key).alias("chave"),
+            (F.lit(None).cast("string") if amount is None else F.col(amount)).alias("valor"), reason.alias("motivo"),
+        ).where("motivo IS NOT NULL")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def reject_counts(raw: dict[str, DataFrame], rules: list[tuple] = KEPT_IF) -> DataFrame:
+    """Rows left out by table and reason, for the audit."""
+    return rejects(raw, rules).groupBy("tabela", "motivo").agg(F.count("*").alias("qtd"))

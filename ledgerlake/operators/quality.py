@@ -18,6 +18,8 @@ from ledgerlake.functions import text as t
 from ledgerlake.functions.dates import REFERENCE_DAY, age_years, day, month_start
 
 SAMPLE_ROWS = 5
+# Failed totals named in an error, beside their count.
+EXAMPLES = 20
 SAMPLE_GLUE = " | "
 
 # Severities in order of weight, the status of a new finding, and the verdicts.
@@ -224,7 +226,8 @@ def severity_rank(severity: Column | str) -> Column:
 
 def bank_rules(as_of: dt.date = REFERENCE_DAY) -> list[Rule]:
     """The standard audit of the raw bank tables."""
-    number = t.to_decimal
+    # Wide enough for any text of a number, so that small and huge values count for what they are.
+    number = lambda value, precision=38, scale=10: t.to_decimal(value, precision, scale)
     age = age_years(t.to_day("data_nascimento"), as_of)
     return [
         RowRule("clientes", "cpfcnpj", "Formato CPF inválido", "ERROR",
@@ -250,7 +253,7 @@ def bank_rules(as_of: dt.date = REFERENCE_DAY) -> list[Rule]:
         RowRule("transacoes", "valor_transacao", "Valor acima de 1.000.000", "WARNING",
                 F.abs(number("valor_transacao")) > 1000000),
         RowRule("propostas_credito", "taxa_juros_mensal", "Taxa fora do range 0%-30%", "ERROR",
-                ~number("taxa_juros_mensal", 14, 6).between(0, F.lit("0.30").cast("decimal(3,2)"))),
+                ~number("taxa_juros_mensal").between(0, F.lit("0.30").cast("decimal(3,2)"))),
         RowRule("propostas_credito", "valor_entrada", "Entrada não menor que a proposta", "ERROR",
                 number("valor_entrada") >= number("valor_proposta")),
         OrphanRule("propostas_credito", "cod_cliente", "Proposta sem cliente", "ERROR", "clientes"),
@@ -388,7 +391,9 @@ def reconcile(
 
 def require_passed(results: DataFrame) -> DataFrame:
     """Raise when any reconciliation row failed."""
-    failed = results.where(F.col("situacao") != PASSED).limit(20).collect()
-    if failed:
-        raise QualityError("; ".join(f"{r.kpi}.{r.campo}: {r.obtido} != {r.esperado}" for r in failed))
+    failed = results.where(F.col("situacao") != PASSED)
+    count = failed.count()
+    if count:
+        shown = "; ".join(f"{r.kpi}.{r.campo}: {r.obtido} != {r.esperado}" for r in failed.take(EXAMPLES))
+        raise QualityError(f"{count} of the totals failed, for example {shown}")
     return results

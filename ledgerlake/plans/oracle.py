@@ -44,6 +44,11 @@ def number(text: str, kind: str = "decimal(14,2)", signed: bool = True) -> str:
     return f"case when regexp_full_match({text}, '{pattern}') then try_cast({text} as {kind}) end"
 
 
+def held(text: str, signed: bool = True) -> str:
+    """The amount rounded to cents, null where it has too many digits."""
+    return f"try_cast({number(text, 'decimal(38,10)', signed)} as decimal(14,2))"
+
+
 def age(birth: str) -> str:
     return f"date_part('year', age({AS_OF}, {birth}))::int"
 
@@ -81,8 +86,8 @@ def _daily(source: str, column: str, name: str) -> str:
 
 
 _PROPOSAL = """
-    try_cast(cod_proposta as bigint) as cod_proposta, try_cast(cod_cliente as int) as cod_cliente,
-    try_cast(cod_colaborador as int) as cod_colaborador, try_cast(data_entrada_proposta as date) as data_entrada_proposta,
+    try_cast(cod_proposta as bigint) as cod_proposta, try_cast(cod_cliente as bigint) as cod_cliente,
+    try_cast(cod_colaborador as bigint) as cod_colaborador, try_cast(data_entrada_proposta as date) as data_entrada_proposta,
     try_cast(taxa_juros_mensal as decimal(8,6)) as taxa_juros_mensal, {amount} as valor_proposta,
     try_cast(valor_financiamento as decimal(14,2)) as valor_financiamento,
     try_cast(valor_entrada as decimal(14,2)) as valor_entrada, try_cast(valor_prestacao as decimal(14,2)) as valor_prestacao,
@@ -94,7 +99,7 @@ BLOCKS: dict[str, str] = {
     **{f"e_{name}": text.format(**{t: t for t in TABLES}) for name, text in EVENT_SQL.items()},
     "s_clientes": f"""
         select *, {age('data_nascimento')} as idade, {age_band(age('data_nascimento'))} as faixa_etaria
-        from (select try_cast(cod_cliente as int) as cod_cliente, trim(primeiro_nome) as primeiro_nome,
+        from (select try_cast(cod_cliente as bigint) as cod_cliente, trim(primeiro_nome) as primeiro_nome,
                      trim(ultimo_nome) as ultimo_nome, lower(trim(email)) as email,
                      upper(trim(tipo_cliente)) as tipo_pessoa, try_cast(data_inclusao as date) as data_inclusao,
                      regexp_replace(cpfcnpj, '\\D', '', 'g') as cpf_digits, cpfcnpj as cpf_formatado,
@@ -102,7 +107,7 @@ BLOCKS: dict[str, str] = {
                      regexp_replace(cep, '\\D', '', 'g') as cep_digits
               from raw_clientes where cpfcnpj is not null)""",
     "s_sinteticos": """
-        select try_cast(cod_cliente as int) as cod_cliente, trim(primeiro_nome) as primeiro_nome,
+        select try_cast(cod_cliente as bigint) as cod_cliente, trim(primeiro_nome) as primeiro_nome,
                trim(ultimo_nome) as ultimo_nome, lower(trim(email)) as email, upper(tipo_cliente) as tipo_pessoa,
                try_cast(data_inclusao as date) as data_inclusao, cpfcnpj as cpf_formatado,
                try_cast(data_nascimento as date) as data_nascimento, try_cast(idade as int) as idade, faixa_etaria,
@@ -112,23 +117,23 @@ BLOCKS: dict[str, str] = {
     "s_contas": f"""
         select *, coalesce(data_ultimo_lancamento >= (select max(try_cast(data_ultimo_lancamento as date)) from raw_contas) - 90,
                            false) as eh_conta_ativa
-        from (select try_cast(num_conta as int) as num_conta, try_cast(cod_cliente as int) as cod_cliente,
-                     try_cast(cod_agencia as int) as cod_agencia, try_cast(cod_colaborador as int) as cod_colaborador,
+        from (select try_cast(num_conta as bigint) as num_conta, try_cast(cod_cliente as bigint) as cod_cliente,
+                     try_cast(cod_agencia as bigint) as cod_agencia, try_cast(cod_colaborador as bigint) as cod_colaborador,
                      trim(tipo_conta) as tipo_conta, try_cast(data_abertura as date) as data_abertura,
-                     {number('saldo_total')} as saldo_total, try_cast(saldo_disponivel as decimal(14,2)) as saldo_disponivel,
+                     {held('saldo_total')} as saldo_total, try_cast(saldo_disponivel as decimal(14,2)) as saldo_disponivel,
                      try_cast(data_ultimo_lancamento as date) as data_ultimo_lancamento
               from raw_contas)
         where saldo_total is not null""",
     "s_transacoes": f"""
-        select *, date_trunc('month', data_transacao)::date as mes_referencia, abs(valor_transacao) as valor_absoluto,
-               valor_transacao >= 0 as flag_credito
-        from (select try_cast(cod_transacao as bigint) as cod_transacao, try_cast(num_conta as int) as num_conta,
+        select * exclude (wide), date_trunc('month', data_transacao)::date as mes_referencia, abs(valor_transacao) as valor_absoluto,
+               wide >= 0 as flag_credito
+        from (select try_cast(cod_transacao as bigint) as cod_transacao, try_cast(num_conta as bigint) as num_conta,
                      try_cast(data_transacao as timestamp) as data_transacao, trim(nome_transacao) as nome_transacao,
-                     {number('valor_transacao')} as valor_transacao, {words('nome_transacao', rules.CHANNEL_WORDS)} as canal
+                     {held('valor_transacao')} as valor_transacao, {number('valor_transacao', 'decimal(38,10)')} as wide, {words('nome_transacao', rules.CHANNEL_WORDS)} as canal
               from raw_transacoes)
-        where valor_transacao <> 0""",
+        where wide <> 0 and valor_transacao is not null""",
     "s_agencias": f"""
-        select try_cast(a.cod_agencia as int) as cod_agencia, trim(a.nome) as nome,
+        select try_cast(a.cod_agencia as bigint) as cod_agencia, trim(a.nome) as nome,
                upper(trim(a.tipo_agencia)) as tipo_agencia, a.cidade, upper(a.uf) as uf, {region('a.uf')} as regiao,
                try_cast(a.data_abertura as date) as data_abertura,
                coalesce(try_cast(e.meta_comercial_mensal as decimal(14,2)), 500000) as meta_comercial_mensal,
@@ -136,15 +141,15 @@ BLOCKS: dict[str, str] = {
                true as eh_ativa
         from raw_agencias a left join raw_agencias_expandidas e using (cod_agencia)""",
     "s_colaboradores": """
-        select try_cast(cod_colaborador as int) as cod_colaborador, primeiro_nome, ultimo_nome, lower(email) as email, cpf,
+        select try_cast(cod_colaborador as bigint) as cod_colaborador, primeiro_nome, ultimo_nome, lower(email) as email, cpf,
                try_cast(data_nascimento as date) as data_nascimento, cidade, upper(uf) as uf, regiao, cargo,
                try_cast(nivel_hierarquico as int) as nivel_hierarquico, departamento,
-               try_cast(salario_base as decimal(12,2)) as salario_base, try_cast(cod_agencia as int) as cod_agencia,
+               try_cast(salario_base as decimal(12,2)) as salario_base, try_cast(cod_agencia as bigint) as cod_agencia,
                try_cast(data_admissao as date) as data_admissao, try_cast(nullif(data_demissao, '') as date) as data_demissao,
                lower(eh_ativo) in ('true', '1', 't') as eh_ativo
         from raw_colaboradores_expandidos
         union all
-        select try_cast(c.cod_colaborador as int), c.primeiro_nome, c.ultimo_nome, lower(c.email), c.cpf,
+        select try_cast(c.cod_colaborador as bigint), c.primeiro_nome, c.ultimo_nome, lower(c.email), c.cpf,
                try_cast(c.data_nascimento as date), null, null, null, null, null, null, null, null, null, null, true
         from raw_colaboradores c
         where c.cod_colaborador not in (select cod_colaborador from raw_colaboradores_expandidos)""",

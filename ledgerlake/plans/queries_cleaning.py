@@ -345,3 +345,39 @@ def card_usage(bank):
         finance.available_limit("limite_total", "gasto_mes").alias("limite_disponivel"),
         finance.utilisation_pct("gasto_mes", "limite_total").alias("pct_utilizacao"),
     )
+
+
+_NUMBER = "regexp_full_match({}, '-?[0-9]+\\.?[0-9]*')"
+
+
+@query("rejected_rows", f"""
+    select tabela, motivo, count(*) as qtd from (
+      select 'clientes' as tabela, case when cpfcnpj is null then 'documento ausente' when cod_cliente is null then 'chave ausente'
+             when try_cast(cod_cliente as bigint) is null then 'chave inválida' end as motivo from raw_clientes
+      union all
+      select 'contas', case when num_conta is null then 'chave ausente' when try_cast(num_conta as bigint) is null then 'chave inválida'
+             when saldo_total is null then 'valor ausente' when not {_NUMBER.format('saldo_total')} then 'valor não numérico'
+             when abs(round(saldo_total::decimal(38,10), 2)) >= 1000000000000 then 'valor grande demais' end from raw_contas
+      union all
+      select 'transacoes', case when cod_transacao is null then 'chave ausente' when try_cast(cod_transacao as bigint) is null then 'chave inválida'
+             when valor_transacao is null then 'valor ausente' when not {_NUMBER.format('valor_transacao')} then 'valor não numérico'
+             when abs(round(valor_transacao::decimal(38,10), 2)) >= 1000000000000 then 'valor grande demais'
+             when valor_transacao::decimal(38,10) = 0 then 'valor zero' end from raw_transacoes
+      union all
+      select 'propostas_credito', case when cod_proposta is null then 'chave ausente' when try_cast(cod_proposta as bigint) is null then 'chave inválida'
+             when valor_proposta is null then 'valor ausente' when not regexp_full_match(valor_proposta, '[0-9]+\\.?[0-9]*') then 'valor não numérico'
+             when round(valor_proposta::decimal(38,10), 2) >= 1000000000000 then 'valor grande demais' end from raw_propostas_credito
+    ) where motivo is not null group by 1, 2""")
+def rejected_rows(bank):
+    """What cleaning leaves out, counted by reason."""
+    return cleaning.reject_counts(bank.raw)
+
+
+@query("amounts_at_the_edges", """
+    select cod_transacao, num_conta, valor_transacao::double as valor_transacao, flag_credito from s_transacoes
+    where abs(valor_transacao) < 1 or num_conta > 2147483647""")
+def amounts_at_the_edges(bank):
+    """Tiny amounts and accounts beyond 32 bits are kept."""
+    return bank.silver["transacoes"].where("abs(valor_transacao) < 1 or num_conta > 2147483647").select(
+        "cod_transacao", "num_conta", "valor_transacao", "flag_credito"
+    )

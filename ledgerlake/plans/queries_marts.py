@@ -72,15 +72,11 @@ def kpi5(bank):
 
 
 @query("kpi5_ranking_with_ties", f"""
-    select k.cod_agencia, rank() over (order by k.qtd desc) as ranking
-    from (select a.cod_agencia, count(*) as qtd from f_contas c join g_agencia a using (sk_agencia) group by 1) k""")
+    select k.cod_agencia, rank() over (order by k.saldo_total desc) as ranking from ({_BALANCES}) k""")
 def kpi5_with_ties(bank):
-    counted = (
-        bank.gold["fato_contas"].groupBy("sk_agencia").agg(F.count("*").alias("saldo_total"))
-        .join(bank.gold["dim_agencia"].select("sk_agencia", "cod_agencia"), "sk_agencia")
-    )
-    nothing = counted.select("cod_agencia", F.lit(None).cast("decimal(38,2)").alias("volume_total"))
-    return marts.branch_ranking(counted, nothing, ties=True).select("cod_agencia", "ranking")
+    marts_of = warehouse.mart_views(bank.gold)
+    ranked = marts.branch_ranking(marts_of["kpi1"](), bank.mart("kpi5").select("cod_agencia", "volume_total"), ties=True)
+    return ranked.select("cod_agencia", "ranking")
 
 
 @query("kpi6_staff_portfolio", """
@@ -104,7 +100,7 @@ def kpi6(bank):
     from g_colaborador o join (select sk_colaborador, sum(saldo_total) as saldo from f_contas where computed_flag group by 1) c using (sk_colaborador)
     where o.eh_ativo order by c.saldo desc, o.cod_colaborador limit 20""")
 def top_staff_report(bank):
-    return warehouse.report(bank.gold, "kpi6", 20).where("qtd_contas_geridas > 0").select("cod_colaborador", "saldo_gerido")
+    return warehouse.report(bank.gold, "kpi6", 20, "qtd_contas_geridas > 0").select("cod_colaborador", "saldo_gerido")
 
 
 @query("views_over_views", f"""
@@ -301,11 +297,11 @@ def gdp_per_head(bank):
     select codigo_ibge, coalesce(s.renda::double, {ratio(cents('pib_per_capita'), '12')} / 100) as renda_media_per_capita,
            case when s.renda is not null then 'PUBLICADA' else 'ESTIMATIVA' end as fonte
     from g_municipio left join (select 1000000 + s_nationkey as codigo_ibge, max(cast(s_acctbal as decimal(14,2))) as renda
-                                from supplier group by 1 having max(s_acctbal) > 8000) s using (codigo_ibge)""")
+                                from supplier group by 1) s using (codigo_ibge)""")
 def income_per_head(bank):
     published = (
         bank.table("supplier").groupBy((F.col("s_nationkey") + 1000000).alias("codigo_ibge"))
-        .agg(F.max(F.col("s_acctbal").cast("decimal(14,2)")).alias("renda")).where("renda > 8000")
+        .agg(F.max(F.col("s_acctbal").cast("decimal(14,2)")).alias("renda"))
     )
     return marts.income_per_head(published, bank.gold["dim_municipio"])
 
@@ -327,9 +323,9 @@ def accounts_marked_all_active(bank):
 
 @query("original_accounts_only", f"""
     select count(*) as qtd, {money('valor_absoluto')} as volume from f_transacoes
-    where num_conta in (select num_conta::int from raw_contas where saldo_total <> '12.')""")
+    where num_conta in (select num_conta::bigint from raw_contas)""")
 def original_accounts_only(bank):
     """Volume of the accounts named in a raw list, by semi join; the key is cast once."""
-    listed = bank.raw["contas"].where("saldo_total <> '12.'").select(t.to_whole("num_conta").alias("num_conta"))
+    listed = bank.raw["contas"].select(t.to_whole("num_conta").alias("num_conta"))
     kept = bank.gold["fato_transacoes"].join(listed, "num_conta", "left_semi")
     return kept.agg(F.count("*").alias("qtd"), marts.money("valor_absoluto").alias("volume"))

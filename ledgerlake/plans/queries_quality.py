@@ -15,7 +15,7 @@ from ledgerlake.plans.oracle import age
 _FIVE = "(select string_agg(v, ' | ' order by v) from (select {0} as v from {1} where {2} order by 1 limit 5))"
 _BAD_CPF = "not regexp_full_match(cpfcnpj, '\\d{3}\\.\\d{3}\\.\\d{3}-\\d{2}')"
 _AGE = age("try_cast(data_nascimento as date)")
-_TOO_MUCH = "try_cast(saldo_disponivel as decimal(14,2)) > try_cast(saldo_total as decimal(14,2)) + 0.01"
+_TOO_MUCH = "try_cast(saldo_disponivel as decimal(38,10)) > try_cast(saldo_total as decimal(38,10)) + 0.01"
 
 
 def _rule(table: str, field: str, text: str, severity: str, count: str, sample: str = "null::varchar") -> str:
@@ -43,18 +43,18 @@ _LOG = "\nunion all\n".join([
     _rule("contas", "data_abertura", "Data de abertura no futuro", "ERROR",
           "select count(*) from raw_contas where data_abertura::date > date '1997-01-01'"),
     _rule("transacoes", "valor_transacao", "Valor de transação zero", "ERROR",
-          "select count(*) from raw_transacoes where try_cast(valor_transacao as decimal(14,2)) = 0"),
+          "select count(*) from raw_transacoes where try_cast(valor_transacao as decimal(38,10)) = 0"),
     _rule("transacoes", "num_conta", "Transação sem conta", "ERROR",
           _orphans("transacoes", "num_conta", "contas", "count(distinct num_conta)")),
     _rule("transacoes", "data_transacao", "Transação anterior à abertura da conta", "ERROR",
           "select count(*) from raw_transacoes x join raw_contas c using (num_conta) "
           "where x.data_transacao::timestamp::date < c.data_abertura::date"),
     _rule("transacoes", "valor_transacao", "Valor acima de 1.000.000", "WARNING",
-          "select count(*) from raw_transacoes where abs(try_cast(valor_transacao as decimal(14,2))) > 1000000"),
+          "select count(*) from raw_transacoes where abs(try_cast(valor_transacao as decimal(38,10))) > 1000000"),
     _rule("propostas_credito", "taxa_juros_mensal", "Taxa fora do range 0%-30%", "ERROR",
           "select count(*) from raw_propostas_credito where taxa_juros_mensal::decimal(14,6) not between 0 and 0.30"),
     _rule("propostas_credito", "valor_entrada", "Entrada não menor que a proposta", "ERROR",
-          "select count(*) from raw_propostas_credito where try_cast(valor_entrada as decimal(14,2)) >= try_cast(valor_proposta as decimal(14,2))"),
+          "select count(*) from raw_propostas_credito where try_cast(valor_entrada as decimal(38,10)) >= try_cast(valor_proposta as decimal(38,10))"),
     _rule("propostas_credito", "cod_cliente", "Proposta sem cliente", "ERROR", _orphans("propostas_credito", "cod_cliente", "clientes")),
     _rule("ipca", "data", "Mês faltando na série", "ERROR",
           "select count(*) from (select unnest(generate_series(date '2010-01-01', date '2025-12-01', interval 1 month))::date as m) "
@@ -120,10 +120,10 @@ def missing_series_months(bank):
 
 @query("series_day_gaps", """
     select de::varchar as de, ate::varchar as ate, (ate - de)::int as dias
-    from (select lag(d) over (order by d) as de, d as ate from (select distinct o_orderdate::date as d from orders where o_totalprice > 499000))
-    where ate - de > 5""")
+    from (select lag(d) over (order by d) as de, d as ate from (select distinct o_orderdate::date as d from orders))
+    where ate - de > 1""")
 def series_day_gaps(bank):
-    return quality.day_gaps(bank.table("orders").where("o_totalprice > 499000"), "o_orderdate", 5)
+    return quality.day_gaps(bank.table("orders"), "o_orderdate", 1)
 
 
 _CHANNELS = ("Pix", "TED", "DOC", "Compra Credito", "Compra Debito", "Saque", "Pagamento Boleto", "Outros")

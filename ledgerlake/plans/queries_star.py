@@ -117,10 +117,10 @@ def hot_key_lookup(bank):
     return per_nation.join(bank.table("nation"), "n_nationkey").select("n_name", "qtd", "total")
 
 
-@query("clients_with_orders", "select c_custkey from customer where c_custkey in (select o_custkey from orders where o_totalprice > 400000)")
+@query("clients_with_orders", "select c_custkey from customer where c_custkey in (select o_custkey from orders)")
 def clients_with_orders(bank):
-    rich = bank.table("orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
-    return bank.table("customer").select("c_custkey").join(rich, "c_custkey", "left_semi")
+    ordered = bank.table("orders").select(F.col("o_custkey").alias("c_custkey"))
+    return bank.table("customer").select("c_custkey").join(ordered, "c_custkey", "left_semi")
 
 
 @query("fact_transactions", """
@@ -174,7 +174,7 @@ def _products(bank):
 
 
 _PRODUCT_KEYS = "(select row_number() over (order by c) as sk_produto, c as cod_produto from (values {}) v(c))".format(
-    ", ".join(f"('{code}')" for items in dimensions.PRODUCTS.values() for code, _, _ in items)
+    ", ".join(f"('{code}')" for code, *_ in dimensions.PRODUCTS)
 )
 _TIME = "join g_dias t on t.data = {}"
 _CLIENT = "join g_cliente k on k.cod_cliente = e.cod_cliente"
@@ -245,7 +245,7 @@ def fact_revenue(bank):
     select cod_produto, categoria from (
       select distinct p_type || '-' || p_brand as cod_produto, p_type as categoria from part
       union all select v.c, v.g from (values {}) v(c, g))""".format(
-    ", ".join(f"('{code}', '{group}')" for group, items in dimensions.PRODUCTS.items() for code, _, _ in items)
+    ", ".join(f"('{code}', '{group}')" for code, _, group, *_ in dimensions.PRODUCTS)
 ))
 def products_inserted_if_absent(bank):
     """The constant products, and those of the part table that are not among them."""
@@ -286,13 +286,12 @@ def channel_seed_used(bank):
     select coalesce(a.codigo_ibge, b.codigo_ibge) as codigo_ibge,
            case when b.codigo_ibge is not null then b.populacao else a.populacao end as populacao,
            coalesce(a.ano, b.ano) as ano
-    from (select codigo_ibge, populacao::int as populacao, ano from raw_populacao where ano = '2020' and populacao::int > 55000) a
+    from (select codigo_ibge, populacao::int as populacao, ano from raw_populacao where ano = '2020') a
     full join (select codigo_ibge, populacao::int as populacao, ano from raw_populacao where ano = '2022') b using (codigo_ibge)""")
 def municipalities_upserted(bank):
     """The 2022 census over the 2020 one: known places take the new count, new places come in whole."""
     counts = bank.raw["populacao"].select("codigo_ibge", F.col("populacao").cast("int").alias("populacao"), "ano")
-    old = counts.where("ano = '2020' and populacao > 55000")
-    return upsert(old, counts.where("ano = '2022'"), ["codigo_ibge"], ["populacao"])
+    return upsert(counts.where("ano = '2020'"), counts.where("ano = '2022'"), ["codigo_ibge"], ["populacao"])
 
 
 @query("branch_regions", f"""

@@ -183,9 +183,10 @@ REPORT_ORDER: dict[str, list[Callable[[], Column]]] = {
 }
 
 
-def report(gold: Tables, name: str, rows: int | None = None) -> DataFrame:
-    """A mart in its usual order; `rows` keeps the top of it."""
-    ordered = mart_views(gold)[name]().orderBy(*[key() for key in REPORT_ORDER[name]])
+def report(gold: Tables, name: str, rows: int | None = None, where: str | None = None) -> DataFrame:
+    """A mart in its usual order; `where` picks its rows, and `rows` keeps the top of those."""
+    mart = mart_views(gold)[name]()
+    ordered = (mart if where is None else mart.where(where)).orderBy(*[key() for key in REPORT_ORDER[name]])
     return ordered if rows is None else ordered.limit(rows)
 
 
@@ -203,6 +204,6 @@ def build_warehouse(
     all_active: bool = True,
 ) -> dict[str, DataFrame]:
     """Every layer, written under `root`, and the marts over it."""
-    clean = silver_layer(raw, root).build()
+    clean = silver_layer(raw, root, as_of).build()
     gold = gold_layer(raw, clean, cal, root, as_of, all_active).build()
     return {name: make() for name, make in mart_views(gold).items()}

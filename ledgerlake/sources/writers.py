@@ -50,10 +50,10 @@ def append(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def compact(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Rewrite a table of small files; adaptive execution picks the number of files."""
-    spark.read.parquet(source).hint("rebalance").write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+def compact(spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Rewrite a table of small files, in the same layout; adaptive execution picks the number of files."""
+    df = spark.read.parquet(source)
+    return overwrite(df if partition_by else df.hint("rebalance"), target, partition_by)
 
 
 def write_snapshot(df: DataFrame, folder: str, day: dt.date | str) -> None:
@@ -82,8 +82,10 @@ def upsert(
 ) -> DataFrame:
     """Existing keys take the new values of `update`; unknown keys are added whole.
 
-    `new` must hold one row per key. NULL in `new` overwrites, as an update would.
+    Of several rows of `new` with one key the greatest counts. NULL in `new` overwrites,
+    as an update would.
     """
+    new = latest_per_key(new, list(keys), [])
     marked = new.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in new.columns if c not in keys],
                         F.lit(True).alias("_in_new"))
     joined = target.withColumn("_in_old", F.lit(True)).join(marked, list(keys), "full")

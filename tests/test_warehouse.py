@@ -85,7 +85,7 @@ def test_files_to_marts(spark, tmp_path):
     assert values(marts["kpi6"], "cod_colaborador", "qtd_contas_geridas", "saldo_gerido", "propostas_aprovadas") == [(50, 2, D("110.50"), 1)]
     # Client 2 keeps the original row, which is newer, and the band of a 76-year-old.
     assert values(marts["kpi7"], "faixa_etaria", "qtd_clientes", "saldo_total") == [
-        ("25-34", 1, D("100.50")), ("35-44", 1, D("10.00")), ("65+", 1, None)]
+        ("18-24", 1, D("100.50")), ("35-44", 1, D("10.00")), ("65+", 1, None)]
     assert values(marts["kpi8"], "mes", "volume_real") == [(1, D("66.28")), (2, D("20.00"))]
 
     gold = {n: spark.read.parquet(f"{root}/gold/{n}") for n in ("dim_agencia", "dim_cliente", "fato_transacoes", "dim_tempo")}
