@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates
 from ledgerlake.functions.rules import region_of
+from ledgerlake.operators.keys import latest_per_key
 
 # Annual targets (percent) and the spread of the interbank rate below the policy rate.
 RATE_TARGETS = {2025: 14.75, 2026: 12.50}
@@ -36,6 +37,7 @@ def compound(
     df: DataFrame, value: str, order: str, name: str, partition: Sequence[str] = (), rows: int | None = None
 ) -> DataFrame:
     """Compounded percentage over the trailing `rows` rows, or from the start of the partition."""
+    df = latest_per_key(df, [*partition, order], [])  # one row a period reaches the window
     first = Window.unboundedPreceding if rows is None else -(rows - 1)
     window = Window.partitionBy(*partition).orderBy(order).rowsBetween(first, 0)
     factor = 1 + F.col(value).cast("double") / 100
@@ -45,6 +47,7 @@ def compound(
 def trailing_sum(
     df: DataFrame, value: str, order: str, name: str, rows: int = 3, partition: Sequence[str] = ()
 ) -> DataFrame:
+    df = latest_per_key(df, [*partition, order], [])
     window = Window.partitionBy(*partition).orderBy(order).rowsBetween(-(rows - 1), 0)
     return df.withColumn(name, F.round(F.sum(value).over(window), 2))
 
@@ -70,7 +73,8 @@ def fold_index(changes: Column, base: Column, scale: int = 2) -> Column:
 def chained_index(
     df: DataFrame, value: str, order: str, base: float | Column, name: str = "indice", partition: Sequence[str] = ()
 ) -> DataFrame:
-    """Chain monthly changes into an index. One series is one row per month."""
+    """Chain monthly changes into an index. Of several rows of a month the greatest counts, so a series stays short."""
+    df = latest_per_key(df, [*partition, order], [])
     base = base if isinstance(base, Column) else F.lit(base)
     rest = [c for c in df.columns if c not in partition]
     ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_k"), F.struct(*rest).alias("_row"))))

@@ -134,6 +134,7 @@ def query(name: str, answer: str | None = None, optional: tuple[str, ...] = ()):
 def load() -> None:
     """Import the query modules, which register themselves."""
     from ledgerlake.plans import (  # noqa: F401
+        queries_catalogs,
         queries_cleaning,
         queries_marts,
         queries_quality,

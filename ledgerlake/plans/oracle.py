@@ -9,10 +9,35 @@ from __future__ import annotations
 
 import re
 
-from ledgerlake.functions import rules
 from ledgerlake.plans.bank_view import EVENT_SQL, RAW_SQL, TABLES
 
 SIGNED, UNSIGNED = r"-?[0-9]+\.?[0-9]*", r"[0-9]+\.?[0-9]*"
+# Fixed values, written out once more so that a wrong one in the engine shows.
+AGE_BANDS = [(18, 24, "18-24"), (25, 34, "25-34"), (35, 44, "35-44"), (45, 54, "45-54"), (55, 64, "55-64"), (65, None, "65+")]
+STATES = {
+    "Norte": ["AC", "AM", "AP", "PA", "RO", "RR", "TO"],
+    "Nordeste": ["AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"],
+    "Centro-Oeste": ["DF", "GO", "MS", "MT"],
+    "Sudeste": ["ES", "MG", "RJ", "SP"],
+    "Sul": ["PR", "RS", "SC"],
+}
+CHANNEL_WORDS = [
+    ("pix", "Pix"), ("ted", "TED"), ("doc", "DOC"), ("credito", "Compra Credito"), ("debito", "Compra Debito"),
+    ("saque", "Saque"), ("deposito", "Deposito Especie"), ("boleto", "Pagamento Boleto"),
+]
+SERVICE_WORDS = [
+    ("internet banking", "Internet Banking"), ("aplicativo", "Aplicativo Movel"), ("app", "Aplicativo Movel"),
+    ("pix", "Aplicativo Movel"), ("caixa eletronico", "Caixa Eletronico"), ("atm", "Caixa Eletronico"), ("agencia", "Agencia"),
+    ("telefone", "Central Telefonica"), ("debito automatico", "Debito Automatico"), ("ted", "Internet Banking"),
+]
+CHANNEL_FAMILIES = {
+    "Transferencia": ["Pix", "TED", "DOC"], "Cartao": ["Compra Credito", "Compra Debito"], "Caixa": ["Saque", "Deposito Especie"], "Boleto": ["Pagamento Boleto"],
+}
+SERVICE_FAMILIES = {
+    "Digital": ["Internet Banking", "Aplicativo Movel"], "Autoatendimento": ["Caixa Eletronico"], "Presencial": ["Agencia"], "Remoto": ["Central Telefonica"],
+}
+GDP_GROWTH = {"Norte": 0.065, "Nordeste": 0.055, "Centro-Oeste": 0.080, "Sudeste": 0.048, "Sul": 0.058}
+POPULATION_GROWTH = {"Norte": 0.010, "Nordeste": 0.004, "Centro-Oeste": 0.012, "Sudeste": 0.005, "Sul": 0.006}
 AS_OF, LAST_DAY = "date '2026-06-10'", "date '2001-08-01'"
 
 
@@ -49,14 +74,14 @@ def held(text: str, signed: bool = True) -> str:
     return f"try_cast({number(text, 'decimal(38,10)', signed)} as decimal(14,2))"
 
 
-def age(birth: str) -> str:
-    return f"date_part('year', age({AS_OF}, {birth}))::int"
+def age(birth: str, day: str = AS_OF) -> str:
+    return f"date_part('year', age({day}, {birth}))::int"
 
 
 def age_band(years: str, below: str = "Menor") -> str:
     cases = " ".join(
         f"when {years} >= {low} {'' if high is None else f'and {years} <= {high}'} then '{label}'"
-        for low, high, label in rules.AGE_BANDS
+        for low, high, label in AGE_BANDS
     )
     return f"case {cases} else '{below}' end"
 
@@ -64,7 +89,7 @@ def age_band(years: str, below: str = "Menor") -> str:
 def region(state: str) -> str:
     cases = " ".join(
         f"when upper({state}) in ({', '.join(repr(s) for s in states)}) then '{name}'"
-        for name, states in rules.STATES.items()
+        for name, states in STATES.items()
     )
     return f"case {cases} else 'Sudeste' end"
 
@@ -73,7 +98,7 @@ def words(name: str, pairs: list[tuple[str, str]]) -> str:
     return "case " + " ".join(f"when {name} ilike '%{w}%' then '{label}'" for w, label in pairs) + " else 'Outros' end"
 
 
-def family(value: str, families: dict[str, tuple[str, ...]], default: str) -> str:
+def family(value: str, families: dict[str, list[str]], default: str) -> str:
     cases = " ".join(
         f"when {value} in ({', '.join(repr(m) for m in members)}) then '{name}'" for name, members in families.items()
     )
@@ -129,7 +154,7 @@ BLOCKS: dict[str, str] = {
                wide >= 0 as flag_credito
         from (select try_cast(cod_transacao as bigint) as cod_transacao, try_cast(num_conta as bigint) as num_conta,
                      try_cast(data_transacao as timestamp) as data_transacao, trim(nome_transacao) as nome_transacao,
-                     {held('valor_transacao')} as valor_transacao, {number('valor_transacao', 'decimal(38,10)')} as wide, {words('nome_transacao', rules.CHANNEL_WORDS)} as canal
+                     {held('valor_transacao')} as valor_transacao, {number('valor_transacao', 'decimal(38,10)')} as wide, {words('nome_transacao', CHANNEL_WORDS)} as canal
               from raw_transacoes)
         where wide <> 0 and valor_transacao is not null""",
     "s_agencias": f"""
@@ -222,7 +247,7 @@ BLOCKS: dict[str, str] = {
         from s_colaboradores c left join g_agencia a on a.cod_agencia = c.cod_agencia""",
     "g_canal": f"""
         select row_number() over (order by canal) as sk_canal, canal as nome_canal,
-               {family('canal', rules.CHANNEL_FAMILIES, 'Digital')} as tipo_canal
+               {family('canal', CHANNEL_FAMILIES, 'Digital')} as tipo_canal
         from (select distinct canal from s_transacoes)""",
     "f_transacoes": """
         select t.sk_tempo, k.sk_cliente, a.sk_agencia, n.sk_canal, x.cod_transacao, x.num_conta, x.nome_transacao,

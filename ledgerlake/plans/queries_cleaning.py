@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates, finance, rules
 from ledgerlake.functions import text as t
 from ledgerlake.operators import cleaning, dimensions, marts
 from ledgerlake.plans.catalog import query
-from ledgerlake.plans.oracle import age, age_band, cents, family, number, ratio, region, words
+from ledgerlake.plans.oracle import (
+    CHANNEL_FAMILIES,
+    CHANNEL_WORDS,
+    SERVICE_FAMILIES,
+    SERVICE_WORDS,
+    age,
+    age_band,
+    cents,
+    family,
+    number,
+    ratio,
+    region,
+    words,
+)
 
 
 @query("clean_clients", """
@@ -250,6 +265,17 @@ def age_bands(bank):
     )
 
 
+_EARLIER = "date '2024-03-01'"
+
+
+@query("ages_at_another_day", f"""
+    select cod_cliente, {age('data_nascimento', _EARLIER)} as idade, {age_band(age('data_nascimento', _EARLIER))} as faixa_etaria
+    from s_clientes""", ("idade",))
+def ages_at_another_day(bank):
+    """The clean clients of a layer whose day is not the default one."""
+    return cleaning.clean_clients(bank.raw["clientes"], dt.date(2024, 3, 1)).select("cod_cliente", "idade", "faixa_etaria")
+
+
 @query("score_bands", """
     select k.cod_cliente, k.score_credito, b.classificacao as faixa, b.faixa_score as intervalo, b.risco, b.taxa::double as taxa_max_mes
     from (select cod_cliente, score_credito::int as score_credito from raw_clientes_sinteticos) k
@@ -282,10 +308,10 @@ def income_bands(bank):
 
 
 @query("channel_names", f"""
-    select *, {family('canal', rules.CHANNEL_FAMILIES, 'Digital')} as tipo_canal,
-           {family('atendimento', rules.SERVICE_FAMILIES, 'Automatico')} as tipo_atendimento
-    from (select nome_transacao, {words('nome_transacao', rules.CHANNEL_WORDS)} as canal,
-                 {words('nome_transacao', rules.SERVICE_WORDS)} as atendimento, count(*) as qtd
+    select *, {family('canal', CHANNEL_FAMILIES, 'Digital')} as tipo_canal,
+           {family('atendimento', SERVICE_FAMILIES, 'Automatico')} as tipo_atendimento
+    from (select nome_transacao, {words('nome_transacao', CHANNEL_WORDS)} as canal,
+                 {words('nome_transacao', SERVICE_WORDS)} as atendimento, count(*) as qtd
           from raw_transacoes group by 1)""")
 def channel_names(bank):
     names = bank.raw["transacoes"].groupBy("nome_transacao").agg(F.count("*").alias("qtd"))

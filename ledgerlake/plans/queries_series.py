@@ -8,7 +8,7 @@ from ledgerlake.functions import dates
 from ledgerlake.functions import text as t
 from ledgerlake.operators import series
 from ledgerlake.plans.catalog import query
-from ledgerlake.plans.oracle import region
+from ledgerlake.plans.oracle import GDP_GROWTH, POPULATION_GROWTH, region
 
 _CHANGES = "(select data, cast(no_mes as decimal(6,2)) as v from raw_ipca)"
 _FACTOR = "product(1 + v::double / 100)"
@@ -101,7 +101,7 @@ def _rate_by_region(rates: dict[str, float]) -> str:
     return f"(case regiao {cases} end)::double"
 
 
-_POP, _GDP = _rate_by_region(series.POPULATION_GROWTH), _rate_by_region(series.GDP_GROWTH)
+_POP, _GDP = _rate_by_region(POPULATION_GROWTH), _rate_by_region(GDP_GROWTH)
 
 
 @query("population_projected", f"""

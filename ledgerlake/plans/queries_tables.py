@@ -103,13 +103,18 @@ def typed_csv_read(bank):
     select 'agencias' as tabela, count(*) as linhas from raw_agencias
     union all select 'clientes', count(*) from raw_clientes
     union all select 'contas', count(*) from raw_contas
-    union all select * from (values ('colaboradores', 0), ('colaborador_agencia', 0), ('propostas_credito', 0), ('transacoes', 0))""")
+    union all select 'colaboradores', count(*) from raw_colaboradores
+    union all select 'colaborador_agencia', count(*) from raw_colaboradores_expandidos
+    union all select 'propostas_credito', count(*) from raw_propostas_credito
+    union all select 'transacoes', count(*) from raw_transacoes""")
 def sources_loaded_by_group(bank):
-    """Three files of the original group laid out as the registry expects; the missing ones count 0."""
+    """The seven files of the original group, laid out as the registry expects."""
     root = bank.scratch("arquivos")
-    specs = {spec.table: spec for spec in bank_specs("original")}
-    for name in ("agencias", "clientes", "contas"):
-        text = bank.raw[name].select(*specs[name].columns)
-        text.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(f"{root}/{specs[name].file}")
-    loaded, _ = readers.load_group(bank.spark, root, list(specs.values()))
+    specs = bank_specs("original")
+    held = {spec.table: bank.raw[spec.table] for spec in specs if spec.table != "colaborador_agencia"}
+    held["colaborador_agencia"] = bank.raw["colaboradores_expandidos"]
+    for spec in specs:
+        text = held[spec.table].select(*spec.columns)
+        text.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(f"{root}/{spec.file}")
+    loaded, _ = readers.load_group(bank.spark, root, specs)
     return readers.row_counts(loaded)
