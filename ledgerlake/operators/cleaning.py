@@ -335,6 +335,51 @@ def flatten_series(raw: DataFrame, column: str = "value", year: str = "2022") ->
     )
 
 
+# ---------------------------------------------------------------- product sources
+
+# The kinds of the product sources' columns; those not named are trimmed text.
+PRODUCT_KINDS = {
+    "investimentos": {
+        "id_investimento": "bigint", "cod_cliente": "bigint", "cod_agencia": "bigint", "data_aplicacao": "date", "data_vencimento": "date",
+        "valor_aplicado": "decimal(14,2)", "valor_atual": "decimal(14,2)", "rentabilidade_pct": "decimal(8,4)", "data_resgate": "date",
+        "valor_resgate": "decimal(14,2)",
+    },
+    "cartoes": {
+        "id_fatura": "bigint", "cod_cliente": "bigint", "cod_agencia": "bigint", "mes_referencia": "date", "limite_total": "decimal(12,2)",
+        "limite_disponivel": "decimal(12,2)", "gasto_mes": "decimal(12,2)", "valor_fatura": "decimal(12,2)", "valor_pago": "decimal(12,2)",
+        "valor_parcelado": "decimal(12,2)", "qtd_parcelas": "int", "dias_atraso": "int", "taxa_rotativo_mes": "decimal(6,4)",
+        "pct_utilizacao": "decimal(5,2)",
+    },
+    "seguros": {
+        "id_apolice": "bigint", "cod_cliente": "bigint", "cod_agencia": "bigint", "data_inicio": "date", "data_fim": "date",
+        "valor_segurado": "decimal(14,2)", "premio_mensal": "decimal(10,2)", "valor_sinistro": "decimal(14,2)", "foi_cross_sell": "boolean",
+    },
+    "inadimplencia": {
+        "id_inadimplencia": "bigint", "cod_cliente": "bigint", "data_referencia": "date", "valor_total_contrato": "decimal(14,2)",
+        "valor_aberto": "decimal(14,2)", "dias_atraso": "int", "score_credito": "int", "valor_recuperado": "decimal(14,2)",
+        "flag_write_off": "boolean", "data_write_off": "date",
+    },
+    "fraudes": {
+        "id_fraude": "bigint", "cod_cliente": "bigint", "cod_agencia": "bigint", "data_ocorrencia": "date", "valor_fraude": "decimal(14,2)",
+        "flag_tentativa": "boolean", "flag_confirmada": "boolean", "valor_recuperado": "decimal(14,2)", "data_deteccao": "timestamp_ntz",
+    },
+}
+
+
+def clean_product_source(raw: DataFrame, table: str) -> DataFrame:
+    """Typed rows of a product source; bad text gives NULL, and rows without their own key or client go."""
+    kinds = PRODUCT_KINDS[table]
+    key = next(iter(kinds))
+
+    def typed(name: str) -> Column:
+        kind, value = kinds.get(name), F.trim(name)
+        if kind is None:
+            return value.alias(name)
+        return (F.when(value != "", t.truthy(value)) if kind == "boolean" else t.blank_to_null(value).try_cast(kind)).alias(name)
+
+    return raw.select(*map(typed, raw.columns)).where(f"{key} IS NOT NULL AND cod_cliente IS NOT NULL")
+
+
 # ---------------------------------------------------------------- rows that cleaning leaves out
 
 # What cleaning asks of each raw table: key, amount, whether it may have a sign, and be zero.

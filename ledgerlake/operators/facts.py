@@ -248,3 +248,44 @@ def fact_revenue(source: DataFrame, cal: DataFrame, branches: DataFrame, product
             finance.margin("valor_receita", "valor_custo").alias("margem"),
         ],
     )
+
+
+# Of each product source, the day it counts for, and whether it has a product, a branch and a channel.
+PRODUCT_FACTS = {
+    "investimentos": ("data_aplicacao", True, True, False),
+    "cartoes": ("mes_referencia", True, True, False),
+    "seguros": ("data_inicio", True, True, False),
+    "inadimplencia": ("data_referencia", False, False, False),
+    "fraudes": ("data_ocorrencia", False, True, True),
+}
+
+
+def product_fact(
+    source: DataFrame,
+    table: str,
+    cal: DataFrame,
+    clients: DataFrame,
+    branches: DataFrame,
+    products: DataFrame,
+    channels: DataFrame,
+) -> DataFrame:
+    """A cleaned product source as a fact: its keys resolved, all its other columns as they are.
+
+    Calendar, client and product must be known; branch and channel may be missing.
+    """
+    day, has_product, has_branch, has_channel = PRODUCT_FACTS[table]
+    lookups = [
+        Lookup(cal, "data", "sk_tempo", day),
+        Lookup(current_rows(clients), "cod_cliente", "sk_cliente", "cod_cliente"),
+    ]
+    taken = {"cod_cliente", "nome_produto"}
+    if has_product:
+        lookups.append(Lookup(products, "cod_produto", "sk_produto", "cod_produto"))
+        taken.add("cod_produto")
+    if has_branch:
+        lookups.append(Lookup(branches, "cod_agencia", "sk_agencia", "cod_agencia", "left"))
+        taken.add("cod_agencia")
+    if has_channel:
+        lookups.append(Lookup(channels, "nome_canal", "sk_canal", "canal", "left"))
+        taken.add("canal")
+    return build_fact(source, lookups, [c for c in source.columns if c not in taken])

@@ -302,3 +302,67 @@ def branch_regions(bank):
     return bank.gold["dim_agencia"].groupBy(block).agg(
         F.count("*").alias("qtd"), F.count("sk_municipio").alias("com_municipio")
     )
+
+
+def _fact_sql(table: str, day: str, columns: str, product: bool = False, branch: bool = False, channel: bool = False) -> str:
+    """A product source's raw text, typed and joined to the dimensions."""
+    keys_of = ["t.sk_tempo", "k.sk_cliente"] + ["p.sk_produto"] * product + ["a.sk_agencia"] * branch + ["n.sk_canal"] * channel
+    return f"""
+    select {', '.join(keys_of)}, {columns}
+    from raw_{table} r join g_dias t on t.data = try_cast(trim(r.{day}) as date)
+    join g_cliente k on k.cod_cliente = try_cast(trim(r.cod_cliente) as bigint)
+    {f'join {_PRODUCT_KEYS} p on p.cod_produto = trim(r.cod_produto)' if product else ''}
+    {'left join g_agencia a on a.cod_agencia = try_cast(trim(r.cod_agencia) as bigint)' if branch else ''}
+    {'left join g_canal n on n.nome_canal = trim(r.canal)' if channel else ''}"""
+
+
+def _money_of(*names: str) -> str:
+    return ", ".join(f"try_cast(nullif(trim({n}), '') as decimal(14,2))::double as {n}" for n in names)
+
+
+@query("gold_investments", _fact_sql("investimentos", "data_aplicacao", f"""
+    id_investimento::bigint as id_investimento, try_cast(nullif(data_vencimento, '') as date)::varchar as data_vencimento,
+    {_money_of('valor_aplicado', 'valor_atual')}, rentabilidade_pct::decimal(8,4)::double as rentabilidade_pct, trim(status) as status""",
+    product=True, branch=True), ("sk_agencia",))
+def gold_investments(bank):
+    return bank.gold["fato_investimentos"].select(
+        "sk_tempo", "sk_cliente", "sk_produto", "sk_agencia", "id_investimento", "data_vencimento", "valor_aplicado", "valor_atual",
+        "rentabilidade_pct", "status")
+
+
+@query("gold_cards", _fact_sql("cartoes", "mes_referencia", f"""
+    try_cast(id_fatura as bigint) as id_fatura, {_money_of('limite_total', 'gasto_mes', 'valor_fatura', 'valor_pago')},
+    dias_atraso::int as dias_atraso, taxa_rotativo_mes::decimal(6,4)::double as taxa_rotativo_mes""", product=True, branch=True)
+    + " where try_cast(id_fatura as bigint) is not null", ("sk_agencia",))
+def gold_cards(bank):
+    return bank.gold["fato_cartoes"].select(
+        "sk_tempo", "sk_cliente", "sk_produto", "sk_agencia", "id_fatura", "limite_total", "gasto_mes", "valor_fatura", "valor_pago",
+        "dias_atraso", "taxa_rotativo_mes")
+
+
+@query("gold_insurance", _fact_sql("seguros", "data_inicio", f"""
+    num_apolice, data_fim::date::varchar as data_fim, {_money_of('valor_segurado', 'premio_mensal', 'valor_sinistro')}, trim(status_apolice) as status_apolice,
+    case when foi_cross_sell <> '' then lower(foi_cross_sell) in ('true', '1', 't') end as foi_cross_sell""", product=True, branch=True),
+    ("sk_agencia",))
+def gold_insurance(bank):
+    return bank.gold["fato_seguros"].select(
+        "sk_tempo", "sk_cliente", "sk_produto", "sk_agencia", "num_apolice", "data_fim", "valor_segurado", "premio_mensal", "valor_sinistro",
+        "status_apolice", "foi_cross_sell")
+
+
+@query("gold_arrears", _fact_sql("inadimplencia", "data_referencia", f"""
+    cod_contrato, tipo_contrato, {_money_of('valor_total_contrato', 'valor_aberto', 'valor_recuperado')}, dias_atraso::int as dias_atraso, bucket,
+    lower(flag_write_off) in ('true', '1', 't') as flag_write_off"""))
+def gold_arrears(bank):
+    return bank.gold["fato_inadimplencia"].select(
+        "sk_tempo", "sk_cliente", "cod_contrato", "tipo_contrato", "valor_total_contrato", "valor_aberto", "valor_recuperado", "dias_atraso",
+        "bucket", "flag_write_off")
+
+
+@query("gold_frauds", _fact_sql("fraudes", "data_ocorrencia", f"""
+    id_fraude::bigint as id_fraude, hora_ocorrencia, tipo_fraude, dispositivo, {_money_of('valor_fraude', 'valor_recuperado')},
+    lower(flag_confirmada) in ('true', '1', 't') as flag_confirmada, data_deteccao""", branch=True, channel=True), ("sk_agencia", "sk_canal"))
+def gold_frauds(bank):
+    return bank.gold["fato_fraudes"].select(
+        "sk_tempo", "sk_cliente", "sk_agencia", "sk_canal", "id_fraude", "hora_ocorrencia", "tipo_fraude", "dispositivo", "valor_fraude",
+        "valor_recuperado", "flag_confirmada", "data_deteccao")

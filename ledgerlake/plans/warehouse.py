@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.dates import REFERENCE_DAY
 from ledgerlake.functions.rules import AGE_BANDS
 from ledgerlake.operators import cleaning, dimensions, facts, marts
+from ledgerlake.operators.keys import small_surrogate_key
 from ledgerlake.sources.readers import with_stamp
 from ledgerlake.sources.writers import overwrite, publish_view
 
@@ -76,6 +77,7 @@ def silver(raw: Tables, as_of: dt.date = REFERENCE_DAY) -> Makers:
         "municipios": lambda: cleaning.clean_municipalities(
             raw["municipios"], raw["populacao"], raw["pib_municipal"]
         ),
+        **{name: (lambda name=name: cleaning.clean_product_source(raw[name], name)) for name in cleaning.PRODUCT_KINDS if name in set(raw)},
     }
 
 
@@ -138,6 +140,11 @@ def gold_layer(
             raw["propostas_credito"], g("dim_tempo"), g("dim_cliente"), g("dim_colaborador")
         ),
     }
+    makers["dim_produto"] = lambda: small_surrogate_key(dimensions.dim_product(g("dim_canal").sparkSession), "cod_produto", "sk_produto")
+    for name in sorted(set(facts.PRODUCT_FACTS) & set(clean)):
+        makers[f"fato_{name}"] = lambda name=name: facts.product_fact(
+            c(name), name, g("dim_tempo"), g("dim_cliente"), g("dim_agencia"), g("dim_produto"), g("dim_canal")
+        )
     layer = StoredTables(_stamped(makers, GOLD_STAMP), f"{root}/gold", {"fato_transacoes": ["ano_mes"]} if partition_facts else {})
     return layer
 
