@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.packing import encoder
+from ledgerlake.llm.storage import prepare
 from ledgerlake.llm.text import text_bytes
 
 #: Tokens of a window, and of the turns that it repeats.
@@ -134,6 +135,7 @@ _SCHEMA = pa.schema(
 
 def formatted(conversations: DataFrame, tokenizer: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conversations (conv_id, turn, role, text) -> windows: text, mask (code points), new_from: where new turns begin."""
+    prepare(conversations.sparkSession)
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.llm.fm_index import FMIndex
-from ledgerlake.llm.storage import stored
+from ledgerlake.llm.storage import prepare, stored
 from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, mix, runs, text_bytes, texts_of
 
 #: Words of a window.
@@ -164,6 +164,7 @@ _MORE = "n_words long, n_hit long, items array<string>, spans array<struct<start
 
 
 def _searched(rows: DataFrame, own: Patterns) -> DataFrame:
+    prepare(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(own)  # at most BLOCK_WORDS words
     kept: list[Searcher] = []
 

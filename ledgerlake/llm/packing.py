@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.storage import stored
-from ledgerlake.llm.text import LOWER, Table, fingerprints, runs, text_bytes, texts_of
+from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, runs, text_bytes, texts_of
 
 LENGTH = 4096
 END_ID = 2
 #: Tokens in a block; a whole number of windows is not needed.
 BLOCK = 1 << 18
-#: Pieces whose ids a worker remembers; beyond it, it starts anew.
-REMEMBERED = 1 << 20
+#: Pieces whose ids a worker remembers; beyond it, those not met again are forgotten, and if that is not half, all.
+REMEMBERED = 3 << 16
 
 # Classes of bytes: white space, letter, digit, other ASCII; and what may join its neighbours into one token.
 _SPACE, _LETTER, _DIGIT, _OTHER, _JOINS = range(5)
@@ -53,15 +53,41 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self._empty()
 
-    def _forget(self) -> None:
-        self.table = Table(1 << 14)
+    def _empty(self) -> None:
+        self.table = Table(REMEMBERED // 2)
+        self.keys = np.zeros(1 << 14, np.uint64)
         self.starts = np.zeros(1 << 14, np.int64)
         self.counts = np.zeros(1 << 14, np.int64)
+        self.again = np.zeros(1 << 14, bool)
         self.ids = np.zeros(1 << 16, np.int32)
         self.known = self.used = 0
 
+    def _forget(self) -> None:
+        """Keep what has been met again since the last time."""
+        met = np.flatnonzero(self.again[: self.known])
+        keys, counts = self.keys[met], self.counts[met]
+        places = np.cumsum(counts) - counts
+        ids = self.ids[np.repeat(self.starts[met] - places, counts) + np.arange(counts.sum())]
+        self._empty()
+        if len(met) <= REMEMBERED // 2:
+            self._put(keys, counts, ids)
+
+    def _put(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        n, used = self.known + len(keys), self.used + len(ids)
+        if n > len(self.keys):
+            self.keys, self.starts, self.counts, self.again = (
+                np.concatenate([x, np.zeros(n, x.dtype)]) for x in (self.keys, self.starts, self.counts, self.again)
+            )
+        if used > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(used, np.int32)])
+        self.keys[self.known : n], self.counts[self.known : n] = keys, counts
+        self.starts[self.known : n] = self.used + np.cumsum(counts) - counts
+        self.ids[self.used : used] = ids
+        self.table.add(keys, np.arange(self.known, n))
+        self.known, self.used = n, used
+
     def _learn(self, keys: np.ndarray, pieces: list[bytes], simple: np.ndarray) -> None:
         model, whole = self.tokenizer.model, self.tokenizer.encode_batch_fast
         found: list = [None] * len(pieces)
@@ -74,16 +100,7 @@ class Encoder:
         for i, e in zip(rest, whole([pieces[i].decode() for i in rest], add_special_tokens=False), strict=True):
             found[i] = e.ids
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        n, total = self.known + len(found), int(counts.sum())
-        if n > len(self.counts):
-            self.starts, self.counts = (np.concatenate([x, np.zeros(n, np.int64)]) for x in (self.starts, self.counts))
-        if self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.used + total, np.int32)])
-        self.counts[self.known : n] = counts
-        self.starts[self.known : n] = self.used + np.cumsum(counts) - counts
-        self.ids[self.used : self.used + total] = np.fromiter((t for f in found for t in f), np.int32, total)
-        self.table.add(keys, np.arange(self.known, n))
-        self.known, self.used = n, self.used + total
+        self._put(keys, counts, np.fromiter((t for f in found for t in f), np.int32, int(counts.sum())))
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The bytes to look up, starts and ends of the pieces, and which are of one class of plain ASCII letters."""
@@ -117,7 +134,11 @@ class Encoder:
             some, first = np.unique(keys[new], return_index=True)
             first = new[first]
             self._learn(some, [data[a:b].tobytes() for a, b in zip(starts[first], ends[first], strict=True)], simple[first] & self._alone(data, starts[first], ends[first]))
+            known = slots[slots >= 0]
             slots[new] = self.table.get(keys[new])
+        else:
+            known = slots
+        self.again[known] = True
         counts = self.counts[slots]
         at = np.concatenate([[0], np.cumsum(counts)])
         take = np.repeat(self.starts[slots] - at[:-1], counts) + np.arange(at[-1])
@@ -139,17 +160,6 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def in_parts(batch: pa.RecordBatch, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
-    """The rows in order, in slices of about so many bytes; a longer row is a slice of its own."""
-    sizes = np.diff(text_bytes(batch.column("text"))[1])
-    total, begin = np.cumsum(sizes), 0
-    while begin < len(sizes):
-        before = total[begin] - sizes[begin]
-        end = max(begin + 1, int(np.searchsorted(total, before + most, "right")))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
 _BLOCKS = (
     "part int, block long, start long, n long, docs array<struct<doc_id: long, start: long, n: long, doc_tokens: long>>,"
     " ids binary, head binary, tail binary"
@@ -202,18 +212,17 @@ def _blocks(path: str, length: int, end_id: int, size: int):
     return make
 
 
-_PIECE = "struct<doc_id: long, start: long, length: long, doc_tokens: long, offset: long>"
+_PIECE = "struct<doc_id: long, start: long, length: long, doc_tokens: long, offset: long, ids_crc32: long>"
 _PIECES = f"array<{_PIECE}>"
 
 
-def _pieces(docs: list[dict], begin: int, end: int, at: int) -> list[dict]:
-    """The parts of a block's documents that lie in its tokens begin:end, which stand in a window from `at` on."""
-    out, before = [], 0
+def _pieces(docs: list[dict], ids: memoryview, at: int) -> list[dict]:
+    """The pieces that documents have of some ids, which stand in a window from `at` on."""
+    out, a = [], 0
     for d in docs:
-        a, b = max(begin, before), min(end, before + d["n"])
-        if a < b:
-            out.append({"doc_id": d["doc_id"], "start": d["start"] + a - before, "length": b - a, "doc_tokens": d["doc_tokens"], "offset": at + a - begin})
-        before += d["n"]
+        b = min(len(ids) // 4, a + d["n"])
+        out.append({"doc_id": d["doc_id"], "start": d["start"], "length": b - a, "doc_tokens": d["doc_tokens"], "offset": at + a, "ids_crc32": zlib.crc32(ids[4 * a : 4 * b])})
+        a = b
     return out
 
 
@@ -228,7 +237,7 @@ def _split(docs: list[dict], cuts: list[tuple[int, int]]) -> Iterator[list[dict]
 
 def _cut(length: int, whole: bool):
     """Windows inside the blocks, or what the blocks have of the windows at their ends."""
-    piece = pa.struct([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "offset")])
+    piece = pa.struct([(c, pa.int64()) for c in ("doc_id", "start", "length", "doc_tokens", "offset", "ids_crc32")])
     schema = pa.schema([("sequence_id", pa.int64()), ("place", pa.int64()), ("pieces", pa.list_(piece)), ("ids", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +261,7 @@ def _cut(length: int, whole: bool):
                     else:
                         own = ids[a:b]
                     at = (g + a) % length
-                    rows.append({"sequence_id": (g + a) // length, "place": at, "pieces": _pieces(docs, 0, b - a, at), "ids": own.tobytes()})
+                    rows.append({"sequence_id": (g + a) // length, "place": at, "pieces": _pieces(docs, memoryview(data := own.tobytes()), at), "ids": data})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -262,17 +271,18 @@ def _cut(length: int, whole: bool):
 def token_blocks(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
     """First pass: the ids of all documents in blocks, written, each with its place in the whole stream."""
     blocks = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_blocks(tokenizer, length, end_id, block), _BLOCKS), "token_blocks")
-    # One row for each partition of the first pass.
+    # One row of two numbers for each partition of the first pass: it fits everywhere.
     totals = blocks.groupBy("part").agg(F.sum("n").alias("total"))
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     places = totals.select("part", F.coalesce(before, F.lit(0)).alias("base"))
-    return blocks.join(places, "part").withColumn("start", F.col("start") + F.col("base")).drop("base")
+    return blocks.join(F.broadcast(places), "part").withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
 def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
     """Sequences of `length` tokens (the last may have fewer): sequence_id, ids (unsigned 32-bit, little-endian), pieces.
 
-    pieces: what each document has there, in order: doc_id, start among the document's ids, length, doc_tokens, offset.
+    pieces: what each document has there, in order: doc_id, start among the document's ids, length, doc_tokens, offset,
+    and the checksum of its ids.
     """
     if length > block:
         raise ValueError("a block must hold a window")
@@ -308,19 +318,5 @@ def padded(sequences: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataF
 
 def piece_rows(sequences: DataFrame) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns: dict[str, list] = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")}
-            ids = batch.column("ids")
-            for i, (s, pieces) in enumerate(zip(batch.column("sequence_id").to_pylist(), batch.column("pieces").to_pylist(), strict=True)):
-                data = memoryview(ids[i].as_buffer())
-                for p in pieces:
-                    for c in ("doc_id", "start", "length", "doc_tokens", "offset"):
-                        columns[c].append(p[c])
-                    columns["ids_crc32"].append(zlib.crc32(data[4 * p["offset"] : 4 * (p["offset"] + p["length"])]))
-                    columns["sequence_id"].append(s)
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in columns.items()})
-
-    kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return sequences.select("sequence_id", "pieces", "ids").mapInArrow(make, kind)
+    rows = sequences.select("sequence_id", F.explode("pieces").alias("p"))
+    return rows.select(*(F.col(f"p.{c}") for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")), "sequence_id", "p.offset")

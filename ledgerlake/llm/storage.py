@@ -17,6 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once as Parquet and read again: the plan behind them is cut, lost executors cost nothing."""
     spark = df.sparkSession
+    prepare(spark)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -24,6 +25,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 #: Bytes of rows that go to a Python worker at once; one longer row goes alone.
 BATCH = "8m"
+#: Settings of Python workers: memory that a step no longer needs goes back to the system.
+WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "8388608", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -31,7 +34,10 @@ def prepare(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("64m", "64MB", "67108864", "67108864b"):
         spark.conf.set(key, BATCH)
+    environment = spark.sparkContext.environment
+    for name, value in WORKERS.items():
+        environment.setdefault(name, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
