@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.llm.storage import stored
+from ledgerlake.llm.storage import prepare, stored
 from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, runs, text_bytes
 
 #: Labelled documents to learn from at most, the first by a hash of their id.
@@ -100,12 +100,16 @@ def _log_odds(total: np.ndarray) -> np.ndarray:
     return np.log(-np.expm1(-np.maximum(total, 1e-12))) + total
 
 
-def fit(features: np.ndarray, place: np.ndarray, sentence: np.ndarray, owner: np.ndarray, labels: np.ndarray, steps: int = 250, rate: float = 0.15, decay: float = 2e-4) -> Model:
-    """place, sentence: feature and sentence of each occurrence; owner: document of each sentence; labels: of each document."""
+def fit(features: np.ndarray, start: np.ndarray, place: np.ndarray, sentence: np.ndarray, owner: np.ndarray, labels: np.ndarray, steps: int = 250, rate: float = 0.15, decay: float = 2e-5) -> Model:
+    """place, sentence: feature and sentence of each occurrence; owner: document of each sentence; labels: of each document.
+
+    Weights begin at `start`, the log odds that a feature's documents show: from zero, a rare feature would gain hardly
+    any of the credit for its documents, which goes to the sentences that are likely already.
+    """
     share = float(labels.mean())
     once = np.unique(place * np.int64(len(owner)) + sentence)  # a feature counts once in a sentence
     place, sentence = once // len(owner), once % len(owner)
-    weights, n = np.zeros(len(features) + 1), len(labels)
+    weights, n = np.append(start, 0.0), len(labels)
     weights[-1] = np.log(share * n / len(owner) + 1e-9)
     tune = np.arange(n) % 5 != 4  # the others find the cut
     moment, square = np.zeros_like(weights), np.zeros_like(weights)
@@ -176,7 +180,9 @@ def train(documents: DataFrame, labels: DataFrame, usable: F.Column, sample: int
     excess = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
     counts = counts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("z", excess)
     best = counts.filter((F.col("n") >= LEAST_DOCS) & (F.col("z") >= EVIDENCE)).orderBy(F.desc("z"), "key").limit(FEATURES)
-    features = np.sort(best.select("key").toArrow()["key"].to_numpy()).view(np.uint64)
+    best = best.select("key", "n", "k").toArrow().sort_by("key")
+    features, docs, hits = best["key"].to_numpy().view(np.uint64), best["n"].to_numpy(), best["k"].to_numpy()
+    start = np.log((hits + 0.5) / (docs - hits + 0.5)) - np.log(share / (1 - share))
     kept: list[Table] = []
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +207,7 @@ def train(documents: DataFrame, labels: DataFrame, usable: F.Column, sample: int
     place, sentence = (rows[c].combine_chunks() for c in ("place", "sentence"))
     before = np.repeat(np.cumsum(sizes) - sizes, place.value_lengths().to_numpy())
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    return fit(features, place.flatten().to_numpy(), sentence.flatten().to_numpy() + before, owner, rows["toxic"].to_numpy())
+    return fit(features, start, place.flatten().to_numpy(), sentence.flatten().to_numpy() + before, owner, rows["toxic"].to_numpy())
 
 
 class Scorer:
@@ -234,6 +240,7 @@ class Scorer:
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """Each row of documents as a struct `row`, with score, predicted and its offending sentences."""
+    prepare(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # words that LEAST_DOCS of the sample hold: bounded
     kept: list[Scorer] = []
 
