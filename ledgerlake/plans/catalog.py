@@ -54,12 +54,10 @@ class Bank:
         return _LAYERS[key]
 
     def _warehouse(self) -> StoredTables:
-        """Store all layers, several tables at a time; the marts need most of them."""
-        self.raw.build()
-        clean = self.silver.build()
+        """Dimensions and facts; each is stored, with what it needs, when it is first asked for."""
         return warehouse.gold_layer(
-            self.raw, clean, lambda: self.calendar, self.root, LAST_DAY, all_active=False
-        ).build()
+            self.raw, self.silver, lambda: self.calendar, self.root, LAST_DAY, all_active=False
+        )
 
     @property
     def raw(self) -> StoredTables:
