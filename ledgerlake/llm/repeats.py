@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.llm.storage import stored
+from ledgerlake.llm.storage import stored, stored_by
 from ledgerlake.llm.text import _BYTE_VALUES, _down, _up, in_parts, mix, text_bytes
 
 LENGTH = 400
@@ -301,18 +301,19 @@ _EXTENT = "gram long, around long, high long, low long"
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """texts (place, text) -> place, spans: where its bytes lie in repeated strings, as (start, end), in order, some overlapping."""
+    """texts (place, text) -> place, spans: the maximal runs of its bytes that lie in repeated strings, as (start, end), in order."""
     found = stored(texts.select("place", "text").mapInArrow(_find(length, gram), _ANCHORS), "anchors")
+    often = found.groupBy("gram").agg(F.count("*").alias("total")).filter("total > 1").select("gram")
+    found = stored(found.join(often, "gram", "left_semi"), "repeated_anchors")
     around = found.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("place", "at", "most", "least")).alias("one"))
     around = around.select("gram", "around", "n", "one.*")
-    often = around.groupBy("gram").agg(F.sum("n").alias("total"), F.count("*").alias("different")).filter("total > 1")
-    wanted = stored(around.join(often.select("gram", "different"), "gram"), "repeated_anchors")
+    wanted = stored(around.join(around.groupBy("gram").agg(F.count("*").alias("different")), "gram"), "surroundings")
     some, hottest = wanted.agg(F.count("*"), F.max("different")).first()
     parts = max(1, int(-(-some * 2 * length // PART)))
 
     def at_hand(rows: DataFrame) -> DataFrame:
         lists = rows.groupBy("place").agg(F.collect_list(F.struct("gram", "around", "n", "at", "most", "least")).alias("wanted"))
-        return texts.select("place", "text").join(lists, "place").select("text", "wanted")
+        return texts.select("place", "text").join(lists, "place").select(F.col("text").cast("binary").alias("text"), "wanted")
 
     runs = at_hand(wanted.filter(F.col("different") <= hot)).mapInArrow(_runs(length, parts), "part long, run binary")
     merged = runs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged(length, gram), _EXTENT)
@@ -322,31 +323,22 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
         counted = windows.join(again, "digest").groupBy("gram", "around").agg(F.max("offset").alias("high"), F.min("offset").alias("low"))
         merged = merged.unionByName(counted)
     spans = found.join(merged, ["gram", "around"]).select("place", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end"))
-    return spans.groupBy("place").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    # Spans that touch are one: a span begins one where it lies behind all before it.
+    ordered = Window.partitionBy("place").orderBy("start", "end")
+    before = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    runs_of = spans.withColumn("new", F.when(F.col("start") <= before, 0).otherwise(1)).withColumn("run", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    merged_spans = runs_of.groupBy("place", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return merged_spans.groupBy("place").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Each row of documents as a struct `row`, with the maximal runs of its bytes that lie in repeated strings: spans."""
-    rows = stored(documents.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row"), F.col("text").cast("binary").alias("text")), "rows")
-    found = repeated_spans(rows, length, gram, hot)
+    # Texts move once, into buckets; both joins with them then move only numbers.
+    rows = stored_by(documents.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")), "place", "rows")
+    found = repeated_spans(rows.select("place", F.col("row.text").alias("text")), length, gram, hot)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            out = []
-            for spans in batch.column("spans").to_pylist():
-                merged: list[dict] = []
-                for s in spans or []:
-                    if merged and merged[-1]["end"] >= s["start"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                    else:
-                        merged.append(s)
-                out.append(merged)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, kind)], names=["row", "spans"])
-
-    whole = rows.select("place", "row").join(found, "place", "left").select("row", "spans")
-    kind = StructType([f for f in whole.schema.fields if f.name == "row"] + StructType.fromDDL("spans array<struct<start: long, end: long>>").fields)
-    return whole.mapInArrow(make, kind)
+    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return rows.select("place", "row").join(found, "place", "left").select("row", F.coalesce("spans", none).alias("spans"))
 
 
 def kept_bytes(rows: DataFrame) -> DataFrame:

@@ -14,17 +14,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Row groups of tables with long rows: a reader holds a whole group at once.
+SMALL_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "4"}
+
+
+def stored(df: DataFrame, name: str, long_rows: bool = False) -> DataFrame:
     """The rows, written once as Parquet and read again: the plan behind them is cut, lost executors cost nothing."""
     spark = df.sparkSession
     prepare(spark)
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.options(**(SMALL_GROUPS if long_rows else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows, written once in buckets of a key: later joins on it move only the other side."""
+    spark = df.sparkSession
+    prepare(spark)
+    mark = f"{name}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{mark}"
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(mark)
+    return spark.table(mark)
+
+
 #: Bytes of rows that go to a Python worker at once; one longer row goes alone.
-BATCH = "8m"
+BATCH = "4m"
 #: Settings of Python workers: memory that a step no longer needs goes back to the system.
 WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "8388608", "MALLOC_TRIM_THRESHOLD_": "8388608", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
