@@ -25,8 +25,8 @@ from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, runs, text
 
 LENGTH = 4096
 END_ID = 2
-#: Tokens in a block; a whole number of windows is not needed.
-BLOCK = 1 << 18
+#: Tokens in a block; a whole number of windows is not needed. Rows of a few hundred KB are easy on executors.
+BLOCK = 1 << 16
 #: Pieces whose ids a worker remembers; beyond it, those not met again are forgotten, and if that is not half, all.
 REMEMBERED = 3 << 16
 
@@ -270,7 +270,7 @@ def _cut(length: int, whole: bool):
 
 def token_blocks(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
     """First pass: the ids of all documents in blocks, written, each with its place in the whole stream."""
-    blocks = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_blocks(tokenizer, length, end_id, block), _BLOCKS), "token_blocks")
+    blocks = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_blocks(tokenizer, length, end_id, block), _BLOCKS), "token_blocks", long_rows=True)
     # One row of two numbers for each partition of the first pass: it fits everywhere.
     totals = blocks.groupBy("part").agg(F.sum("n").alias("total"))
     before = F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
