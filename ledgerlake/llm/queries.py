@@ -104,7 +104,7 @@ def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         *(count(k) for k in ("assign", "access", "hex")),
         F.sha2(listed(F.col("spans"), 3), 256).alias("base_sha256"),
-        listed(F.col("spans")).alias("spans"),
+        listed(F.col("spans"), len(KINDS)).alias("spans"),
     )
 
 

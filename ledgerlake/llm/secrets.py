@@ -3,7 +3,9 @@
 Base kinds: an assignment of a value to a name like password, an access key, a long run of hexadecimal digits. Besides,
 every run of 20 or more characters of keys and encodings is a candidate: a window slides over it, and the window's
 Shannon entropy follows from counts that change by the one character that enters and the one that leaves. Windows at
-or above the limit of the run's character class are merged into `entropy` spans. Runs on the allow-list are suppressed.
+or above the limit of the run's character class and of their width are merged into `entropy` spans. Runs on the allow-list
+are suppressed. A name, a separator or a neighbour can widen a candidate's class beyond that of the key inside, so its parts
+of fewer kinds of characters (PARTS) are judged by their own class as well and give merged `part` spans.
 
 No row leaves its task: nothing is shuffled, so neither sources nor copies nor long texts can be hot.
 
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 # The base kinds in their order, and their patterns. An access key of 20 or more characters and a
 # run of 24 or more hexadecimal digits always lie inside a candidate.
-KINDS = ["assign", "access", "hex", "entropy"]
+KINDS = ["assign", "access", "hex", "entropy", "part"]
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
@@ -29,8 +31,24 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 LEAST_VALUE = 6
 #: Characters in a window; a shorter candidate is one window.
 WINDOW = 24
-#: Character classes, the first that fits a candidate holds, and the entropy in bits from which a window counts.
-CLASSES = [(r"^[0-9]+$", 9.9), (r"^[0-9a-f]+$", 3.0), (r"^[0-9A-F]+$", 3.0), (r"^[A-Za-z0-9+/_=-]+$", 4.0)]
+#: Characters in a candidate, and so in a part or a window, at least.
+LEAST = 20
+#: Characters of a class, and the entropy in bits from which a window of 20, 21, 22, 23 and 24 characters counts: what at most
+#: one in about 200 random strings of that width falls below (for letters of one case and digits, strings over 32 symbols).
+#: Other mixtures keep the share of the largest entropy that 4.0 bits are of 24 characters.
+_LIMITS = [
+    (r"[0-9]", [2.4, 2.45, 2.5, 2.5, 2.55]),
+    (r"[0-9a-f]", [2.8, 2.85, 2.9, 2.9, 2.95]),
+    (r"[0-9A-F]", [2.8, 2.85, 2.9, 2.9, 2.95]),
+    (r"(?=.*[0-9])[A-Z0-9]", [3.25, 3.3, 3.35, 3.4, 3.45]),
+    (r"(?=.*[0-9].*[a-z].*[0-9])[a-z0-9]", [3.25, 3.3, 3.35, 3.4, 3.45]),  # not a long word and its number
+    (r"(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/_=-]", [3.55, 3.65, 3.7, 3.75, 3.8]),
+    (r"[A-Za-z0-9+/_=-]", [3.74, 3.81, 3.87, 3.94, 4.0]),
+]
+#: Character classes by width, the first that fits a candidate or a part holds, and the entropy in bits from which a window counts.
+CLASSES = [(rf"^{of}{{{LEAST + k}}}$" if LEAST + k < WINDOW else rf"^{of}+$", bits) for of, limits in _LIMITS for k, bits in enumerate(limits)]
+#: Parts of a candidate that are judged by themselves.
+PARTS = [r"[0-9]{20,}", r"[0-9a-f]{20,}", r"[0-9A-F]{20,}", r"[A-Z0-9]{20,}", r"[a-z0-9]{20,}", r"[A-Za-z0-9]{20,}"]
 #: Candidates that look random but are none: words, identifiers and paths of words, UUIDs, digests, samples, one character.
 ALLOWED = [
     r"^[A-Za-z]+$",
@@ -88,8 +106,8 @@ def _none() -> Column:
     return F.array().cast(_SPAN)
 
 
-def _entropy(chars: Column, limit: Column, start: Column) -> Column:
-    """Merged windows of a candidate whose entropy reaches the limit."""
+def _entropy(chars: Column, limit: Column, start: Column, kind: str) -> Column:
+    """Merged windows of a candidate or a part whose entropy reaches the limit."""
     n = F.size(chars)
     width = F.least(n, F.lit(WINDOW))
     weight = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])  # c log c of a count c
@@ -118,21 +136,39 @@ def _entropy(chars: Column, limit: Column, start: Column) -> Column:
     spans = F.when(
         n > width, F.aggregate(F.sequence(width + 1, n), begin, step, closed)
     ).otherwise(_let(begin, closed))
-    return F.transform(spans, lambda x: _span(start + x["a"], "entropy", start + x["b"]))
+    return F.transform(spans, lambda x: _span(start + x["a"], kind, start + x["b"]))
+
+
+def _merged(spans: Column) -> Column:
+    """Spans of one kind, those that touch or overlap as one."""
+    last = lambda t: F.element_at(t, -1)
+    joined = lambda t, x: F.concat(F.slice(t, F.lit(1), F.size(t) - 1), F.array(last(t).withField("end", F.greatest(last(t)["end"], x["end"]))))
+    return F.aggregate(F.array_sort(spans), _none(), lambda t, x: F.when(F.size(t) == 0, F.array(x)).when(F.try_element_at(t, F.lit(-1))["end"] >= x["start"], joined(t, x)).otherwise(F.concat(t, F.array(x))))
+
+
+def _windows(start: Column, run: Column, kind: str) -> Column:
+    """The spans of high entropy in a candidate or a part."""
+    limit = F.lit(None).cast("double")
+    for pattern, bits in reversed(CLASSES):
+        limit = F.when(run.rlike(pattern), F.lit(bits)).otherwise(limit)
+    allowed = F.lit(False)
+    for pattern in ALLOWED:
+        allowed = allowed | run.rlike(pattern)
+    judged = _let(F.struct(F.split(run, "").alias("chars"), limit.alias("limit")), lambda x: _entropy(x["chars"], x["limit"], start, kind))
+    return F.when(allowed, _none()).otherwise(judged)
 
 
 def _inside(candidate: Column) -> Column:
-    """The spans in one candidate (start, match): access keys, hexadecimal runs and high entropy."""
+    """The spans in one candidate (start, match): access keys, hexadecimal runs and high entropy, of the whole and of its parts."""
     start, match = candidate["start"], candidate["match"]
     of = lambda pattern, kind: F.transform(_places(match, pattern), lambda m: _span(start + m["start"], kind, start + m["start"] + _long(m["match"])))
-    limit = F.lit(None).cast("double")
-    for pattern, bits in reversed(CLASSES):
-        limit = F.when(match.rlike(pattern), F.lit(bits)).otherwise(limit)
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | match.rlike(pattern)
-    windows = _let(F.split(match, ""), lambda chars: _entropy(chars, limit, start))
-    return F.concat(of(ACCESS, "access"), of(HEX, "hex"), F.when(allowed, _none()).otherwise(windows))
+    parts = F.array_distinct(F.concat(*[_places(match, p) for p in PARTS]))
+    parts = F.filter(parts, lambda m: F.length(m["match"]) < F.length(match))
+    parts = _merged(F.flatten(F.transform(parts, lambda m: _windows(start + m["start"], m["match"], "part"))))
+    return F.concat(of(ACCESS, "access"), of(HEX, "hex"), _windows(start, match, "entropy"), F.when(allowed, _none()).otherwise(parts))
 
 
 def secret_spans(text: Column) -> Column:
@@ -150,8 +186,8 @@ def scan(documents: DataFrame) -> DataFrame:
     return documents.select(F.struct("*").alias("row"), secret_spans(F.col("text")).alias("spans"))
 
 
-def listed(spans: Column, kinds: int = len(KINDS)) -> Column:
-    """kind:start:end of the spans of the first kinds, comma-joined."""
+def listed(spans: Column, kinds: int = KINDS.index("part")) -> Column:
+    """kind:start:end of the spans of the first kinds, comma-joined; parts only if all kinds are asked for."""
     names = F.array(*[F.lit(k) for k in KINDS])
     kept = F.filter(spans, lambda s: s["kind"] < kinds)
     return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")

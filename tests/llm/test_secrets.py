@@ -68,3 +68,26 @@ def test_no_python_in_the_plan(frame):
     plan = scan(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert scan(df).count() == 0
+
+
+def test_keys_of_each_alphabet(frame):
+    """Random keys of each alphabet, alone and behind a name, are found whole; words, names and one-sided numbers are not."""
+    rng, keys = random.Random(5), []
+    digits, low, up = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for name, alphabet in {"digit": digits, "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "low": digits + low, "up": digits + up, "base32": up + "234567", "mixed": digits + low + up}.items():
+        for width in (20, 21, 22, 23, 24, 32):
+            for before in ("", "X-Key=", "id_", "/v1/"):
+                for _ in range(5):
+                    keys.append((name, before, "".join(rng.choice(alphabet) for _ in range(width))))
+    keys.append(("HEX", "X-Key=", "9F86D081884C7D659A2FEAA0C55AD015"))
+    rows = [(i, f"see {b}{k} there") for i, (_, b, k) in enumerate(keys)]
+    got = scan(frame("doc_id long, text string", rows)).select("row.doc_id", redacted(F.col("row.text"), F.col("spans")).alias("t")).collect()
+    missed = {}
+    for r in got:
+        name, _, key = keys[r.doc_id]
+        missed[name] = missed.get(name, 0) + (key in r.t)
+    assert len(got) == len(keys) and all(n <= 0.04 * 120 for n in missed.values()), missed
+    assert "[SECRET]" in next(r.t for r in got if r.doc_id == len(keys) - 1)
+    words = ["/path/of/internationalization/readme", "name=donaudampfschifffahrtsgesellschaft1", "11111111111111111111", "00000000000000000001", "x=zzzzzzzzzzzzzzzzzzzzzzzz1", "id=123e4567-e89b-12d3-a456"]
+    plain_rows = scan(frame("doc_id long, text string", list(enumerate(words)))).select("row.text", listed(F.col("spans"), len(KINDS)).alias("spans")).collect()
+    assert {r.text: r.spans for r in plain_rows} == dict.fromkeys(words, "")
