@@ -1,9 +1,11 @@
 """Surrogates for personal data: each entity is replaced by another of its kind and format, the same wherever it stands.
 
 Entities are found by pattern: e-mail addresses, telephone, card and social security numbers, IP addresses, IBANs, and
-names (after a title, or a known first name before a surname). A surrogate follows from a secret key and the entity alone: letters
+names (after a title, or a known first name before a surname; they run on over particles, initials, hyphens and all capitalised
+words that follow). A text's detected surnames and first names count wherever else they stand in it, capitalised. A surrogate follows from a secret key and the entity alone: letters
 become letters, digits digits, check digits stay right, a first name keeps its gender and script, a surname its script. A name's
-words are replaced one by one, so `Mrs Lopez` and `Ana Lopez` still share their surname.
+words are replaced one by one, so `Mrs Lopez` and `Ana Lopez` still share their surname. Particles, initials and words of further
+scripts in a name stay as they are.
 
 Collision checks keep distinct entities distinct: where two entities get one surrogate, or a surrogate is itself an entity
 of the corpus, the smallest entity keeps it and the others try again with the next number, until none is left. Most entities need no
@@ -44,7 +46,17 @@ _FIRST_ENDS = {("latin", "f"): "na", ("latin", "m"): "ro", ("cyrillic", "f"): "
 _LAST_ENDS = {"latin": ["son", "mann", "ez", "ard"], "cyrillic": ["енко", "ук", "ян", "ич"]}
 _NAMED = {name: key for key, names in FIRST_NAMES.items() for name in names}
 
+# Small words within surnames, those that are so with a capital too, and capitalised words that begin a sentence rather than go on
+# with a name.
+PARTICLES = "af al ap auf av ben bin da dal das de del della den der des di do dos du el ibn la las le li los op san santa st ten ter und van vom von zu zum zur".split()
+_CAPITAL_PARTICLES = set("Da De Del Della Der Des Di Dos La Las Los Van Von Vom Zu Zum Zur".split())
+_NO_NAMES = set("A An And As At But By For From He Her His I If In Is It Its My No Not On Or Our She So That The Their Then There They This To We Was When Who Will With You Your Der Die Das Und Er Sie El La Los Las Il Elle Le Les Et И В Он Она Они Но".split())
+
 _WORD = r"[^\W\d_]+"
+# A name's word, without an elided particle before it and without a possessive ending.
+_NAME_WORD = re.compile(rf"(?:[dl]['’](?=[^\W\d_a-z]))?(?P<word>{_WORD}(?:['’](?![sS]\b){_WORD})*)")
+# Where a name begins: behind a title, or at a known first name.
+_NAME_HEAD = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\b\.?[ ]|(?P<first>{'|'.join(_NAMED)})\b(?=[ -]))")
 _PATTERNS = [
     ("email", "@", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
     ("ip", ".", r"\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"),
@@ -53,16 +65,15 @@ _PATTERNS = [
     ("ssn", "-", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("card", "", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
     ("iban", "", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("name", "", rf"\b(?P<title>{'|'.join(TITLES)})\b\.?[ ](?P<names>{_WORD}(?:[ -]{_WORD})?)"),
-    ("name", "", rf"\b(?P<first>{'|'.join(_NAMED)}) (?P<last>{_WORD})\b"),
 ]
 _PATTERNS = [(kind, sign, re.compile(pattern)) for kind, sign, pattern in _PATTERNS]
 # What a text must hold for a kind to be looked for at all; each is cheap, and true wherever the kind's pattern matches.
 _CAPITAL = r"[^\W\d_a-zß-öø-ÿа-я]"  # or a rarer small letter
 _NUMBERS = re.compile(r"\d[\d .()-]{3,}\d")
+_PARTICLE = rf"(?:{'|'.join(PARTICLES)}) |[dl]['’]"
 _NEEDED = {
     "ip": _NUMBERS, "phone": _NUMBERS, "ssn": _NUMBERS, "card": _NUMBERS, "iban": re.compile(r"[A-Z]{2}\d{2}"),
-    "name": re.compile(rf"(?:{_CAPITAL}\w*|(?:{'|'.join(TITLES)})\.?) {_CAPITAL}"),
+    "name": re.compile(rf"(?:{_CAPITAL}\w*|(?:{'|'.join(TITLES)})\.?) (?:{_CAPITAL}|{_PARTICLE})"),
 }
 
 
@@ -90,23 +101,56 @@ def _iban(text: str) -> bool:
     return 15 <= len(t) <= 34 and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
 
 
-def _names(m: re.Match) -> list[tuple[int, int, str, str]]:
-    """The words of a name as entities: first names by gender and script, surnames by script."""
-    if "first" in m.re.groupindex:
-        words = [(m.start("first"), m["first"]), (m.start("last"), m["last"])]
-        gender = _NAMED[m["first"]][1]
-    else:
-        words = [(m.start("names") + w.start(), w[0]) for w in re.finditer(_WORD, m["names"])]
-        gender = TITLES[m["title"]]
-        while words and not words[-1][1][0].isupper():
-            words.pop()
-    out = []
-    for k, (at, word) in enumerate(words):
-        script = _script(word)
-        if script is None or len(word) < 2 or not word[0].isupper():
-            return []
-        first = k < len(words) - 1
-        out.append((at, at + len(word), f"first-{gender}-{script}" if first else f"last-{script}", word.lower()))
+def _name_words(text: str, at: int) -> tuple[list[tuple[int, str, bool, bool]], int]:
+    """The words of a name from a place on, and where they end: start, word, whether it is a particle, whether a hyphen follows."""
+    words, end = [], at
+    while (m := _NAME_WORD.match(text, at)) is not None:
+        word = m["word"]
+        particle = word in PARTICLES or word in _CAPITAL_PARTICLES
+        if not (particle or word[0].isupper()) or word in TITLES or words and word in _NO_NAMES and not particle and len(word) > 1:
+            break
+        at = m.end()
+        if len(word) == 1 and text.startswith(". ", at):  # an initial
+            at += 1
+        words.append((m.start("word"), word, particle, text.startswith("-", at)))
+        end = at
+        if not text.startswith((" ", "-"), at):
+            break
+        at += 1
+    # Neither particles in small letters nor initials end a name.
+    while words and (not words[-1][1][0].isupper() or len(words[-1][1]) < 2):
+        words.pop()
+    return words, end
+
+
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """The words of all names as entities: first names by gender and script, surnames by script; and their further mentions."""
+    out, at, kinds = [], 0, {}
+    while (m := _NAME_HEAD.search(text, at)) is not None:
+        words, end = _name_words(text, m.end() if m["title"] else m.start())
+        at = max(m.end(), end if words else 0)
+        # The surname: what a hyphen joins to the last word, and all from the first particle on.
+        surname = len(words) - 1
+        while surname > 0 and words[surname - 1][3]:
+            surname -= 1
+        surname = min([surname, *(k for k, w in enumerate(words[:-1]) if w[2])])
+        if not m["title"] and surname < 1:
+            continue
+        gender = TITLES[m["title"]] if m["title"] else _NAMED[m["first"]][1]
+        for k, (start, word, _, _) in enumerate(words):
+            plain = word.lower().replace("’", "'")
+            script = _script(plain)
+            if script is not None and len(word) > 1 and word[0].isupper():
+                kind = f"last-{script}" if k >= surname else f"first-{gender}-{script}"
+                out.append((start, start + len(word), kind, plain))
+                kinds.setdefault(plain, kind)
+    if kinds:
+        found = {e[0] for e in out}
+        for m in _NAME_WORD.finditer(text):
+            word, start = m["word"], m.start("word")
+            plain = word.lower().replace("’", "'")
+            if plain in kinds and start not in found and word[0].isupper() and word not in _CAPITAL_PARTICLES | _NO_NAMES:
+                out.append((start, m.end(), kinds[plain], plain))
     return out
 
 
@@ -118,11 +162,11 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         if sign and sign not in text or kind in _NEEDED and _NEEDED[kind] not in needed:
             continue
         for m in pattern.finditer(text):
-            if kind == "name":
-                found += _names(m)
-            elif _accepted(kind, m):
+            if _accepted(kind, m):
                 plain = m[0].lower() if kind in ("email", "ip") else re.sub(r"[^A-Z0-9+]", "", m[0])
                 found.append((m.start(), m.end(), kind, plain))
+    if _NEEDED["name"] in needed:
+        found += _names(text)
     out: list[tuple[int, int, str, str]] = []
     for e in sorted(found, key=lambda e: (e[0], -e[1])):
         if not out or e[0] >= out[-1][1]:

@@ -81,3 +81,26 @@ def test_keys_matter_and_texts_without_entities_stay():
 @pytest.mark.parametrize("kind,plain", [("card", "4000000000000000"), ("ip", "1.2.3.4"), ("phone", "+12125550199"), ("last-latin", "lopez")])
 def test_tries_differ(kind, plain):
     assert len({surrogate(KEY, kind, plain, a) for a in range(20)}) == 20 and tries
+
+
+def named(text):
+    return [(text[a:b], kind) for a, b, kind, _ in entities(text)]
+
+
+def test_names_are_replaced_whole():
+    first, last = "first-m-latin", "last-latin"
+    assert named("Mr John Ronald Tolkien left") == [("John", first), ("Ronald", first), ("Tolkien", last)]
+    assert named("John Ronald Tolkien and Paul O’Brien left") == [("John", first), ("Ronald", first), ("Tolkien", last), ("Paul", first), ("O’Brien", last)]
+    assert named("Mr O'Brien's house, Mr. O'Brien") == [("O'Brien", last)] * 2
+    assert named("Ms de la Cruz and Juan de la Cruz Vega") == [("Cruz", last), ("Juan", first), ("Cruz", last), ("Vega", last)]
+    assert named("Monsieur d'Artagnan, Mr Smith-Jones, Mr J. R. R. Tolkien") == [("Artagnan", last), ("Smith", last), ("Jones", last), ("Tolkien", last)]
+    assert named("Mrs Lopez Mr Garcia. Miss Li") == [("Lopez", last), ("Garcia", last), ("Li", last)]
+    assert named("Mr Ben Smith met Ms De La Cruz; Ben left. La casa. Mr He too") == [("Ben", first), ("Smith", last), ("De", last), ("La", last), ("Cruz", last), ("Ben", first), ("He", last)]
+    assert named("Mr de la Then she spoke to Paul. Anna B. She left, Jean-Luc too") == []
+
+
+def test_further_mentions_share_the_surrogate(frame):
+    text = "Mrs Lopez arrived. Lopez left; LOPEZ's car, Ana Lopez. Ana slept, a lopez not. Lopezia."
+    new = rewritten(frame, [(1, text)])[0].new_text
+    m = re.fullmatch(r"Mrs (\w+) arrived\. (\w+) left; (\w+)'s car, (\w+) (\w+)\. (\w+) slept, a lopez not\. Lopezia\.", new)
+    assert m and m[1] == m[2] == m[5] != "Lopez" and m[3] == m[1].upper() and m[4] == m[6] != "Ana"
