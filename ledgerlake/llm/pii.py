@@ -64,9 +64,18 @@ _PATTERNS = [
     ("phone", "-", r"(?<![\w+(])(?:\(\d{3}\) ?|\d{3}-)\d{3}-\d{4}(?![\d-])"),
     ("ssn", "-", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("card", "", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
-    ("iban", "", r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
 ]
 _PATTERNS = [(kind, sign, re.compile(pattern)) for kind, sign, pattern in _PATTERNS]
+# Where an IBAN may begin, and its length by country.
+_IBAN_HEAD = re.compile(r"[A-Z]{2}\d{2}(?= ?[A-Z0-9]{4})")
+_IBAN_LENGTHS = {
+    country: n for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for country in countries.split()
+}
+_IBANS = {n: re.compile(r"[A-Z]{2}\d{2}" + r"(?: ?[A-Z0-9]{4})" * ((n - 4) // 4) + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + "(?![A-Za-z0-9])") for n in range(34, 14, -1)}
 # What a text must hold for a kind to be looked for at all; each is cheap, and true wherever the kind's pattern matches.
 _CAPITAL = r"[^\W\d_a-zß-öø-ÿа-я]"  # or a rarer small letter
 _NUMBERS = re.compile(r"\d[\d .()-]{3,}\d")
@@ -87,7 +96,7 @@ def _accepted(kind: str, m: re.Match) -> bool:
         return False
     if kind == "ip":
         return all(int(x) < 256 for x in m[0].split("."))
-    return kind != "iban" or _iban(m[0])
+    return True
 
 
 def _script(word: str) -> str | None:
@@ -123,6 +132,23 @@ def _name_words(text: str, at: int) -> tuple[list[tuple[int, str, bool, bool]],
     return words, end
 
 
+def _ibans(text: str) -> Iterator[re.Match]:
+    """IBANs: as long as their country says or as the whole run is, without a known country the longest whose check digits are right."""
+    at = 0
+    while (head := _IBAN_HEAD.search(text, at)) is not None:
+        at = head.start() + 1
+        if head.start() and _NOT_AFTER["iban"].match(text, head.start() - 1):
+            continue
+        own = _IBAN_LENGTHS.get(head[0][:2])
+        fits = (m for n in _IBANS if (m := _IBANS[n].match(text, head.start())) is not None)
+        if own:
+            fits = (m for m in (_IBANS[own].match(text, head.start()), next(fits, None)) if m is not None)
+        found = next((m for m in fits if _iban(m[0])), None)
+        if found is not None:
+            yield found
+            at = found.end()
+
+
 def _names(text: str) -> list[tuple[int, int, str, str]]:
     """The words of all names as entities: first names by gender and script, surnames by script; and their further mentions."""
     out, at, kinds = [], 0, {}
@@ -165,6 +191,8 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             if _accepted(kind, m):
                 plain = m[0].lower() if kind in ("email", "ip") else re.sub(r"[^A-Z0-9+]", "", m[0])
                 found.append((m.start(), m.end(), kind, plain))
+    if _NEEDED["iban"] in needed:
+        found += [(m.start(), m.end(), "iban", m[0].replace(" ", "")) for m in _ibans(text)]
     if _NEEDED["name"] in needed:
         found += _names(text)
     out: list[tuple[int, int, str, str]] = []

@@ -104,3 +104,17 @@ def test_further_mentions_share_the_surrogate(frame):
     new = rewritten(frame, [(1, text)])[0].new_text
     m = re.fullmatch(r"Mrs (\w+) arrived\. (\w+) left; (\w+)'s car, (\w+) (\w+)\. (\w+) slept, a lopez not\. Lopezia\.", new)
     assert m and m[1] == m[2] == m[5] != "Lopez" and m[3] == m[1].upper() and m[4] == m[6] != "Ana"
+
+
+@pytest.mark.parametrize(
+    "text,ibans",
+    [
+        ("BE68 5390 0754 7034 EUR", ["BE68 5390 0754 7034"]),
+        ("ES91 2100 0418 4502 0005 1332 BIC", ["ES91 2100 0418 4502 0005 1332"]),
+        ("BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00", ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]),
+        ("XY12 BE68 5390 0754 7034 and GB82WEST12345698765432 GBP", ["BE68 5390 0754 7034", "GB82WEST12345698765432"]),
+        ("BE69 5390 0754 7034 EUR, BE68 5390 0754 70345", []),
+    ],
+)
+def test_ibans_before_other_words(text, ibans):
+    assert [text[a:b] for a, b, kind, _ in entities(text) if kind == "iban"] == ibans
