@@ -49,6 +49,16 @@ def test_stages_on_planted_cases(spark, tmp_path, frame):
     assert {p.doc_id for r in sequences for p in r.pieces} == calm_ids - {1000, 1002}
 
 
+def test_near_copies_under_shared_and_missing_ids(spark, frame):
+    copy = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    lone = " ".join(f"u{k}" for k in range(60))
+    rows = [(5, copy, "en")] * 3 + [(None, copy, "en"), (9, copy + " more", "en"), (None, other, "en"), (None, other + " more", "en"), (5, lone, "de"), (None, None, "fr"), (None, None, "fr")]
+    got = corpus_pipeline.near_dedup(spark, frame("doc_id long, text string, lang string", rows), "").collect()
+    kept = sorted((r.doc_id or 0, (r.text or "")[:2], r.lang) for r in got)
+    assert kept == [(0, "", "fr"), (0, "", "fr"), (0, "v0", "en"), (5, "u0", "de"), (5, "w0", "en")]
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 def test_run_on_supplied_tables(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
