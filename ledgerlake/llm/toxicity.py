@@ -7,7 +7,8 @@ Spark counts them over the sample, and those that go with label 1 beyond chance
 every whole text once, without a shuffle, and also tells which sentences a document's score comes from.
 
 Defined results: a null or empty text, or one without words, is one sentence without words; a null doc_id is scored but
-never learnt from; a document's label is the largest of its non-null ones; without labels of both kinds every score is
+never learnt from; a document's label is the largest of its non-null ones; of several rows of an id the smallest text is
+learnt from, once; without labels of both kinds every score is
 the share of label 1; repeated rows are scored each; other columns take no part, whatever their names.
 """
 
@@ -172,7 +173,9 @@ def train(documents: DataFrame, labels: DataFrame, usable: F.Column, sample: int
     marks = marks.filter(F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.filter("toxic is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = stored(texts.join(F.broadcast(marks), "doc_id"), "labelled")  # at most `sample` rows of two numbers
+    labelled = texts.join(F.broadcast(marks), "doc_id")  # at most `sample` rows of two numbers
+    # One row an id, reduced before the shuffle: so many rows reach the driver at most, and no document weighs more than another.
+    chosen = stored(labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "labelled")
     n, share = chosen.agg(F.count("*"), F.avg("toxic")).first()
     if not n or share in (0.0, 1.0):
         return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, constant=share or 0.0)

@@ -79,3 +79,12 @@ def test_crc_split(frame):
     rows = frame("doc_id long", [(i,) for i in range(50)] + [(None,)]).select("doc_id", held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r.h == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
     assert toxicity.THRESHOLD == 0.7
+
+
+def test_repeated_rows_of_an_id_are_learnt_once(learnt, spark):
+    d, truth, model = learnt
+    hot = next(r for r in d.orderBy("doc_id").filter(~held_out(F.col("doc_id"))).collect() if truth[r.doc_id])
+    again = d.unionByName(spark.createDataFrame([hot] * 300 + [(hot.doc_id, "~ a later text", "x")], d.schema))
+    labels = spark.createDataFrame([(i, 1, t) for i, t in truth.items()], "doc_id long, quality int, toxic int")
+    other = train(again, labels, ~held_out(F.col("doc_id")))
+    assert np.array_equal(other.words, model.words) and np.array_equal(other.weights, model.weights) and other.bias == model.bias
