@@ -24,9 +24,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema)
 
     return make
-
-
-def values(df, *columns):
-    """Rows as tuples, in order of their text."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

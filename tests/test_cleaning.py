@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import values
+from compare import values
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import cleaning

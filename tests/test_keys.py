@@ -5,7 +5,7 @@ import statistics
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from compare import values
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import keys, marts

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import values
+from compare import values
 
 from ledgerlake.sources import readers, writers
 from ledgerlake.sources.tables import bank_specs, layout

@@ -5,7 +5,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
-from conftest import values
+from compare import values
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dimensions import calendar
