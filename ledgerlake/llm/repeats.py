@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.llm.storage import stored, stored_by
-from ledgerlake.llm.text import _BYTE_VALUES, _down, _up, in_parts, mix, text_bytes
+from ledgerlake.llm.text import _BYTE_VALUES, _down, _up, in_parts, mix, slices, text_bytes
 
 LENGTH = 400
 #: Bytes of an anchor.
@@ -78,7 +78,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     begin = np.flatnonzero(new)
     first, last = window[begin], window[np.append(begin[1:], len(window)) - 1]
     at = at[begin]
-    around = mix((total[last + length] - total[first]) * back[first] + (last - first).astype(np.uint64))
+    around = slices(data, first, last + length)
     owner = np.searchsorted(offsets, first, "right") - 1
     return owner, at - offsets[owner], at - first, at - last, grams[at], around
 

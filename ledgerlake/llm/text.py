@@ -84,20 +84,78 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+#: Two polynomials over the prime 2^31 - 1, each with a base and byte values of its own.
+_PRIME = (1 << 31) - 1
+_BASES = (0x2545F491, 0x5851F42D)
+_VALUES = [mix((np.arange(256, dtype=np.uint64) + np.uint64(256 * k + 1)) * np.uint64(_FACTOR)) % np.uint64(_PRIME - 1) + np.uint64(1) for k in range(2)]
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """The same modulo the prime, below 2^32 where x is below 2^62."""
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
+
+
+def _prime_powers(base: int):
+    kept = [np.ones(1, np.uint64)]
+
+    def first(n: int) -> np.ndarray:
+        while len(kept[0]) < n:
+            kept[0] = np.concatenate([kept[0], _residue(kept[0] * np.uint64(pow(base, len(kept[0]), _PRIME)))])
+        return kept[0][:n]
+
+    return first
+
+
+_RISING = [_prime_powers(b) for b in _BASES]
+_FALLING = [_prime_powers(pow(b, -1, _PRIME)) for b in _BASES]
+
+
+def _sealed(both: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mix(both + lengths.astype(np.uint64) * np.uint64(_FACTOR))
+
+
+def slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The same fingerprint of any slices, which may overlap, of bytes that are all summed at once."""
+    both = np.zeros(len(starts), np.uint64)
+    for k in range(2):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_fold(_VALUES[k][data] * _RISING[k](len(data))), out=total[1:])
+        both += _residue(_residue(total[ends] - total[starts]) * _FALLING[k](len(data) + 1)[starts]) << np.uint64(31 * k)
+    return _sealed(both, ends - starts)
+
+
 def fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> np.ndarray:
-    """A 64-bit fingerprint of each slice; slices are in order and do not overlap."""
+    """A 64-bit fingerprint of each slice; slices are in order and do not overlap.
+
+    It mixes two polynomials over a prime with the length. Equal slices have equal fingerprints; different ones may too, with
+    a chance of about length^2 / 2^62, so whoever needs certainty compares bytes.
+    """
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         base = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, base + block, "right")))
         part = data[base : int(ends[j - 1])]
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[part] * _up(len(part)), out=total[1:])
         a, b = starts[i:j] - base, ends[i:j] - base
-        out[i:j] = (total[b] - total[a]) * _down(len(part) + 1)[a]
+        if len(part) <= 2 * block:
+            out[i:j] = slices(part, a, b)
+            i = j
+            continue
+        both = 0
+        for k in range(2):  # one very long slice, in steps
+            sums, up = 0, _RISING[k](block)
+            for at in range(0, len(part), block):
+                step = part[at : at + block]
+                sums += int(_residue(np.sum(_fold(_VALUES[k][step] * up[: len(step)]), keepdims=True))[0]) * pow(_BASES[k], at, _PRIME)
+            both += (sums % _PRIME) << (31 * k)
+        out[i] = _sealed(np.array([both], np.uint64), b - a)[0]
         i = j
-    return mix(out)
+    return out
 
 
 def texts_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
