@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,14 +48,24 @@ WORKERS = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "8388608", "MALLOC
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers find this package, and get rows in batches of bounded size unless the session has a limit of its own."""
+    """Send this package to the Python workers, once a session, and let them get rows in batches of bounded size.
+
+    A session may have a limit of its own for batches. Every function of this package that makes workers calls this first:
+    what they are to import is fixed when their step is made.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) in ("64m", "64MB", "67108864", "67108864b"):
         spark.conf.set(key, BATCH)
-    environment = spark.sparkContext.environment
+    context = spark.sparkContext
     for name, value in WORKERS.items():
-        environment.setdefault(name, value)
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+        context.environment.setdefault(name, value)
+    if getattr(context, "_ledgerlake_sent", None) != context.applicationId:
+        root = Path(__file__).resolve().parents[1]
+        folder = tempfile.TemporaryDirectory(prefix="ledgerlake-")
+        packed = os.path.join(folder.name, "ledgerlake_workers.zip")
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, file.relative_to(root.parent))
+        context.addPyFile(packed)
+        context._ledgerlake_sent = context.applicationId
+        context._ledgerlake_package = folder  # the driver sends the file from here as long as the context lives
