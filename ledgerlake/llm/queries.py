@@ -184,3 +184,12 @@ def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_surrogates(table(spark, folder, "documents").select("doc_id", "text"), key=b"surrogates of this corpus")
     spans = F.transform("replaced", lambda r: F.concat_ws(":", r["kind"], r["start"].cast("string"), r["end"].cast("string")))
     return rows.select("row.doc_id", F.col("new_text").alias("text"), F.size("replaced").cast("long").alias("n_replaced"), F.array_join(spans, ",").alias("replaced"))
+
+
+@query
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.quality import held_out, scored, train
+
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
+    return scored(documents, model).select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
