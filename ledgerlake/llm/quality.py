@@ -31,9 +31,9 @@ from ledgerlake.llm.storage import prepare, stored
 from ledgerlake.llm.text import fingerprints, in_parts, mix, runs, text_bytes, texts_of
 
 #: Labelled documents to learn from at most, the first by a hash of their id.
-SAMPLE = 24_000
+SAMPLE = 8_000
 #: Parts of the sample that learn side by side, and how often they meet.
-SHARDS, ROUNDS = 8, 3
+SHARDS, ROUNDS = 8, 2
 #: Pieces of an n-gram at most; places of the vectors, as a power of two.
 ORDER, BITS = 2, 18
 #: Learning rate, its offset, and the two regularisers.
@@ -206,13 +206,10 @@ def train(documents: DataFrame, labels: DataFrame, usable: F.Column, sample: int
     if not n or share in (0.0, 1.0):
         return Model(Leader.empty().weights(), constant=share or 0.0)
     order = ["shard", "turn", "doc_id"]
-    shards = rows.filter("not tune").select(*order, "label", "at", "value").repartition(SHARDS, "shard").sortWithinPartitions(*order)
-    shards = stored(shards, "shards", long_rows=True)
     leader = Leader.empty()
     for _ in range(ROUNDS):
-        # A written partition may be read as several splits: rows meet by shard again, and are put in order.
-        again = shards.repartition(SHARDS, "shard").sortWithinPartitions(*order)
-        moved = again.mapInArrow(_learnt(leader), "shard int, at long, z double, n double")
+        shards = rows.filter("not tune").select(*order, "label", "at", "value").repartition(SHARDS, "shard").sortWithinPartitions(*order)
+        moved = shards.mapInArrow(_learnt(leader), "shard int, at long, z double, n double")
         moved = moved.groupBy("at").agg(*(F.array_sort(F.collect_list(F.struct("shard", c))).alias(c) for c in ("z", "n")))
         mean = lambda c: (F.aggregate(c, F.lit(0.0), lambda t, x: t + x[c]) / SHARDS).alias(c)
         change = moved.select("at", mean("z"), mean("n")).toArrow()  # a row for each place at most: 2^BITS + 1

@@ -193,3 +193,89 @@ def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
     return scored(documents, model).select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, label, positives=5, negatives=3, low=50, high=95)
+
+
+ANSWERS["op13_hard_negatives"] = """
+with given as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as q
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]))::bigint as score
+  from given a join given b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), fits as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+  from positives p join scored s using (anchor_id)
+  where not s.same and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from fits where rank <= 3
+"""
+
+
+@query
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from ledgerlake.llm.manifest import manifest
+
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    columns = {c: F.col(c) for c in names}
+    more = columns | {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    rows = manifest(table(spark, folder, "documents").select(*names), columns["doc_id"], columns["lang"], list(columns.values()), list(more.values()), chosen)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+ANSWERS["op11_manifest"] = """
+with recursive fields as (
+  select doc_id, lang, n_chars, [doc_id::varchar, source, lang, n_chars::varchar, text] as own,
+         [doc_id::varchar, source, lang, (n_chars::hugeint + 1)::varchar, text] as changed,
+         -- the checksum, bit by bit: a byte is taken in, then eight shifts
+         xor(list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda c, o: case when o >= 0 then xor(c, o) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295) as crc
+  from documents
+), leaves as (
+  select doc_id, lang, sha256(array_to_string(list_transform(own, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) as leaf,
+         sha256(array_to_string(list_transform(case when crc % 7 = 0 then changed else own end, lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) as seen
+  from fields
+), places as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place from leaves
+), tree as (
+  select lang, 0 as level, list(leaf order by place) as nodes from places group by lang
+  union all
+  select lang, level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) from tree where len(nodes) > 1
+), subroots as (
+  select lang, nodes[1] as subroot, row_number() over (order by lang nulls first) - 1 as place from tree where len(nodes) = 1
+), up as (
+  select 0 as level, list(subroot order by place) as nodes from subroots
+  union all
+  select level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) from up where len(nodes) > 1
+), rows as (
+  select p.*, s.subroot, s.place as at, row_number() over () as number from places p join subroots s on p.lang is not distinct from s.lang
+), steps as (
+  select number, level, (place >> level) % 2 as side, coalesce(nodes[xor(place >> level, 1) + 1], '') as sibling
+  from rows join tree on rows.lang is not distinct from tree.lang where len(nodes) > 1
+  union all
+  select number, 1000 + level, (at >> level) % 2, coalesce(nodes[xor(at >> level, 1) + 1], '') from rows, up where len(nodes) > 1
+), lists as (
+  select number, string_agg(sibling, '' order by level) as joined, list(side || sibling order by level) as path from steps group by number
+), done as (
+  select doc_id, leaf, subroot, (select nodes[1] from up where len(nodes) = 1) as root, sha256(coalesce(joined, '')) as proof_sha256,
+         list_reduce([seen] || coalesce(path, []), lambda a, s: case when s[1] = '1' then sha256(s[2:] || a) else sha256(a || s[2:]) end) as folded_root
+  from rows left join lists using (number)
+)
+select *, folded_root = root as verified from done
+"""
