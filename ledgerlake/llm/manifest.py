@@ -279,7 +279,7 @@ _PATH_DDL = "array<struct<left: string, right: string>>"
 def _slots(nodes: DataFrame) -> DataFrame:
     """tree, block, size and an array of slots: what stands at SLOTS places that follow each other."""
     own = F.struct(F.pmod("place", F.lit(SLOTS)).alias("slot"), *(c for c in nodes.columns if c not in ("tree", "place", "size")))
-    return nodes.groupBy("tree", F.expr(f"place div {SLOTS}").alias("block"), "size").agg(F.array_sort(F.collect_list(own), lambda a, b: a["slot"] - b["slot"]).alias("slots"))
+    return nodes.groupBy("tree", F.expr(f"place div {SLOTS}").alias("block"), "size").agg(F.sort_array(F.collect_list(own)).alias("slots"))
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
