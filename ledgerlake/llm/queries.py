@@ -264,12 +264,12 @@ with recursive fields as (
   union all
   select level + 1, list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], ''))) from up where len(nodes) > 1
 ), rows as (
-  select p.*, s.subroot, s.place as at, row_number() over () as number from places p join subroots s on p.lang is not distinct from s.lang
+  select p.*, s.subroot, s.place as tree_place, row_number() over () as number from places p join subroots s on p.lang is not distinct from s.lang
 ), steps as (
   select number, level, (place >> level) % 2 as side, coalesce(nodes[xor(place >> level, 1) + 1], '') as sibling
   from rows join tree on rows.lang is not distinct from tree.lang where len(nodes) > 1
   union all
-  select number, 1000 + level, (at >> level) % 2, coalesce(nodes[xor(at >> level, 1) + 1], '') from rows, up where len(nodes) > 1
+  select number, 1000 + level, (tree_place >> level) % 2, coalesce(nodes[xor(tree_place >> level, 1) + 1], '') from rows, up where len(nodes) > 1
 ), lists as (
   select number, string_agg(sibling, '' order by level) as joined, list(side || sibling order by level) as path from steps group by number
 ), done as (
