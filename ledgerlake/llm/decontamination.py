@@ -6,8 +6,9 @@ and what is too short for any window is left out. What stays is indexed (suffix
 wavelet tree, sampled positions); all windows are searched backwards at once, their occurrences are located, and
 the words they cover are merged into spans to remove. Documents are read once and not shuffled.
 
-The benchmark is collected in blocks of at most BLOCK_WORDS words, each its own pass over the documents; one block is the
-usual case. Its patterns are what is broadcast, so the broadcast is bounded by the block.
+The benchmark is collected in blocks of about BLOCK_WORDS words, each its own pass over the documents; one block is the
+usual case. Blocks are cut by running word totals over rows, and longer items into pieces that overlap by a window less one word, so a block is
+bounded however the rows share their ids. Its patterns are what is broadcast.
 
 Defined results: a null text has no words, in documents and items; a null item_id counts as the empty string; items that
 share an id are one item; rows of documents are judged one by one, repeated or not, whatever their id; other columns
@@ -21,13 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.llm.fm_index import FMIndex
 from ledgerlake.llm.storage import prepare, stored
-from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, mix, runs, text_bytes, texts_of
+from ledgerlake.llm.text import LOWER, Table, in_parts, mix, quick_fingerprints, runs, same_slices, text_bytes, texts_of
 
 #: Words of a window.
 WINDOW = 10
@@ -43,14 +44,15 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Fingerprints, starts and ends of all words, and where each text's begin."""
     lower = LOWER[data]
     starts, ends = runs(_WORD[lower], offsets)
-    return fingerprints(lower, starts, ends), starts, ends, texts_of(starts, offsets)
+    return quick_fingerprints(lower, starts, ends), starts, ends, texts_of(starts, offsets)
 
 
 @dataclass
 class Patterns:
     """The windows of some benchmark items, by length; a word's number is its place among the words, from 1."""
 
-    words: np.ndarray
+    words: list[bytes]
+    keys: np.ndarray  # their fingerprints
     windows: list[np.ndarray]  # of one length each, one window in a row
     items: list[np.ndarray]  # of each window: the item numbers, one window after the other
     begins: list[np.ndarray]
@@ -58,8 +60,14 @@ class Patterns:
 
 
 def patterns(texts: pa.Array, item_ids: list, window: int = WINDOW) -> Patterns:
-    words, _, _, begins = _words(*text_bytes(texts))
-    vocabulary, number = np.unique(words, return_inverse=True)
+    data, offsets = text_bytes(texts)
+    keys, starts, ends, begins = _words(data, offsets)
+    lower = LOWER[data].tobytes()
+    # Words are told apart by their bytes; a fingerprint only finds them.
+    numbers: dict[bytes, int] = {}
+    number = np.fromiter((numbers.setdefault(lower[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.int64, len(starts))
+    own_keys = np.zeros(len(numbers), np.uint64)
+    own_keys[number] = keys
     names = sorted({"" if i is None else str(i) for i in item_ids})
     place = {name: k for k, name in enumerate(names)}
     by_length: dict[int, list[tuple[np.ndarray, int]]] = {}
@@ -68,7 +76,7 @@ def patterns(texts: pa.Array, item_ids: list, window: int = WINDOW) -> Patterns:
         if len(own):
             n = min(window, len(own))
             by_length.setdefault(n, []).append((np.lib.stride_tricks.sliding_window_view(own, n), place["" if item is None else str(item)]))
-    out = Patterns(vocabulary, [], [], [], names)
+    out = Patterns(list(numbers), own_keys, [], [], [], names)
     for n in sorted(by_length):
         rows = np.concatenate([w for w, _ in by_length[n]])
         owner = np.concatenate([np.full(len(w), k) for w, k in by_length[n]])
@@ -83,8 +91,13 @@ def patterns(texts: pa.Array, item_ids: list, window: int = WINDOW) -> Patterns:
 class Searcher:
     def __init__(self, own: Patterns):
         self.own = own
-        self.vocabulary = Table(len(own.words))
-        self.vocabulary.add(own.words, np.arange(len(own.words)))
+        some, first = np.unique(own.keys, return_index=True)
+        self.vocabulary = Table(len(some))
+        self.vocabulary.add(some, first)
+        self.bytes = np.frombuffer(b"".join(own.words), np.uint8)
+        self.lengths = np.fromiter(map(len, own.words), np.int64, len(own.words))
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.by_bytes: dict[bytes, int] = {}
         longer = [w for w in own.windows if w.shape[1] > 1]
         pairs = np.concatenate([self._pair(w[:, :-1].ravel(), w[:, 1:].ravel()) for w in longer]) if longer else np.zeros(0, np.uint64)
         pairs = np.unique(pairs)
@@ -96,6 +109,19 @@ class Searcher:
             if w.shape[1] == 1:
                 self.single[w.ravel()] = True
 
+    def numbers(self, lower: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word in the vocabulary, from 1, else 0: found by fingerprint, told by bytes."""
+        number = self.vocabulary.get(keys)
+        there = np.flatnonzero(number >= 0)
+        lengths, own = ends[there] - starts[there], number[there]
+        same = lengths == self.lengths[own]
+        alike = np.flatnonzero(same)
+        same[alike] = same_slices(lower, starts[there[alike]], self.bytes, self.begins[own[alike]], lengths[alike])
+        for k in there[~same]:
+            self.by_bytes = self.by_bytes or {w: i for i, w in enumerate(self.own.words)}
+            number[k] = self.by_bytes.get(lower[starts[k] : ends[k]].tobytes(), -1)
+        return number + 1
+
     @staticmethod
     def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
@@ -122,7 +148,7 @@ class Searcher:
         """Of each text: words, hit words, items; and of the hit words, starts and ends as runs of neighbours."""
         keys, starts, ends, begins = _words(data, offsets)
         n_texts = len(offsets) - 1
-        text, word = self.sequence(self.vocabulary.get(keys) + 1, begins)
+        text, word = self.sequence(self.numbers(LOWER[data], keys, starts, ends), begins)
         cover = np.zeros(len(keys) + 1, np.int64)
         owner = np.searchsorted(begins, np.arange(len(keys)), "right") - 1 if len(text) else np.zeros(0, np.int64)
         found: list[np.ndarray] = []
@@ -182,19 +208,54 @@ def _searched(rows: DataFrame, own: Patterns) -> DataFrame:
     return rows.select("row", "text").mapInArrow(make, kind)
 
 
+def _item_pieces(window: int, most: int):
+    """Items in pieces of at most so many words, each with its partition and the words before it there."""
+    names = ["part", "start", "n", "item_id", "text"]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            rows = []
+            for k, item in enumerate(batch.column("item_id").to_pylist()):
+                data, offsets = text_bytes(batch.column("text").slice(k, 1))
+                _, starts, ends, _ = _words(data, offsets)
+                for a in range(0, max(1, len(starts) - window + 1), most - window + 1):
+                    n = min(most, len(starts) - a)
+                    rows.append((part, before, n, item, data[starts[a] : ends[a + n - 1]].tobytes().decode() if n else ""))
+                    before += n
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return make
+
+
+def _item_blocks(items: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """The items' pieces with the number of their block, and how many blocks there are."""
+    most = max(2 * window, block_words // 8)
+    pieces = stored(items.mapInArrow(_item_pieces(window, most), "part int, start long, n long, item_id string, text string"), "benchmark")
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    totals = pieces.groupBy("part").agg(F.sum("n").alias("total")).select("part", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("base"))
+    blocks = pieces.join(F.broadcast(totals), "part").select("item_id", "text", F.expr(f"(base + start) div {block_words}").alias("block"))
+    return blocks, int(blocks.agg(F.coalesce(F.max("block"), F.lit(0))).first()[0]) + 1
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Each row of documents as a struct `row`, with n_words, n_hit, items (their ids, sorted) and spans to remove."""
+    prepare(documents.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     # A word has at least one byte and one between: a bound of the words, without counting them.
     size = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
-    blocks = max(1, int(-(-size // block_words)))
     rows = documents.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    pieces, blocks = _item_blocks(items, window, block_words) if size > block_words else (items, 1)
     if blocks > 1:
-        rows = stored(rows.select(F.struct(F.monotonically_increasing_id().alias("place"), "row").alias("row"), "text"), "documents")
+        rows = stored(rows.select(F.struct(F.monotonically_increasing_id().alias("place"), "row").alias("row"), "text"), "documents", long_rows=True)
     found = None
     for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else items
-        held = part.toArrow().combine_chunks()
+        part = pieces.filter(F.col("block") == k) if blocks > 1 else pieces
+        held = part.select("item_id", "text").toArrow().combine_chunks()
         text = held["text"].combine_chunks() if isinstance(held["text"], pa.ChunkedArray) else held["text"]
         one = _searched(rows, patterns(text, held["item_id"].to_pylist(), window))
         found = one if found is None else found.unionByName(one)

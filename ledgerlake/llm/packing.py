@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.storage import stored
-from ledgerlake.llm.text import LOWER, Table, fingerprints, in_parts, runs, text_bytes, texts_of
+from ledgerlake.llm.storage import prepare, stored
+from ledgerlake.llm.text import LOWER, Table, in_parts, quick_fingerprints, runs, same_slices, text_bytes, texts_of
 
 LENGTH = 4096
 END_ID = 2
@@ -40,12 +40,18 @@ _CLASS[128:] = _JOINS
 _CLASS[ord("'")] = _JOINS
 
 
+def _gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at `starts`, one after the other."""
+    at = np.cumsum(lengths) - lengths
+    return values[np.repeat(starts - at, lengths) + np.arange(int(lengths.sum()))]
+
+
 class Encoder:
     """Ids of whole texts under a tokenizer that lower-cases, drops white space and never joins over it.
 
     Texts are cut at white space and, in words of plain ASCII, between letters, digits and marks, where this tokenizer
-    never makes one token; equal pieces are encoded once. Words with apostrophes, other scripts or the look of a
-    special token are encoded whole.
+    never makes one token; equal pieces are encoded once: they are found by fingerprint, and their bytes compared. Words with
+    apostrophes, other scripts or the look of a special token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -62,33 +68,39 @@ class Encoder:
         self.counts = np.zeros(1 << 14, np.int64)
         self.again = np.zeros(1 << 14, bool)
         self.ids = np.zeros(1 << 16, np.int32)
-        self.known = self.used = 0
+        self.text = np.zeros(1 << 17, np.uint8)
+        self.begins = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+        self.known = self.used = self.written = 0
 
     def _forget(self) -> None:
         """Keep what has been met again since the last time."""
         met = np.flatnonzero(self.again[: self.known])
-        keys, counts = self.keys[met], self.counts[met]
-        places = np.cumsum(counts) - counts
-        ids = self.ids[np.repeat(self.starts[met] - places, counts) + np.arange(counts.sum())]
+        keys, counts, lengths = self.keys[met], self.counts[met], self.lengths[met]
+        ids, text = _gathered(self.ids, self.starts[met], counts), _gathered(self.text, self.begins[met], lengths)
         self._empty()
         if len(met) <= REMEMBERED // 2:
-            self._put(keys, counts, ids)
+            self._put(keys, counts, ids, lengths, text)
 
-    def _put(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        n, used = self.known + len(keys), self.used + len(ids)
+    def _put(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> None:
+        n, used, written = self.known + len(keys), self.used + len(ids), self.written + len(text)
         if n > len(self.keys):
-            self.keys, self.starts, self.counts, self.again = (
-                np.concatenate([x, np.zeros(n, x.dtype)]) for x in (self.keys, self.starts, self.counts, self.again)
+            self.keys, self.starts, self.counts, self.again, self.begins, self.lengths = (
+                np.concatenate([x, np.zeros(n, x.dtype)]) for x in (self.keys, self.starts, self.counts, self.again, self.begins, self.lengths)
             )
         if used > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(used, np.int32)])
-        self.keys[self.known : n], self.counts[self.known : n] = keys, counts
+        if written > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros(written, np.uint8)])
+        self.keys[self.known : n], self.counts[self.known : n], self.lengths[self.known : n] = keys, counts, lengths
         self.starts[self.known : n] = self.used + np.cumsum(counts) - counts
+        self.begins[self.known : n] = self.written + np.cumsum(lengths) - lengths
         self.ids[self.used : used] = ids
+        self.text[self.written : written] = text
         self.table.add(keys, np.arange(self.known, n))
-        self.known, self.used = n, used
+        self.known, self.used, self.written = n, used, written
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes], simple: np.ndarray) -> None:
+    def _ids(self, pieces: list[bytes], simple: np.ndarray) -> list:
         model, whole = self.tokenizer.model, self.tokenizer.encode_batch_fast
         found: list = [None] * len(pieces)
         rest = []
@@ -99,8 +111,13 @@ class Encoder:
                 rest.append(i)
         for i, e in zip(rest, whole([pieces[i].decode() for i in rest], add_special_tokens=False), strict=True):
             found[i] = e.ids
+        return found
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes], simple: np.ndarray) -> None:
+        found = self._ids(pieces, simple)
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        self._put(keys, counts, np.fromiter((t for f in found for t in f), np.int32, int(counts.sum())))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self._put(keys, counts, np.fromiter((t for f in found for t in f), np.int32, int(counts.sum())), lengths, np.frombuffer(b"".join(pieces), np.uint8))
 
     def pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The bytes to look up, starts and ends of the pieces, and which are of one class of plain ASCII letters."""
@@ -128,7 +145,7 @@ class Encoder:
         if self.known > REMEMBERED:
             self._forget()
         data, starts, ends, simple = self.pieces(data, offsets)
-        keys = fingerprints(data, starts, ends)
+        keys = quick_fingerprints(data, starts, ends)
         slots = self.table.get(keys)
         if len(new := np.flatnonzero(slots < 0)):
             some, first = np.unique(keys[new], return_index=True)
@@ -140,9 +157,28 @@ class Encoder:
             known = slots
         self.again[known] = True
         counts = self.counts[slots]
+        other = self._other(data, starts, ends, slots)
+        if len(other):
+            return self._one_by_one(data, starts, ends, simple, slots, other, offsets)
         at = np.concatenate([[0], np.cumsum(counts)])
-        take = np.repeat(self.starts[slots] - at[:-1], counts) + np.arange(at[-1])
-        return self.ids[take], at[texts_of(starts, offsets)]
+        return _gathered(self.ids, self.starts[slots], counts), at[texts_of(starts, offsets)]
+
+    def _other(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Pieces that share a fingerprint with what is remembered in their slot, but not the bytes."""
+        lengths = ends - starts
+        same = lengths == self.lengths[slots]
+        alike = np.flatnonzero(same)
+        same[alike] = same_slices(data, starts[alike], self.text, self.begins[slots[alike]], lengths[alike])
+        return np.flatnonzero(~same)
+
+    def _one_by_one(self, data, starts, ends, simple, slots, other, offsets) -> tuple[np.ndarray, np.ndarray]:
+        """What encode() gives, where some pieces are not those remembered: these are encoded anew."""
+        found = self._ids([data[a:b].tobytes() for a, b in zip(starts[other], ends[other], strict=True)], simple[other] & self._alone(data, starts[other], ends[other]))
+        ids = [self.ids[a : a + n] for a, n in zip(self.starts[slots], self.counts[slots], strict=True)]
+        for k, own in zip(other, found, strict=True):
+            ids[k] = np.array(own, np.int32)
+        at = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+        return np.concatenate(ids), at[texts_of(starts, offsets)]
 
     @staticmethod
     def _alone(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -286,6 +322,7 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     """
     if length > block:
         raise ValueError("a block must hold a window")
+    prepare(documents.sparkSession)
     blocks = token_blocks(documents, tokenizer, length, end_id, block)
     kind = f"sequence_id long, place long, pieces {_PIECES}, ids binary"
     inside = blocks.select("start", "n", "docs", "ids").mapInArrow(_cut(length, True), kind)
@@ -313,6 +350,7 @@ def padded(sequences: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataF
                 [batch.column("sequence_id"), batch.column("pieces"), pa.array(out, pa.list_(pa.int32()))], names=["sequence_id", "pieces", "ids"]
             )
 
+    prepare(sequences.sparkSession)
     return sequences.select("sequence_id", "pieces", "ids").mapInArrow(make, f"sequence_id long, pieces {_PIECES}, ids array<int>")
 
 

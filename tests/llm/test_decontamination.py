@@ -76,3 +76,22 @@ def test_index_finds_every_place():
             wanted = rng.integers(1, values + 3, (20, m))
             for p, a, b in zip(wanted, *index.search(wanted), strict=True):
                 assert sorted(index.locate(np.arange(a, b))) == [i for i in range(len(text) - m + 1) if list(text[i : i + m]) == list(p)]
+
+
+def test_hot_and_missing_item_ids(frame):
+    """Blocks are cut by words, not by ids: a third of all rows may share one id, or have none."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.llm.decontamination import _item_blocks
+
+    rng = random.Random(6)
+    some = lambda n: " ".join(rng.choice(["a", "be", "é", "d4", "wörd", "the", "x"]) for _ in range(n))
+    items = [(None, some(rng.randrange(30))) for _ in range(14)] + [("hot", some(rng.randrange(30))) for _ in range(14)] + [("long", some(400)), ("z", some(12))]
+    docs = [(i, some(rng.randrange(60)) + " " + items[i][1]) for i in range(len(items))]
+    benchmark = frame("item_id string, text string, block int, n long, part int, start string", [(i, t, 1, 2, 3, "s") for i, t in items])
+    blocks, n = _item_blocks(benchmark.select("item_id", "text"), 5, 60)
+    sizes = [r.n for r in blocks.groupBy("block").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()]
+    assert n > 10 and max(sizes) <= 60 + 10
+    got = contamination(frame("doc_id long, text string, items string, spans int, place int", [(*d, "i", 1, 2) for d in docs]), benchmark, 5, 60)
+    got = got.select("row.doc_id", "n_words", "n_hit", "items", without(got["row.text"], got["spans"]).alias("rest")).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.rest) for r in got), key=repr) == plain(docs, items, 5)
