@@ -69,3 +69,25 @@ def test_copies_of_the_query_come_first(frame):
 
 def test_empty_table(frame):
     assert nearest(frame("vec_id long, embedding array<float>", []), F.lit(True)).count() == 0
+
+
+def test_doubles_at_the_edges(frame):
+    """Tiny and huge components give the cosines of the same vectors in common sizes, bit for bit."""
+    rng = np.random.default_rng(8)
+    usual = [(i, [float(v) for v in rng.normal(size=4)]) for i in range(12)]
+    want = by_query(nearest(frame("vec_id long, embedding array<double>", usual), F.lit(True)))
+    for power in (-1000, 900):
+        rows = [(i, [float(np.ldexp(x, power)) for x in v]) for i, v in usual]
+        assert by_query(nearest(frame("vec_id long, embedding array<double>", rows), F.lit(True))) == want
+    mixed = [(0, [1e-200, 2e-200]), (1, [1e200, 2e200]), (2, [5e-324, 0.0]), (3, [1.7e308, -1.7e308])]
+    got = by_query(nearest(frame("vec_id long, embedding array<double>", mixed), F.lit(True)))
+    assert abs(dict(got[0])[1] - 1) < 1e-12 and abs(dict(got[2])[3] - 0.5**0.5) < 1e-12
+
+
+def test_lengths_are_searched_apart(frame):
+    short, long = vectors(30, 3), [(100 + i, v + [1.0]) for i, v in vectors(25, 4)]
+    both = [(3, [1.0] * 17), *short, *long]  # id 3 has vectors of two lengths
+    got = by_query(nearest(frame("vec_id long, embedding array<float>", both), F.col("vec_id") % 5 == 0))
+    alone = by_query(nearest(frame("vec_id long, embedding array<float>", short), F.col("vec_id") % 5 == 0))
+    apart = by_query(nearest(frame("vec_id long, embedding array<float>", [both[0], *long]), F.col("vec_id") % 5 == 0))
+    assert got == alone | apart
