@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.llm.storage import stored, stored_by
+from ledgerlake.llm.storage import prepare, stored, stored_by
 from ledgerlake.llm.text import _BYTE_VALUES, _down, _up, in_parts, mix, slices, text_bytes
 
 LENGTH = 400
@@ -302,6 +302,7 @@ _EXTENT = "gram long, around long, high long, low long"
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """texts (place, text) -> place, spans: the maximal runs of its bytes that lie in repeated strings, as (start, end), in order."""
+    prepare(texts.sparkSession)
     found = stored(texts.select("place", "text").mapInArrow(_find(length, gram), _ANCHORS), "anchors")
     often = found.groupBy("gram").agg(F.count("*").alias("total")).filter("total > 1").select("gram")
     found = stored(found.join(often, "gram", "left_semi"), "repeated_anchors")
@@ -334,7 +335,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
 def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """Each row of documents as a struct `row`, with the maximal runs of its bytes that lie in repeated strings: spans."""
     # Texts move once, into buckets; both joins with them then move only numbers.
-    rows = stored_by(documents.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")), "place", "rows")
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = stored_by(documents.select(F.monotonically_increasing_id().alias("place"), F.struct("*").alias("row")), "place", "rows", size)
     found = repeated_spans(rows.select("place", F.col("row.text").alias("text")), length, gram, hot)
 
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
@@ -343,6 +345,7 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
 
 def kept_bytes(rows: DataFrame) -> DataFrame:
     """Rows of repeats() with the bytes that stay: row, spans, kept."""
+    prepare(rows.sparkSession)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

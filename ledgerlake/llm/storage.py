@@ -30,12 +30,16 @@ def stored(df: DataFrame, name: str, long_rows: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
-    """The rows, written once in buckets of a key: later joins on it move only the other side."""
+#: Bytes of text in a bucket; a bucket is read by one task.
+BUCKET = 32 << 20
+
+
+def stored_by(df: DataFrame, key: str, name: str, size: int) -> DataFrame:
+    """The rows, `size` bytes of text, written once in buckets of a key: later joins on it move only the other side."""
     spark = df.sparkSession
     prepare(spark)
     mark = f"{name}_{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{mark}"
     df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(mark)
     return spark.table(mark)

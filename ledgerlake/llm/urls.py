@@ -3,8 +3,9 @@
 Each URL stands for expressions like those of a browser's block lists: every suffix of its host on label boundaries, times
 every prefix of its path that ends in a slash. They meet the rules by an equi-join on the first 32 bits of a
 digest; the whole digest and the path confirm a match; the longest rule wins. Hosts and paths are expanded no deeper than
-the deepest rule (two numbers from the rules), which loses nothing, so an odd URL cannot blow up. The rules' side of the join
-is left to Catalyst: it is broadcast only where its size is known to be small; else adaptive execution splits hot keys.
+the deepest rule (two numbers from the rules), which loses nothing, so an odd URL cannot blow up. The keyed
+rules are a written table, so Catalyst knows its size when it plans: where it is small it is broadcast and no page moves; else adaptive
+execution splits hot keys.
 
 Rules (host, path, verdict). A rule fits its host and all subdomains, if the URL's path starts with the rule's; of the
 fitting rules the one with the longest host wins, then the longest path, then `block` before `allow`. A URL without a
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.storage import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,7 +68,7 @@ def expressions(host: Column, path: Column, labels: Column, slashes: Column) ->
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """pages (page_id, url), rules (host, path, verdict) -> page_id, host, path, rule, verdict."""
-    rules = keyed(rules)
+    rules = stored(keyed(rules), "rules")
     deepest = rules.agg(F.coalesce(F.max("labels"), F.lit(0)), F.coalesce(F.max("slashes"), F.lit(0))).first()
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.monotonically_increasing_id().alias("place"))
     if not deepest[0]:
