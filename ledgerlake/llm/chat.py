@@ -172,6 +172,7 @@ _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, los
 
 def digests(windows: DataFrame) -> DataFrame:
     """What reading the windows back gives for each conversation, as counts and digests."""
+    prepare(windows.sparkSession)
     rows = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window").select("conv_id", "text", "new_from", "mask")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,9 @@ of the corpus, the smallest entity keeps it and the others try again with the ne
 second try, so texts are rewritten where they stand; only those that hold an entity with a later try are looked up, by a hash of
 the text. Entities are made distinct before they are shuffled, so one that stands in very many documents is one row.
 
+A kind has as many surrogates as its format has room for (a social security number: nine digits); a corpus with so many distinct
+entities of one format that `tries` finds none free in 512 rounds ends with an error rather than with two entities under one surrogate.
+
 Defined results: a null text stays null and an empty one empty; rows are rewritten one by one, repeated or not; an empty table
 gives no rows; other columns are kept, whatever their names; where matches overlap, the one that begins first counts, of
 those the longest.
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.llm.storage import stored
+from ledgerlake.llm.storage import prepare, stored
 
 # Titles with the gender they tell, and first names by script and gender.
 TITLES = {
@@ -290,6 +293,7 @@ def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def tries(found: DataFrame, key: bytes, most: int = 512) -> DataFrame:
     """Distinct entities (kind, plain) with the try whose surrogate is theirs alone and no entity of the corpus."""
+    prepare(found.sparkSession)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,6 +319,7 @@ def tries(found: DataFrame, key: bytes, most: int = 512) -> DataFrame:
 
 def with_surrogates(documents: DataFrame, key: bytes) -> DataFrame:
     """Each row of documents as a struct `row`, with its new text, and what was replaced: kind, start and end in the old text."""
+    prepare(documents.sparkSession)
     rows = documents.select(F.struct("*").alias("row"), F.col("text").alias("text"), F.xxhash64("text").alias("text_hash"))
     found = stored(rows.select("text_hash", "text").mapInArrow(_detect, _FOUND).distinct(), "found")
     later = tries(found, key).filter("attempt > 0").select("kind", "plain", "attempt")

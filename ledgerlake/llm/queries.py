@@ -39,7 +39,9 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = train(documents, table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
     rows = scored(documents.select("doc_id", "text"), model)
-    return rows.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+    # Offending sentences as start:end:score, in code points.
+    places = F.transform("sentences", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"), F.format_number(s["score"], 3)))
+    return rows.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted", F.array_join(places, ",").alias("sentences"))
 
 
 @query
@@ -155,6 +157,8 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         (n_bytes - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # The removed runs as start:end, in bytes.
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
     )
 
 
@@ -181,7 +185,9 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     from ledgerlake.llm.pii import with_surrogates
 
-    rows = with_surrogates(table(spark, folder, "documents").select("doc_id", "text"), key=b"surrogates of this corpus")
+    # The key is an argument of the run; whoever knows it can tell which surrogate stands for a guessed entity.
+    key = spark.conf.get("spark.ledgerlake.surrogates.key", "surrogates of this corpus")
+    rows = with_surrogates(table(spark, folder, "documents").select("doc_id", "text"), key=key.encode()[:64])
     spans = F.transform("replaced", lambda r: F.concat_ws(":", r["kind"], r["start"].cast("string"), r["end"].cast("string")))
     return rows.select("row.doc_id", F.col("new_text").alias("text"), F.size("replaced").cast("long").alias("n_replaced"), F.array_join(spans, ",").alias("replaced"))
 

@@ -118,3 +118,68 @@ def test_further_mentions_share_the_surrogate(frame):
 )
 def test_ibans_before_other_words(text, ibans):
     assert [text[a:b] for a, b, kind, _ in entities(text) if kind == "iban"] == ibans
+
+
+def planted(rng):
+    """A text put together from plain words and entities, and where each entity stands: kind, start, end, plain form."""
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    first = {n: (g, sc) for (sc, g), names in FIRST_NAMES.items() for n in names}
+    last = {"latin": ["Silva", "Keller", "Moreau", "Baker"], "cyrillic": ["Иванов", "Петров"]}
+    text, out = "", []
+    for _ in range(rng.randrange(1, 7)):
+        text += rng.choice(["the river runs ", "order 4974608795, ", "it was 3.14 or 2024-01-02; ", "wörter und sätze, "])
+        kind = rng.choice(["email", "ip", "ssn", "phone", "card", "iban", "name", "none"])
+        if kind == "name":
+            name = rng.choice(sorted(first))
+            gender, script = first[name]
+            surname = rng.choice(last[script])
+            out.append((f"first-{gender}-{script}", len(text), len(text) + len(name), name.lower()))
+            out.append((f"last-{script}", len(text) + len(name) + 1, len(text) + len(name) + 1 + len(surname), surname.lower()))
+            text += f"{name} {surname}, "
+            continue
+        if kind == "none":
+            continue
+        if kind == "card":
+            body = "4" + digits(14)
+            own = body + str(-_luhn(body + "0") % 10)
+        elif kind == "iban":
+            body = digits(18)
+            own = f"DE{98 - int(body + '131400') % 97:02d}{body}"
+        else:
+            own = {"email": f"{rng.choice('abc')}{digits(2)}@mail.org", "ip": f"10.{digits(1)}.{digits(2)}.{digits(1)}", "ssn": f"{digits(3)}-{digits(2)}-{digits(4)}", "phone": f"+1 {digits(3)} {digits(3)} {digits(4)}"}[kind]
+        written = " ".join(own[i : i + 4] for i in range(0, len(own), 4)) if kind in ("card", "iban") and rng.random() < 0.5 else own
+        out.append((kind, len(text), len(text) + len(written), re.sub(r"[^A-Z0-9+]", "", own) if kind not in ("email", "ip") else own))
+        text += written + " and "
+    return text + "ends.", out
+
+
+def test_against_planted_entities(frame):
+    """Exactly the planted entities are replaced, each by one surrogate wherever it stands, none by another's or by one of the corpus."""
+    rng = random.Random(11)
+    made = [planted(rng) for _ in range(300)]
+    got = rewritten(frame, [(i, t) for i, (t, _) in enumerate(made)])
+    mapping = {}
+    for r in got:
+        text, wanted = made[r.doc_id]
+        assert [(x.kind, x.start, x.end) for x in r.replaced] == [w[:3] for w in wanted], text
+        at, rest = 0, r.new_text
+        for k, (kind, a, b, plain) in enumerate(wanted):
+            between = text[at:a]
+            assert rest.startswith(between)
+            rest, at = rest[len(between) :], b
+            ahead = text[b : wanted[k + 1][1]] if k + 1 < len(wanted) else text[b:]
+            new = rest[: rest.index(ahead)]
+            rest = rest[len(new) :]
+            assert new != text[a:b]
+            same = new.lower() if kind in ("email", "ip") or kind.startswith(("first", "last")) else re.sub(r"[^A-Z0-9+]", "", new)
+            assert mapping.setdefault((kind, plain), same) == same
+            if kind == "card":
+                assert _luhn(same) == 0 and len(new) == b - a
+            if kind == "iban":
+                assert _iban(new) and same[:2] == "DE"
+            if kind.startswith("first"):
+                assert kind.split("-")[2] != "cyrillic" or all("Ѐ" <= c <= "ӿ" for c in new)
+        assert rest == text[at:]
+    for kind in {k for k, _ in mapping}:
+        own = {p: s for (k, p), s in mapping.items() if k == kind}
+        assert len(set(own.values())) == len(own) and not set(own.values()) & set(own)

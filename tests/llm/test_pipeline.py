@@ -71,10 +71,10 @@ def test_every_query_is_registered_and_matches_its_sql(spark):
     import duckdb
 
     entry = importlib.import_module("__spark_entry__")
-    names = [next(q for q in queries.QUERIES if q.startswith(f"op{n}_")) for n in range(1, 11)]
+    names = [next(q for q in queries.QUERIES if q.startswith(f"op{n}_")) for n in range(1, 14)]
     assert set(names) | {"pipeline"} <= set(entry.queries())
     connection = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         connection.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     for name, sql in queries.ANSWERS.items():
         df = queries.QUERIES[name](spark, FOLDER)

@@ -8,6 +8,42 @@ from ledgerlake.llm import secrets
 from ledgerlake.llm.secrets import KINDS, listed, redacted, scan
 
 
+def windows(run):
+    """Merged windows of high entropy, counts made anew for each."""
+    limit = next(bits for p, bits in secrets.CLASSES if re.search(p, run))
+    w, spans = min(len(run), secrets.WINDOW), []
+    for i in range(len(run) - w + 1):
+        counts = [run[i : i + w].count(c) for c in set(run[i : i + w])]
+        if -sum(c / w * math.log2(c / w) for c in counts) >= limit - 1e-9:
+            if spans and spans[-1][1] >= i:
+                spans[-1][1] = i + w
+            else:
+                spans.append([i, i + w])
+    return spans
+
+
+def plain_parts(text):
+    """Parts of candidates: characters marked one by one, then read off as runs."""
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text or ""):
+        run = m[0]
+        if len(run) < 20 or any(re.search(p, run) for p in secrets.ALLOWED):
+            continue
+        found = set()
+        for pattern in secrets.PARTS:
+            for part in re.finditer(pattern, run):
+                if len(part[0]) < len(run) and not any(re.search(p, part[0]) for p in secrets.ALLOWED):
+                    found |= {(m.start() + part.start() + a, m.start() + part.start() + b) for a, b in windows(part[0])}
+        merged = []
+        for a, b in sorted(found):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        out += [f"part:{a}:{b}" for a, b in merged]
+    return ",".join(out)
+
+
 def plain(text):
     """Spans by Python's own patterns and counts made anew for each window."""
     text, out = text or "", []
@@ -20,16 +56,7 @@ def plain(text):
         run = m[0]
         if len(run) < 20 or any(re.search(p, run) for p in secrets.ALLOWED):
             continue
-        limit = next(bits for p, bits in secrets.CLASSES if re.search(p, run))
-        w, spans = min(len(run), secrets.WINDOW), []
-        for i in range(len(run) - w + 1):
-            counts = [run[i : i + w].count(c) for c in set(run[i : i + w])]
-            if -sum(c / w * math.log2(c / w) for c in counts) >= limit - 1e-9:
-                if spans and spans[-1][1] >= i:
-                    spans[-1][1] = i + w
-                else:
-                    spans.append([i, i + w])
-        out += [(m.start() + a, 3, m.start() + b) for a, b in spans]
+        out += [(m.start() + a, 3, m.start() + b) for a, b in windows(run)]
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
 
 
@@ -57,6 +84,17 @@ def test_against_plain_scan(frame):
         assert r.spans == plain(r.text), r.text[:200]
 
 
+def test_parts_against_plain_code(frame):
+    rng = random.Random(9)
+    alphabets = ["0123456789", "0123456789abcdef", "0123456789ABCDEF", "abcxyz0123", "ABCXYZ0123", "aAbBcC019", "+/_=-"]
+    some = lambda: "".join(rng.choice(rng.choice(alphabets)) if rng.random() < 0.1 else c for c in "".join(rng.choice(a) for a in [rng.choice(alphabets)] for _ in range(rng.randrange(1, 45))))
+    given = [rng.choice(["-", "_", "=", "", " "]).join(some() for _ in range(rng.randrange(1, 5))) for _ in range(250)] + texts()[:20]
+    got = scan(frame("doc_id long, text string", list(enumerate(given)))).select("row.doc_id", "row.text", listed(F.col("spans"), len(KINDS)).alias("spans")).collect()
+    parts = {r.doc_id: ",".join(x for x in r.spans.split(",") if x.startswith("part")) for r in got}
+    assert {i: plain_parts(t) for i, t in enumerate(given)} == parts
+    assert sum(bool(x) for x in parts.values()) > 50
+
+
 def test_redacted(frame):
     rows = [(1, "é token=abcdefgh0123456789abcdef0123456789 end"), (2, "nothing"), (3, None), (4, "f" * 30)]
     got = scan(frame("doc_id long, text string", rows)).select("row.doc_id", redacted(F.col("row.text"), F.col("spans")).alias("t")).collect()

@@ -48,6 +48,34 @@ def test_held_out_documents(learnt):
             assert any(any(w.upper() in r.text[s.start : s.end] for w in RUDE) for s in r.sentences)
 
 
+def test_scores_are_a_plain_noisy_or(learnt):
+    """Sentence by sentence, feature by feature, from the model's weights alone."""
+    import math
+    import re
+
+    from ledgerlake.llm.text import fingerprints
+
+    d, _, model = learnt
+    weight = dict(zip(model.words.tolist(), model.weights.tolist(), strict=True))
+
+    def key(text, more=0):
+        data, offsets = text_bytes(pa.array([text]))
+        return (int(fingerprints(data, offsets[:1], offsets[1:])[0]) + more) % 2**64
+
+    def plain(text):
+        none = 1.0
+        for sentence in [s for s in re.split(r"[.!?\n]", text) if re.search(r"\w", s)] or [""]:
+            keys = set()
+            for word in re.findall(r"[0-9a-z]+", sentence.lower()):
+                keys |= {key(word)} | {key(word[:n], n) for n in toxicity.BEGINNINGS if len(word) > n}
+            none *= 1 - 1 / (1 + math.exp(-(model.bias + sum(weight.get(k, 0.0) for k in keys))))
+        odds = math.log((1 - none) / none) + model.shift
+        return 1 / (1 + math.exp(-odds))
+
+    rows = scored(d.limit(150), model).select("row.text", F.col("score").alias("p"), "sentences").collect()
+    assert all(math.isclose(r.p, plain(r.text), rel_tol=1e-6) for r in rows) and any(r.p > 0.7 for r in rows)
+
+
 def test_odd_texts(learnt, frame):
     _, _, model = learnt
     rows = [(None, None), (1, ""), (1, ""), (2, "!!! ..."), (3, "dolt " * 20000), (4, "é" * 5 + " dolt ü.")]
