@@ -46,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies stays: the one with the smallest id, one without id only if none there has an id."""
     # Rows are told apart by a number of their own, so that repeated and missing ids are deduplicated like all others.
     rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("node")), "numbered", long_rows=True)
-    found = near_duplicates(rows.select(F.col("node").alias("doc_id"), "row.text"), words=5, percent=80)
+    found = near_duplicates(rows.select(F.col("node").alias("doc_id"), "row.text"), words=4, percent=80)
     ids = rows.select("node", F.col("row.doc_id").cast("long").alias("id"))
     members = stored(found.select(F.col("doc_id").alias("node"), "component_id").join(ids, "node"), "members")
     first = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("without"), "id", "node")).alias("first"))
