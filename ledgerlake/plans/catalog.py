@@ -134,6 +134,7 @@ def load() -> None:
     from ledgerlake.plans import (  # noqa: F401
         queries_catalogs,
         queries_cleaning,
+        queries_history,
         queries_marts,
         queries_quality,
         queries_series,
