@@ -1,21 +1,22 @@
 """Data-quality rules, audit log, scorecard, column checks, expectations and reconciliation.
 
 A rule yields one audit row: table, column, text, severity, rows hit, sample and
-status. Row-level rules on one table are counted together in a single pass.
+status. All rules are counted together, in one pass over each table (`findings`).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import text as t
 from ledgerlake.functions.dates import REFERENCE_DAY, age_years, day, month_start
+from ledgerlake.operators import findings
+from ledgerlake.operators.findings import Probe
 
 SAMPLE_ROWS = 5
 # Failed totals named in an error, beside their count.
@@ -104,70 +105,22 @@ class GapRule:
 Rule = RowRule | DuplicateRule | OrphanRule | BeforeParentRule | MissingMonthRule | GapRule
 
 
-def _audit_row(counted: DataFrame, rule: Rule, sample: Column | None = None) -> DataFrame:
-    """`counted` is a one-row frame with the column n."""
-    return counted.select(
-        F.lit(rule.table).alias("tabela"),
-        F.lit(rule.field).alias("campo"),
-        F.lit(rule.text).alias("regra"),
-        F.lit(rule.severity).alias("severidade"),
-        F.coalesce(F.col("n").cast("long"), F.lit(0)).alias("qtd_registros"),
-        (F.lit(None).cast("string") if sample is None else sample).alias("amostra"),
-        F.lit(OPEN).alias("status"),
-    )
-
-
-def _first_few(values: DataFrame) -> Column:
-    """The first few values of a one-column frame, joined into one text."""
-    ordered = values.toDF("s").orderBy("s").limit(SAMPLE_ROWS)
-    return ordered.agg(F.array_join(F.array_sort(F.collect_list("s")), SAMPLE_GLUE)).scalar()
-
-
-def _row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    counts = df.agg(*[F.count_if(r.hit).alias(f"r{i}") for i, r in enumerate(rules)])
-    entries = []
-    for i, r in enumerate(rules):
-        sample = F.lit(None).cast("string")
-        if r.sample is not None:
-            sample = _first_few(df.where(r.hit).select(r.sample.cast("string")))
-        entries.append(
-            F.struct(
-                F.lit(r.table).alias("tabela"),
-                F.lit(r.field).alias("campo"),
-                F.lit(r.text).alias("regra"),
-                F.lit(r.severity).alias("severidade"),
-                F.col(f"r{i}").alias("qtd_registros"),
-                sample.alias("amostra"),
-                F.lit(OPEN).alias("status"),
-            )
-        )
-    return counts.select(F.inline(F.array(*entries)))
-
-
-def _duplicates(df: DataFrame, rule: DuplicateRule) -> DataFrame:
-    value = F.lower(rule.field) if rule.fold else F.col(rule.field)
-    groups = (
-        df.where(F.col(rule.field).isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("c"))
-    )
-    sample = _first_few(groups.where("c > 1").select(F.col("v").cast("string"))) if rule.sample else None
-    return _audit_row(groups.agg(F.sum(F.col("c") - 1).alias("n")), rule, sample)
-
-
-def _orphans(df: DataFrame, parent: DataFrame, rule: OrphanRule) -> DataFrame:
-    # Rows are counted per key first: a hot key travels as one row.
-    groups = df.groupBy(F.col(rule.field).alias("k")).agg(F.count("*").alias("c"))
-    known = parent.select(F.col(rule.parent_field or rule.field).alias("k"))
-    lost = groups.join(known, "k", "left_anti")
-    found = F.count("k") if rule.distinct else F.sum("c")
-    return _audit_row(lost.agg(found.alias("n")), rule)
-
-
-def _before_parent(df: DataFrame, parent: DataFrame, rule: BeforeParentRule) -> DataFrame:
-    per_day = df.groupBy(
-        F.col(rule.key).alias("k"), F.col(rule.field).try_cast("date").alias("d")
-    ).agg(F.count("*").alias("c"))
-    opened = parent.select(F.col(rule.key).alias("k"), F.col(rule.opened).try_cast("date").alias("o"))
-    return _audit_row(per_day.join(opened, "k").where("d < o").agg(F.sum("c").alias("n")), rule)
+def _probe(rule: Rule) -> Probe:
+    """What a rule looks at."""
+    if isinstance(rule, RowRule):
+        return Probe(findings.ROWS, rule.table, rule.sample, rule.hit)
+    if isinstance(rule, DuplicateRule):
+        return Probe(findings.EXTRA, rule.table, F.lower(rule.field) if rule.fold else F.col(rule.field))
+    if isinstance(rule, OrphanRule):
+        mode = findings.ORPHAN_KEYS if rule.distinct else findings.ORPHAN_ROWS
+        return Probe(mode, rule.table, F.col(rule.field), parent=rule.parent, parent_key=F.col(rule.parent_field or rule.field))
+    if isinstance(rule, BeforeParentRule):
+        return Probe(findings.BEFORE, rule.table, F.col(rule.key), day=F.col(rule.field).try_cast("date"), parent=rule.parent,
+                     parent_key=F.col(rule.key), parent_day=F.col(rule.opened).try_cast("date"))
+    day_of = F.col(rule.field).try_cast("date")
+    if isinstance(rule, MissingMonthRule):
+        return Probe(findings.MONTHS, rule.table, day=day_of, first=rule.first, last=rule.last)
+    return Probe(findings.GAPS, rule.table, day=day_of, days=rule.days)
 
 
 def missing_months(series: DataFrame, field: str, first: Column, last: Column) -> DataFrame:
@@ -185,28 +138,23 @@ def day_gaps(series: DataFrame, field: str, days: int) -> DataFrame:
     return stepped.withColumn("dias", F.datediff("ate", "de")).where(F.col("dias") > days).select("de", "ate", "dias")
 
 
-def audit(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """The audit log: one row per rule, zero counts included."""
-    parts, by_table = [], {}
-    for rule in rules:
-        if isinstance(rule, RowRule):
-            by_table.setdefault(rule.table, []).append(rule)
-            continue
-        df = tables[rule.table]
-        if isinstance(rule, DuplicateRule):
-            parts.append(_duplicates(df, rule))
-        elif isinstance(rule, OrphanRule):
-            parts.append(_orphans(df, tables[rule.parent], rule))
-        elif isinstance(rule, BeforeParentRule):
-            parts.append(_before_parent(df, tables[rule.parent], rule))
-        elif isinstance(rule, MissingMonthRule):
-            lost = missing_months(df, rule.field, F.lit(rule.first), F.lit(rule.last))
-            parts.append(_audit_row(lost.agg(F.count("*").alias("n")), rule))
-        else:
-            gaps = day_gaps(df, rule.field, rule.days)
-            parts.append(_audit_row(gaps.agg(F.count("*").alias("n")), rule))
-    parts += [_row_rules(tables[name], group) for name, group in by_table.items()]
-    return reduce(DataFrame.union, parts)
+def audit(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
+    """The audit log: one row per rule, zero counts included. Runs one job, which reads each table once."""
+    sampled = {
+        i: isinstance(r, RowRule)
+        for i, r in enumerate(rules)
+        if isinstance(r, RowRule) and r.sample is not None or isinstance(r, DuplicateRule) and r.sample
+    }
+    found = findings.counts(tables, [_probe(r) for r in rules], sampled, SAMPLE_ROWS, SAMPLE_GLUE)
+    named = [
+        F.struct(F.lit(i).alias("rule"), F.lit(r.table).alias("tabela"), F.lit(r.field).alias("campo"), F.lit(r.text).alias("regra"), F.lit(r.severity).alias("severidade"))
+        for i, r in enumerate(rules)
+    ]
+    listed = found.sparkSession.range(1).select(F.inline(F.array(*named)))
+    # A row for each rule on either side.
+    return listed.join(F.broadcast(found), "rule", "left").select(
+        "tabela", "campo", "regra", "severidade", F.coalesce("n", F.lit(0)).alias("qtd_registros"), F.col("sample").alias("amostra"), F.lit(OPEN).alias("status")
+    )
 
 
 def scorecard(log: DataFrame) -> DataFrame:
@@ -278,42 +226,25 @@ class ColumnCheck:
     field: str | None = None
 
 
-def column_checks(tables: dict[str, DataFrame], checks: Sequence[ColumnCheck]) -> DataFrame:
-    """Failures of each check. Checks that need no shuffle share one pass over their table."""
-    parts, one_pass = [], {}
-    for check in checks:
-        df, column = tables[check.table], F.col(check.column)
-        if check.test == "not_null":
-            one_pass.setdefault(check.table, []).append((check, column.isNull()))
-        elif check.test == "accepted_values":
-            one_pass.setdefault(check.table, []).append((check, ~column.isin(*check.values)))
-        elif check.test == "unique":
-            groups = df.where(column.isNotNull()).groupBy(column).agg(F.count("*").alias("c"))
-            parts.append(_check_row(groups.agg(F.count_if(F.col("c") > 1).alias("n")), check))
-        elif check.test == "relationships":
-            groups = df.where(column.isNotNull()).groupBy(column.alias("k")).agg(F.count("*").alias("c"))
-            parent = tables[check.to].select(F.col(check.field or check.column).alias("k"))
-            parts.append(_check_row(groups.join(parent, "k", "left_anti").agg(F.sum("c").alias("n")), check))
-        else:
-            raise ValueError(f"unknown check {check.test}")
-    for table, pairs in one_pass.items():
-        counts = tables[table].agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, bad) in enumerate(pairs)])
-        rows = [
-            F.struct(F.lit(c.table).alias("tabela"), F.lit(c.column).alias("coluna"),
-                     F.lit(c.test).alias("teste"), F.col(f"c{i}").alias("falhas"))
-            for i, (c, _) in enumerate(pairs)
-        ]
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.union, parts)
-
-
-def _check_row(counted: DataFrame, check: ColumnCheck) -> DataFrame:
-    return counted.select(
-        F.lit(check.table).alias("tabela"),
-        F.lit(check.column).alias("coluna"),
-        F.lit(check.test).alias("teste"),
-        F.coalesce(F.col("n").cast("long"), F.lit(0)).alias("falhas"),
-    )
+def _checked(check: ColumnCheck) -> Probe:
+    column = F.col(check.column)
+    if check.test == "not_null":
+        return Probe(findings.ROWS, check.table, when=column.isNull())
+    if check.test == "accepted_values":
+        return Probe(findings.ROWS, check.table, when=~column.isin(*check.values))
+    if check.test == "unique":
+        return Probe(findings.REPEATED, check.table, column)
+    if check.test == "relationships":
+        return Probe(findings.ORPHAN_ROWS, check.table, column, column.isNotNull(), parent=check.to, parent_key=F.col(check.field or check.column))
+    raise ValueError(f"unknown check {check.test}")
+
+
+def column_checks(tables: Mapping[str, DataFrame], checks: Sequence[ColumnCheck]) -> DataFrame:
+    """Failures of each check, zero counts included. Runs one job, which reads each table once."""
+    found = findings.counts(tables, [_checked(c) for c in checks], {}, SAMPLE_ROWS, SAMPLE_GLUE)
+    named = [F.struct(F.lit(i).alias("rule"), F.lit(c.table).alias("tabela"), F.lit(c.column).alias("coluna"), F.lit(c.test).alias("teste")) for i, c in enumerate(checks)]
+    listed = found.sparkSession.range(1).select(F.inline(F.array(*named)))
+    return listed.join(F.broadcast(found), "rule", "left").select("tabela", "coluna", "teste", F.coalesce("n", F.lit(0)).alias("falhas"))
 
 
 # ------------------------------------------------------------------ expectations and gates
