@@ -1,7 +1,7 @@
 """Monthly and daily series: compounding, chained indices and projections.
 
-A series is short (one row per month or day), so a window over one series is
-bounded by the calendar however large the bank becomes.
+One row a period counts, so a window over one series of many is bounded by the calendar. A series that is the whole
+table is scanned in range partitions (`scans`), and no window sees all of it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates
 from ledgerlake.functions.rules import region_of
+from ledgerlake.operators import scans
 from ledgerlake.operators.keys import latest_per_key
 
 # Annual targets (percent) and the spread of the interbank rate below the policy rate.
@@ -38,36 +39,56 @@ def compound(
 ) -> DataFrame:
     """Compounded percentage over the trailing `rows` rows, or from the start of the partition."""
     df = latest_per_key(df, [*partition, order], [])  # one row a period reaches the window
-    first = Window.unboundedPreceding if rows is None else -(rows - 1)
-    window = Window.partitionBy(*partition).orderBy(order).rowsBetween(first, 0)
     factor = 1 + F.col(value).cast("double") / 100
-    return df.withColumn(name, F.round((F.product(factor).over(window) - 1) * 100, 2))
+    if partition:
+        first = Window.unboundedPreceding if rows is None else -(rows - 1)
+        grown = df.withColumn(name, F.product(factor).over(Window.partitionBy(*partition).orderBy(order).rowsBetween(first, 0)))
+    else:
+        values = {name: (scans.PRODUCT, factor)}
+        grown = scans.running(df, [order], values) if rows is None else scans.trailing(df, [order], values, rows)
+    return grown.withColumn(name, F.round((F.col(name) - 1) * 100, 2))
 
 
 def trailing_sum(
     df: DataFrame, value: str, order: str, name: str, rows: int = 3, partition: Sequence[str] = ()
 ) -> DataFrame:
     df = latest_per_key(df, [*partition, order], [])
-    window = Window.partitionBy(*partition).orderBy(order).rowsBetween(-(rows - 1), 0)
-    return df.withColumn(name, F.round(F.sum(value).over(window), 2))
+    if partition:
+        summed = df.withColumn(name, F.sum(value).over(Window.partitionBy(*partition).orderBy(order).rowsBetween(-(rows - 1), 0)))
+    else:
+        summed = scans.trailing(df, [order], {name: (scans.SUM, F.col(value))}, rows)
+    return summed.withColumn(name, F.round(name, 2))
+
+
+def running_sum(df: DataFrame, value: str, order: str, name: str) -> DataFrame:
+    """The sum from the first row on; of several rows of a period the greatest counts."""
+    return scans.running(latest_per_key(df, [order], []), [order], {name: (scans.SUM, F.col(value))})
+
+
+# Steps of a fold that are copied together.
+FOLD_BLOCK = 128
 
 
 def fold_index(changes: Column, base: Column, scale: int = 2) -> Column:
     """Index after each change of an ordered array, rounded at every step.
 
     The rounding makes each step depend on the one before, which no window frame
-    expresses; a fold over the series' own array does.
+    expresses; a fold over the series' own array does. A fold copies what it has
+    so far at every step, so it runs over blocks, and within each over its steps.
     """
-    start = F.array(F.round(base.cast("double"), scale))
-    path = F.aggregate(
-        changes,
-        start,
-        lambda done, change: F.concat(
-            done,
-            F.array(F.round(F.element_at(done, -1) * (1 + F.coalesce(change.cast("double"), F.lit(0.0)) / 100), scale)),
-        ),
-    )
-    return F.slice(path, 2, F.size(changes))
+
+    def step(last: Column, change: Column) -> Column:
+        return F.round(last * (1 + F.coalesce(change.cast("double"), F.lit(0.0)) / 100), scale)
+
+    def block(last: Column, some: Column) -> Column:
+        return F.aggregate(some, F.array(last), lambda done, change: F.concat(done, F.array(step(F.element_at(done, -1), change))))
+
+    count = F.ceil(F.size(changes) / FOLD_BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda b: F.slice(changes, b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK)))
+    begin = F.array(F.array(F.round(base.cast("double"), scale)))
+    # Each block's path begins with the last value of the one before.
+    paths = F.aggregate(blocks, begin, lambda done, some: F.concat(done, F.array(block(F.element_at(F.element_at(done, -1), -1), some))))
+    return F.flatten(F.transform(F.slice(paths, F.lit(2), F.size(paths) - 1), lambda p: F.slice(p, F.lit(2), F.size(p) - 1)))
 
 
 def chained_index(

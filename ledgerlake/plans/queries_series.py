@@ -33,6 +33,27 @@ def compounded_changes(bank):
     return series.trailing_sum(df, "variacao_mensal", "data", "acumulado_3m").drop("ano")
 
 
+_DAILY = """(select o_orderdate::date as data, sum(cast(o_totalprice as decimal(14,2))) as valor, cast((count(*) % 9 - 4) / 100.0 as decimal(6,2)) as v
+             from orders group by 1)"""
+
+
+@query("daily_running_series", f"""
+    select data::varchar as data, valor::double as valor, (sum(valor) over (order by data))::double as valor_acumulado,
+           (sum(valor) over (order by data rows between 6 preceding and current row))::double as valor_7d,
+           round(({_FACTOR} over (order by data) - 1) * 100, 2) as acumulado,
+           round(({_FACTOR} over (order by data rows between 11 preceding and current row) - 1) * 100, 2) as acumulado_12
+    from {_DAILY}""")
+def daily_running_series(bank):
+    """Every day of orders as one series: running and trailing sums and compounded changes, none in one task."""
+    daily = bank.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("data")).agg(
+        F.sum(t.to_decimal(F.col("o_totalprice"))).alias("valor"), ((F.count("*") % 9 - 4) / 100).cast("decimal(6,2)").alias("v")
+    )
+    df = series.running_sum(daily, "valor", "data", "valor_acumulado")
+    df = series.trailing_sum(df, "valor", "data", "valor_7d", rows=7)
+    df = series.compound(df, "v", "data", "acumulado")
+    return series.compound(df, "v", "data", "acumulado_12", rows=12).drop("v")
+
+
 _CHAIN = """
     (with recursive seq as (select row_number() over (order by data) as i, data, cast(no_mes as double) as v from raw_ipca),
      walk as (select 0::bigint as i, null::varchar as data, null::double as v, 3040.22::double as indice

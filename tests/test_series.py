@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from compare import values
@@ -86,3 +87,50 @@ def test_growth_by_region(frame):
 def test_tags(monthly):
     tagged = series.tag_series(monthly, monthly.limit(2))
     assert values(tagged.groupBy("tipo").count()) == [("PROJECAO", 2), ("REAL", 14)]
+
+
+def test_scans_over_many_partitions(spark):
+    """Running and trailing values equal those of one window, however the rows are cut, partitions shorter than the frame included."""
+    from pyspark.sql import Window
+
+    from ledgerlake.operators import scans
+
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(60).select(F.col("id").alias("k"), (F.pmod(F.xxhash64("id"), F.lit(100))).alias("v"), F.when(F.col("id") % 7 == 3, None).otherwise(F.col("id") / 1000).alias("f"))
+    try:
+        for parts in ("1", "3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            values_of = {"s": (scans.SUM, F.col("v")), "p": (scans.PRODUCT, 1 + F.col("f"))}
+            for n in (None, 1, 2, 12):
+                got = scans.running(rows, ["k"], values_of) if n is None else scans.trailing(rows, ["k"], values_of, n)
+                frame_of = Window.orderBy("k").rowsBetween(Window.unboundedPreceding if n is None else 1 - n, 0)
+                want = rows.select("k", F.sum("v").over(frame_of).alias("s"), F.product(1 + F.col("f")).over(frame_of).alias("p"))
+                both = {r.k: (r.s, r.p) for r in got.collect()}, {r.k: (r.s, r.p) for r in want.collect()}
+                assert len(both[0]) == 60 and all(both[0][k][0] == s and (both[0][k][1] or 1.0) == pytest.approx(p or 1.0) for k, (s, p) in both[1].items())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+def test_no_window_sees_the_whole_series(frame):
+    df = frame("d date, v double", [(dt.date(2024, 1, 1), 1.0)])
+    for made in (series.compound(df, "v", "d", "c", rows=12), series.compound(df, "v", "d", "c"), series.trailing_sum(df, "v", "d", "c")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        by_day = [line for line in plan.splitlines() if " Window [" in line and re.search(r", \[d#\d+ ASC", line)]
+        assert by_day and all(re.search(r"\], \[_part#\d+\], \[d#", line) for line in by_day)
+
+
+def test_long_folds_equal_short_steps(frame):
+    import random
+
+    rng = random.Random(1)
+    changes = [rng.choice([None, 0.5, -0.3, 1.25]) for _ in range(300)]
+    level, want = 100.0, []
+    df = frame("d int, v double", list(enumerate(changes)))
+    got = [r.indice for r in series.chained_index(df, "v", "d", 100.0).orderBy("d").collect()]
+    for change in changes:
+        level = float(str(round(level * (1 + (change or 0.0) / 100), 2)))
+        want.append(level)
+    assert all(abs(a - b) < 0.05 for a, b in zip(got, want, strict=True)) and len(got) == 300
+    assert series.chained_index(frame("d int, v double", []), "v", "d", 100.0).count() == 0
