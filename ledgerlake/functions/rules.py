@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.text import _col
+from ledgerlake.functions.text import _col, folded
 
 # Name fragments in order of precedence, and the channel each one means.
 CHANNEL_WORDS = [
@@ -106,10 +106,22 @@ def first_match(
     return _chain([(lowered.contains(word), label) for word, label in words], default)
 
 
+def folded_match(
+    name: Column | str, words: Sequence[tuple[str, str]], default: str = OTHER_CHANNEL
+) -> Column:
+    """As `first_match`, but accents are ignored too: "Crédito" holds "credito"."""
+    text = folded(name)
+    return _chain([(text.contains(F.lit(word)), label) for word, label in words], default)
+
+
 def channel_of(name: Column | str) -> Column:
     return first_match(name, CHANNEL_WORDS)
 
 
+def folded_channel_of(name: Column | str) -> Column:
+    return folded_match(name, CHANNEL_WORDS)
+
+
 def service_channel_of(name: Column | str) -> Column:
     return first_match(name, SERVICE_WORDS)
 

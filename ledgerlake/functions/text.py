@@ -120,6 +120,15 @@ def match_key(value: Column | str) -> Column:
     return F.upper(F.trim(_col(value)))
 
 
+# Fixed value: the collation under which neither case nor accents tell words apart.
+FOLDED = "UNICODE_CI_AI"
+
+
+def folded(value: Column | str) -> Column:
+    """The text under a collation that ignores case and accents; comparisons, joins and groups go by it."""
+    return F.collate(_col(value), FOLDED)
+
+
 def valid_cep(value: Column | str) -> Column:
     return digits(value).rlike(r"^\d{8}$")
 

@@ -335,6 +335,37 @@ def flatten_series(raw: DataFrame, column: str = "value", year: str = "2022") ->
     )
 
 
+def variant_places(raw: DataFrame, column: str = "value") -> DataFrame:
+    """As `flatten_places`, for answers whose layout is not declared: each value is looked up along two paths."""
+    state = ["$.microrregiao.mesorregiao.UF", "$['regiao-imediata']['regiao-intermediaria'].UF"]
+    answer = raw.select(F.try_parse_json(column).alias("j")).where("j IS NOT NULL")
+
+    def found(path: str) -> Column:
+        return F.coalesce(*[F.try_variant_get("j", f"{s}{path}", "string") for s in state])
+
+    return answer.select(
+        F.try_variant_get("j", "$.id", "bigint").alias("codigo_ibge"),
+        F.try_variant_get("j", "$.nome", "string").alias("municipio"),
+        found(".sigla").alias("uf"),
+        found(".nome").alias("uf_nome"),
+        region_by_code(found(".regiao.sigla")).alias("regiao"),
+        found(".regiao.sigla").alias("regiao_sigla"),
+    )
+
+
+def variant_series(raw: DataFrame, column: str = "value") -> DataFrame:
+    """One row per place, series and period of a nested answer, whatever periods it holds."""
+    answers = raw.select(F.try_parse_json(column).alias("j")).where("j IS NOT NULL")
+    spread = lambda df, path, kept: df.select(*kept, F.explode(F.try_variant_get("j", path, "array<variant>")).alias("j"))
+    series = spread(spread(spread(answers, "$", []), "$.resultados", []), "$.series", [])
+    places = series.select(
+        F.try_variant_get("j", "$.localidade.id", "string").alias("codigo_ibge"),
+        F.try_variant_get("j", "$.localidade.nome", "string").alias("municipio"),
+        F.explode(F.try_variant_get("j", "$.serie", "map<string,string>")).alias("periodo", "valor"),
+    )
+    return places
+
+
 # ---------------------------------------------------------------- product sources
 
 # The kinds of the product sources' columns; those not named are trimmed text.

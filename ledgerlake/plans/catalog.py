@@ -43,6 +43,10 @@ class Bank:
         mark = hashlib.sha256(self.folder.encode()).hexdigest()[:12]
         return f"{shared_folder(self.spark)}/{self.spark.sparkContext.applicationId}/{mark}"
 
+    def schema(self, layer: str) -> str:
+        """A catalog schema of this input's own."""
+        return f"l{hashlib.sha256(self.folder.encode()).hexdigest()[:12]}_{layer}"
+
     def scratch(self, name: str) -> str:
         return f"{self.root}/scratch/{name}"
 
@@ -137,6 +141,7 @@ def load() -> None:
         queries_history,
         queries_marts,
         queries_quality,
+        queries_published,
         queries_series,
         queries_star,
         queries_tables,

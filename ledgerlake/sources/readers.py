@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerlake.session import stored
 from ledgerlake.sources.tables import TableSpec
 
 LINEAGE = ("_fonte", "_carga_ts")
@@ -67,6 +68,30 @@ def read_text_csv(
     return raw.select(*wanted)
 
 
+CORRUPT = "_registro"
+
+
+def read_with_rejects(
+    spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",", encoding: str = "UTF-8", header: bool = True, line_breaks: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """All columns as text, and apart from them every record that does not have exactly those columns, as it was written.
+
+    Rejected records come with a reason and their number of fields. With `line_breaks` a quoted field may hold line breaks; such a
+    file cannot be split, so it is read by one task. The parsed records are written once, and both tables are read from there.
+    """
+    schema = text_schema([*columns, CORRUPT])
+    raw = spark.read.options(
+        **_options(sep, encoding) | {"header": str(header).lower(), "multiLine": str(line_breaks).lower(), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    ).schema(schema).csv(path)
+    parsed = stored(raw, "parsed")
+    # Separators outside quotes tell how many fields a record has.
+    bare = F.regexp_replace(CORRUPT, r'"([^"]|"")*("|$)', "")
+    fields = ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep) + 1).cast("int")
+    reason = F.when(F.col("campos") < len(columns), "faltam campos").when(F.col("campos") > len(columns), "sobram campos").otherwise("registro ilegível")
+    rejected = parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("registro"), fields.alias("campos")).withColumn("motivo", reason)
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rejected
+
+
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({LINEAGE[0]: F.lit(source), LINEAGE[1]: F.current_timestamp()})
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.keys import latest_per_key
+from ledgerlake.operators.quality import Expectation, QualityError
+from ledgerlake.session import stored
 
 # The layers of the warehouse.
 LAYERS = ("bronze", "silver", "gold", "dq", "staging")
@@ -68,6 +71,78 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def publish_files(spark: SparkSession, path: str, view: str) -> DataFrame:
+    """A persistent view over written files. Readers of its name go over to the new files at once."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    return spark.table(view)
+
+
+def write_gated(df: DataFrame, folder: str, view: str, expectations: Sequence[Expectation]) -> list[dict]:
+    """Write into a folder of its own, count rows and failures on the way, and publish only what passed.
+
+    The rows are read once: the counts are observed while they are written. Returns a line for each expectation; where a fatal
+    one failed, raises `QualityError`, whose `report` holds them, and the view still shows what was published before.
+    """
+    path, seen = f"{folder}/{uuid.uuid4().hex}", Observation()
+    failed = [F.count_if(~F.coalesce(F.expr(e.condition), F.lit(False))).alias(f"e{i}") for i, e in enumerate(expectations)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *failed).write.parquet(path)
+    counts = seen.get
+    report = [{"expectativa": e.name, "fatal": e.fatal, "falhas": counts[f"e{i}"], "linhas": counts["rows"]} for i, e in enumerate(expectations)]
+    broken = [r for r in report if r["fatal"] and r["falhas"]]
+    if broken:
+        error = QualityError("; ".join(f"{r['expectativa']}: {r['falhas']} of {r['linhas']} rows" for r in broken))
+        error.report = report
+        raise error
+    publish_files(df.sparkSession, path, view)
+    return report
+
+
+def in_partitions_of(table: DataFrame, rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The table's rows in the partitions that `rows` have a row in; the others are not read."""
+    touched = rows.select(*partition_by).distinct()
+    values = touched.collect()
+    for i, column in enumerate(partition_by):
+        table = table.where(F.col(column).isin([r[i] for r in values]))
+    return table if len(partition_by) == 1 else table.join(F.broadcast(touched), list(partition_by), "left_semi")
+
+
+def merge_partitions(path: str, new: DataFrame, keys: Sequence[str], partition_by: Sequence[str], update: Sequence[str]) -> None:
+    """Upsert into a partitioned table, reading and rewriting only the partitions that `new` touches.
+
+    The partition columns are part of the key, so no row ever moves to another partition. The values of the touched
+    partitions (a row for each, as many as are rewritten) are collected first and prune the scan; the merged rows are written
+    aside, then replace those partitions alone. With nothing to update, known keys stay as they are and the others are added.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError("the partition columns must be part of the key")
+    spark = new.sparkSession
+    new = stored(new, "merge_new")
+    without = new.where(" OR ".join(f"{c} IS NULL" for c in partition_by)).limit(1).count()
+    if without:
+        raise QualityError(f"rows to merge have no value in {', '.join(partition_by)}")
+    held = in_partitions_of(spark.read.parquet(path), new, partition_by)
+    merged = stored(upsert(held, new, keys, update), "merged")
+    (
+        merged.hint("rebalance", *[F.col(c) for c in partition_by])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    )
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A catalog table in buckets of a key: tables with equal buckets are joined and grouped by it without an exchange."""
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+# Bytes of a bucket, which one task reads.
+BUCKET_BYTES = 128 << 20
+
+
+def buckets_for(rows: int, bytes_a_row: int, least: int = 1) -> int:
+    """As many buckets as keep each at about BUCKET_BYTES."""
+    return max(least, -(-rows * bytes_a_row // BUCKET_BYTES))
+
+
 def insert_absent(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target, and the new rows whose key it does not hold yet. Missing columns are NULL.
 

@@ -77,3 +77,21 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, frame):
     plan = physical(marts.balance_by_branch(spark.read.parquet(path), branches, labels=["cod_agencia"]))
     assert "EqualTo(eh_conta_ativa,true)" in plan
     assert "other" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
+def test_audits_read_each_table_once(spark):
+    from ledgerlake.operators import findings, quality
+    from ledgerlake.plans import queries_quality
+
+    bank = catalog.Bank(spark, FOLDER)
+    probes = [quality._probe(r) for r in quality.bank_rules()]
+    checks = [quality._checked(c) for c in queries_quality._CHECKS]
+    for tables, some in ((bank.raw, probes), (bank.silver, checks)):
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+        plan = physical(findings.findings(tables, some))
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        names = {p.table for p in some} | {p.parent for p in some if p.parent}
+        for name in names:
+            assert plan.count(f"/{name}]") == 1, name
+        assert plan.count("Join") == 0 and plan.count("Exchange hashpartitioning") == 2
