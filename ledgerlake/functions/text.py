@@ -43,14 +43,16 @@ def strict_decimal(
     return F.when(numeric_text(value, signed), to_decimal(value, precision, scale))
 
 
-def held_amount(wide: Column, precision: int = 14, scale: int = 2) -> Column:
-    """A wide amount rounded half away from zero; NULL where the column cannot hold it."""
-    return wide.try_cast(DecimalType(precision, scale))
+def amount_pattern(signed: bool = True, zero: bool = True, whole: int = 12) -> str:
+    """Plain decimal text that a column of two decimals and `whole` digits before them can hold once it is rounded.
 
-
-def wide_amount(value: Column | str, signed: bool = True) -> Column:
-    """Amount text as it is written, unrounded, for tests on zero and sign."""
-    return strict_decimal(value, 38, 10, signed)
+    Without `zero`, an amount must not be zero at ten decimals. One match tells all that cleaning asks of an amount, so that it
+    is parsed once, and only where it is kept.
+    """
+    sign = "-?" if signed else ""
+    some = "" if zero else r"(?=[0-9]*[1-9]|[0-9]*\.[0-9]{0,9}[1-9]|[0-9]*\.[0-9]{10}[5-9])"
+    fits = rf"(?!0*9{{{whole}}}\.99[5-9])"
+    return rf"^{sign}{some}{fits}0*[0-9]{{1,{whole}}}(\.[0-9]*)?$"
 
 
 def to_whole(value: Column | str, kind: str = "bigint") -> Column:

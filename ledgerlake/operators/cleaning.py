@@ -8,7 +8,8 @@ return NULL for bad text, so the optimizer may reorder freely.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,17 +75,17 @@ def activity_flag(last_entry: Column, newest: Column, days: int = ACTIVE_DAYS) -
 def clean_accounts(raw: DataFrame) -> DataFrame:
     last_entry = t.to_day("data_ultimo_lancamento")
     newest = raw.agg(F.max(last_entry)).scalar()
-    typed = raw.select(
+    typed = raw.where(F.col("saldo_total").rlike(t.amount_pattern())).select(
         t.to_whole("num_conta").alias("num_conta"),
         t.to_whole("cod_cliente").alias("cod_cliente"),
         t.to_whole("cod_agencia").alias("cod_agencia"),
         t.to_whole("cod_colaborador").alias("cod_colaborador"),
         F.trim("tipo_conta").alias("tipo_conta"),
         t.to_day("data_abertura").alias("data_abertura"),
-        t.held_amount(t.wide_amount("saldo_total")).alias("saldo_total"),
+        t.to_decimal("saldo_total").alias("saldo_total"),
         t.to_decimal("saldo_disponivel").alias("saldo_disponivel"),
         last_entry.alias("data_ultimo_lancamento"),
-    ).where("num_conta IS NOT NULL AND saldo_total IS NOT NULL")
+    ).where("num_conta IS NOT NULL")
     return typed.withColumn("eh_conta_ativa", activity_flag(F.col("data_ultimo_lancamento"), newest))
 
 
@@ -95,26 +96,23 @@ def clean_transactions(
 
     Rows that cannot be kept are listed, each with its reason, by `rejects`.
     """
-    wide = t.wide_amount("valor_transacao")
+    fits = F.col("valor_transacao").rlike(t.amount_pattern(zero=False))
+    amount = t.to_decimal("valor_transacao")
+    moment = t.to_instant("data_transacao")
     return (
-        raw.select(
+        raw.where(fits)
+        .select(
             t.to_whole("cod_transacao", "bigint").alias("cod_transacao"),
             t.to_whole("num_conta").alias("num_conta"),
-            t.to_instant("data_transacao").alias("data_transacao"),
+            moment.alias("data_transacao"),
             F.trim("nome_transacao").alias("nome_transacao"),
-            t.held_amount(wide).alias("valor_transacao"),
+            amount.alias("valor_transacao"),
             channel("nome_transacao").alias("canal"),
-            wide.alias("_wide"),
-        )
-        .where("cod_transacao IS NOT NULL AND _wide <> 0 AND valor_transacao IS NOT NULL")
-        .withColumns(
-            {
-                "mes_referencia": month_start("data_transacao"),
-                "valor_absoluto": F.abs("valor_transacao"),
-                "flag_credito": F.col("_wide") >= 0,
-            }
+            month_start(moment).alias("mes_referencia"),
+            F.abs(amount).alias("valor_absoluto"),
+            (~F.col("valor_transacao").startswith("-")).alias("flag_credito"),
         )
-        .drop("_wide")
+        .where("cod_transacao IS NOT NULL")
     )
 
 
@@ -177,14 +175,14 @@ def clean_staff(extended: DataFrame, originals: DataFrame) -> DataFrame:
     return full.unionByName(bare, allowMissingColumns=True)
 
 
-def _proposals(raw: DataFrame, amount: Column) -> DataFrame:
+def _proposals(raw: DataFrame) -> DataFrame:
     return raw.select(
         t.to_whole("cod_proposta", "bigint").alias("cod_proposta"),
         t.to_whole("cod_cliente").alias("cod_cliente"),
         t.to_whole("cod_colaborador").alias("cod_colaborador"),
         t.to_day("data_entrada_proposta").alias("data_entrada_proposta"),
         t.to_decimal("taxa_juros_mensal", 8, 6).alias("taxa_juros_mensal"),
-        amount.alias("valor_proposta"),
+        t.to_decimal("valor_proposta").alias("valor_proposta"),
         t.to_decimal("valor_financiamento").alias("valor_financiamento"),
         t.to_decimal("valor_entrada").alias("valor_entrada"),
         t.to_decimal("valor_prestacao").alias("valor_prestacao"),
@@ -198,12 +196,8 @@ def _proposals(raw: DataFrame, amount: Column) -> DataFrame:
 
 def clean_proposals(originals: DataFrame, synthetic: DataFrame | None = None) -> DataFrame:
     """Originals need an unsigned plain amount; synthetic rows are taken as they come."""
-    kept = _proposals(originals, t.held_amount(t.wide_amount("valor_proposta", signed=False))).where(
-        "valor_proposta IS NOT NULL"
-    )
-    if synthetic is None:
-        return kept
-    return kept.unionByName(_proposals(synthetic, t.to_decimal("valor_proposta")))
+    kept = _proposals(originals.where(F.col("valor_proposta").rlike(t.amount_pattern(signed=False))))
+    return kept if synthetic is None else kept.unionByName(_proposals(synthetic))
 
 
 def tag_projection(real: DataFrame, projected: DataFrame) -> DataFrame:
@@ -413,46 +407,96 @@ def clean_product_source(raw: DataFrame, table: str) -> DataFrame:
 
 # ---------------------------------------------------------------- rows that cleaning leaves out
 
-# What cleaning asks of each raw table: key, amount, whether it may have a sign, and be zero.
+@dataclass(frozen=True)
+class Kept:
+    """What cleaning asks of a raw table's rows: a key, perhaps further ones, perhaps an amount with or without sign and zero."""
+
+    table: str
+    key: str
+    amount: str | None = None
+    signed: bool = True
+    zero: bool = True
+    kind: str = "bigint"
+    owner: str | None = None
+    blank: bool = False  # blank keys count as missing
+
+
+# What cleaning asks of each table that it filters.
 KEPT_IF = [
-    ("clientes", "cod_cliente", None, True, True),
-    ("contas", "num_conta", "saldo_total", True, True),
-    ("transacoes", "cod_transacao", "valor_transacao", True, False),
-    ("propostas_credito", "cod_proposta", "valor_proposta", False, True),
+    Kept("clientes", "cod_cliente"),
+    Kept("clientes_sinteticos", "cod_cliente"),
+    Kept("contas", "num_conta", "saldo_total"),
+    Kept("transacoes", "cod_transacao", "valor_transacao", zero=False),
+    Kept("propostas_credito", "cod_proposta", "valor_proposta", signed=False),
+    Kept("propostas_sinteticas", "cod_proposta"),
+    Kept("agencias", "cod_agencia", kind="string"),
+    Kept("ipca", "data", kind="day"),
+    *[Kept(table, next(iter(kinds)), owner="cod_cliente", blank=True) for table, kinds in PRODUCT_KINDS.items()],
 ]
 
 
-def reject_reason(key: str, amount: str | None, signed: bool = True, zero: bool = True) -> Column:
+def reject_reason(rule: Kept) -> Column:
     """Why a raw row is not kept; NULL for a row that is."""
-    reason = F.when(F.col(key).isNull(), "chave ausente").when(t.to_whole(key).isNull(), "chave inválida")
-    if amount is not None:
-        wide = t.wide_amount(amount, signed)
+
+    def given(name: str) -> Column:
+        return t.blank_to_null(F.trim(name)) if rule.blank else F.col(name)
+
+    def wrong(name: str) -> Column:
+        if rule.kind == "string":
+            return F.lit(False)
+        return ~F.col(name).rlike(t.ISO_DAY) if rule.kind == "day" else t.to_whole(given(name)).isNull()
+
+    reason = F.when(given(rule.key).isNull(), "chave ausente").when(wrong(rule.key), "chave inválida")
+    if rule.owner is not None:
+        reason = reason.when(given(rule.owner).isNull(), "cliente ausente").when(wrong(rule.owner), "cliente inválido")
+    if rule.amount is not None:
+        amount = F.col(rule.amount)
         reason = (
-            reason.when(F.col(amount).isNull(), "valor ausente")
-            .when(~t.numeric_text(amount, signed), "valor não numérico")
-            .when(wide.isNull() | t.held_amount(wide).isNull(), "valor grande demais")
+            reason.when(amount.isNull(), "valor ausente")
+            .when(~t.numeric_text(rule.amount, rule.signed), "valor não numérico")
+            .when(~amount.rlike(t.amount_pattern(rule.signed)), "valor grande demais")
         )
-        if not zero:
-            reason = reason.when(wide == 0, "valor zero")
-    return reason
+        if not rule.zero:
+            reason = reason.when(~amount.rlike(t.amount_pattern(rule.signed, zero=False)), "valor zero")
+    # A client without an identity number is no client at all; that is told first.
+    return F.when(F.col("cpfcnpj").isNull(), "documento ausente").otherwise(reason) if rule.table == "clientes" else reason
 
 
-def rejects(raw: dict[str, DataFrame], rules: list[tuple] = KEPT_IF) -> DataFrame:
+def rejects(raw: Mapping[str, DataFrame], rules: Sequence[Kept] = KEPT_IF) -> DataFrame:
     """Every raw row that cleaning leaves out: table, key, amount as written, reason."""
     found = None
-    for table, key, amount, signed, zero in rules:
-        # A client without an identity number is no client at all; that is told first.
-        reason = reject_reason(key, amount, signed, zero)
-        if table == "clientes":
-            reason = F.when(F.col("cpfcnpj").isNull(), "documento ausente").otherwise(reason)
-        one = raw[table].select(
-            F.lit(table).alias("tabela"), F.col(key).alias("chave"),
-            (F.lit(None).cast("string") if amount is None else F.col(amount)).alias("valor"), reason.alias("motivo"),
+    for rule in rules:
+        one = raw[rule.table].select(
+            F.lit(rule.table).alias("tabela"), F.col(rule.key).alias("chave"),
+            (F.lit(None).cast("string") if rule.amount is None else F.col(rule.amount)).alias("valor"), reject_reason(rule).alias("motivo"),
         ).where("motivo IS NOT NULL")
         found = one if found is None else found.unionByName(one)
     return found
 
 
-def reject_counts(raw: dict[str, DataFrame], rules: list[tuple] = KEPT_IF) -> DataFrame:
+def reject_counts(raw: Mapping[str, DataFrame], rules: Sequence[Kept] = KEPT_IF) -> DataFrame:
     """Rows left out by table and reason, for the audit."""
     return rejects(raw, rules).groupBy("tabela", "motivo").agg(F.count("*").alias("qtd"))
+
+
+# Fields whose text may not fit the column that cleaning gives them; the row is kept with NULL there.
+NARROW = {
+    "clientes_sinteticos": {"idade": "smallint", "score_credito": "smallint", "renda_mensal": "decimal(12,2)", "data_nascimento": "date"},
+    "propostas_credito": {"quantidade_parcelas": "smallint", "carencia": "smallint", "taxa_juros_mensal": "decimal(8,6)", "data_entrada_proposta": "date"},
+    "propostas_sinteticas": {"quantidade_parcelas": "smallint", "carencia": "smallint", "taxa_juros_mensal": "decimal(8,6)", "valor_proposta": "decimal(14,2)"},
+    "transacoes": {"num_conta": "bigint", "data_transacao": "timestamp_ntz"},
+    "contas": {"saldo_disponivel": "decimal(14,2)", "data_abertura": "date", "data_ultimo_lancamento": "date"},
+    **PRODUCT_KINDS,
+}
+
+
+def lost_values(raw: Mapping[str, DataFrame], kinds: Mapping[str, Mapping[str, str]] = NARROW) -> DataFrame:
+    """Texts that were given but give NULL under their column's type: table, column, rows; one pass over each table."""
+    found = None
+    for table, columns in kinds.items():
+        typed = {c: k for c, k in columns.items() if k != "boolean"}
+        lost = [F.count_if(t.blank_to_null(F.trim(c)).isNotNull() & F.trim(c).try_cast(k).isNull()).alias(c) for c, k in typed.items()]
+        rows = [F.struct(F.lit(table).alias("tabela"), F.lit(c).alias("campo"), F.col(c).alias("qtd")) for c in typed]
+        one = raw[table].agg(*lost).select(F.inline(F.array(*rows)))
+        found = one if found is None else found.unionByName(one)
+    return found

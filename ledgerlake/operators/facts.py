@@ -12,10 +12,7 @@ from ledgerlake.functions import dates
 from ledgerlake.functions import finance
 from ledgerlake.functions import text as t
 from ledgerlake.functions.rules import arrears_bucket, risk_grade
-from ledgerlake.operators.keys import current_rows, lookup
-
-# A transaction's account may own a large share of the table; beyond this share it skips the shuffle.
-HOT_SHARE = 0.05
+from ledgerlake.operators.keys import PART_ROWS, current_rows, lookup
 
 
 @dataclass(frozen=True)
@@ -34,7 +31,7 @@ class Lookup:
     fact_key: str | Column
     how: str = "inner"
     name: str | None = None
-    hot_share: float | None = None
+    part_rows: int | None = None
 
 
 def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Column]) -> DataFrame:
@@ -44,7 +41,7 @@ def build_fact(source: DataFrame, lookups: list[Lookup], measures: list[str | Co
         name, probe = look.name or look.surrogate, f"_probe{i}"
         expression = F.col(look.fact_key) if isinstance(look.fact_key, str) else look.fact_key
         side = look.dim.select(F.col(look.natural).alias(probe), F.col(look.surrogate).alias(name))
-        fact = lookup(fact.withColumn(probe, expression), side, probe, look.how, look.hot_share)
+        fact = lookup(fact.withColumn(probe, expression), side, probe, look.how, look.part_rows)
         keys.append(name)
     return fact.select(*keys, *measures)
 
@@ -73,12 +70,12 @@ def fact_transactions(
     branches: DataFrame,
     channels: DataFrame,
     keep_unmatched: bool = False,
-    hot_share: float | None = HOT_SHARE,
+    part_rows: int | None = PART_ROWS,
 ) -> DataFrame:
     """`keep_unmatched` gives the variant whose lookups are all left joins."""
     how = "left" if keep_unmatched else "inner"
     owned = lookup(
-        transactions, resolve_accounts(accounts, clients, branches), "num_conta", how, hot_share
+        transactions, resolve_accounts(accounts, clients, branches), "num_conta", how, part_rows
     )
     return build_fact(
         owned,

@@ -61,15 +61,18 @@ def current_rows(dim: DataFrame, flag: str = "eh_registro_atual") -> DataFrame:
     return dim.where(F.col(flag))
 
 
-# Parts that the rows of a hot key, or those without a key, are spread over.
-SPREAD = 32
+# Rows of one key that a task takes; the rows of a key with more are spread over as many parts as that asks for.
+PART_ROWS = 1 << 20
 
 
-def hot_keys(fact: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys holding more than `share` of the keyed rows. There can be at most 1/share of them."""
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") > F.lit(share) * total).select(key)
+def hot_keys(fact: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Keys with more than `part_rows` rows, NULL among them, and the parts to spread them over.
+
+    There are fewer of them than tasks of that many rows, so they fit everywhere. They are counted in a scan of that column
+    alone and written once.
+    """
+    counts = fact.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > part_rows)
+    return stored(counts.select(key, F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")), "hot_keys")
 
 
 def lookup(
@@ -77,26 +80,27 @@ def lookup(
     dim: DataFrame,
     key: str,
     how: str = "inner",
-    hot_share: float | None = None,
+    part_rows: int | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join a fact to a dimension that has one row per key.
 
-    Rows without a key match nothing; they are spread by the hash of `spread_by` (all
-    columns by default), so that a left join does not send them to one task. With
-    `hot_share` the rows of hot keys are spread likewise, and the few dimension rows
-    of those keys (at most 1/hot_share) are repeated for every part. The keys are
-    counted first, in a scan of that column alone; the rows are read and
-    shuffled once. Nothing is salted at random, so a retried task sees the same rows.
+    Rows without a key match nothing; in a left join they are spread by the hash of `spread_by` (all columns by default)
+    over as many parts as the session shuffles into, so that they do not go to one task. With `part_rows` keys are counted
+    first: a key with more rows, or all rows without one, are spread over parts of that size, and the one dimension row
+    of a spread key is repeated for each of its parts. The rows themselves are read and shuffled once. Nothing is salted
+    at random, so a retried task sees the same rows.
     """
-    part = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(SPREAD)).cast("int")
-    if hot_share is None:
+    mark = F.xxhash64(*(spread_by or fact.columns))
+    if part_rows is None:
         if how == "inner":
             return fact.join(dim, key)
-        rows = fact.withColumn("_part", F.when(F.col(key).isNull(), part).otherwise(0))
+        parts = F.lit(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        rows = fact.withColumn("_part", F.when(F.col(key).isNull(), F.pmod(mark, parts)).otherwise(0).cast("int"))
         return rows.join(dim.withColumn("_part", F.lit(0)), [key, "_part"], how).drop("_part")
-    hot = F.broadcast(hot_keys(fact, key, hot_share).withColumn("_hot", F.lit(True)))
-    rows = fact.join(hot, key, "left").withColumn("_part", F.when(F.col("_hot") | F.col(key).isNull(), part).otherwise(0))
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    sides = dim.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_hot")
-    return rows.drop("_hot").join(sides, [key, "_part"], how).drop("_part")
+    hot = F.broadcast(hot_keys(fact, key, part_rows).withColumnRenamed(key, "_hot"))
+    marked = fact.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
+    rows = marked.withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(mark, F.col("_parts"))).otherwise(0).cast("int"))
+    every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    sides = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_part", F.explode(every)).drop("_hot", "_parts")
+    return rows.drop("_hot", "_parts").join(sides, [key, "_part"], how).drop("_part")

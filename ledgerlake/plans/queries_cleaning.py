@@ -376,6 +376,15 @@ def card_usage(bank):
 _NUMBER = "regexp_full_match({}, '-?[0-9]+\\.?[0-9]*')"
 
 
+_KEY = "case when {0} is null then 'chave ausente' when try_cast({0} as bigint) is null then 'chave inválida'"
+_PRODUCT_REJECTS = "".join(
+    f""" union all
+      select '{table}', case when nullif(trim({key}), '') is null then 'chave ausente' when try_cast(trim({key}) as bigint) is null then 'chave inválida'
+             when nullif(trim(cod_cliente), '') is null then 'cliente ausente' when try_cast(trim(cod_cliente) as bigint) is null then 'cliente inválido' end from raw_{table}"""
+    for table, key in [("investimentos", "id_investimento"), ("cartoes", "id_fatura"), ("seguros", "id_apolice"), ("inadimplencia", "id_inadimplencia"), ("fraudes", "id_fraude")]
+)
+
+
 @query("rejected_rows", f"""
     select tabela, motivo, count(*) as qtd from (
       select 'clientes' as tabela, case when cpfcnpj is null then 'documento ausente' when cod_cliente is null then 'chave ausente'
@@ -393,6 +402,15 @@ _NUMBER = "regexp_full_match({}, '-?[0-9]+\\.?[0-9]*')"
       select 'propostas_credito', case when cod_proposta is null then 'chave ausente' when try_cast(cod_proposta as bigint) is null then 'chave inválida'
              when valor_proposta is null then 'valor ausente' when not regexp_full_match(valor_proposta, '[0-9]+\\.?[0-9]*') then 'valor não numérico'
              when round(valor_proposta::decimal(38,10), 2) >= 1000000000000 then 'valor grande demais' end from raw_propostas_credito
+      union all
+      select 'clientes_sinteticos', {_KEY.format('cod_cliente')} end from raw_clientes_sinteticos
+      union all
+      select 'propostas_sinteticas', {_KEY.format('cod_proposta')} end from raw_propostas_sinteticas
+      union all
+      select 'agencias', case when cod_agencia is null then 'chave ausente' end from raw_agencias
+      union all
+      select 'ipca', case when data is null then 'chave ausente' when not regexp_full_match(data, '\\d{{4}}-\\d{{2}}-\\d{{2}}') then 'chave inválida' end from raw_ipca
+      {_PRODUCT_REJECTS}
     ) where motivo is not null group by 1, 2""")
 def rejected_rows(bank):
     """What cleaning leaves out, counted by reason."""
@@ -407,3 +425,22 @@ def amounts_at_the_edges(bank):
     return bank.silver["transacoes"].where("abs(valor_transacao) < 1 or num_conta > 2147483647").select(
         "cod_transacao", "num_conta", "valor_transacao", "flag_credito"
     )
+
+
+def _lost(table: str, field: str, kind: str) -> str:
+    return f"select '{table}' as tabela, '{field}' as campo, count(case when nullif(trim({field}), '') is not null and try_cast(trim({field}) as {kind}) is null then 1 end) as qtd from raw_{table}"
+
+
+_NARROW = {
+    "clientes_sinteticos": ["idade smallint", "score_credito smallint", "renda_mensal decimal(12,2)", "data_nascimento date"],
+    "propostas_credito": ["quantidade_parcelas smallint", "carencia smallint", "taxa_juros_mensal decimal(8,6)", "data_entrada_proposta date"],
+    "propostas_sinteticas": ["quantidade_parcelas smallint", "carencia smallint", "taxa_juros_mensal decimal(8,6)", "valor_proposta decimal(14,2)"],
+    "transacoes": ["num_conta bigint", "data_transacao timestamp"],
+    "contas": ["saldo_disponivel decimal(14,2)", "data_abertura date", "data_ultimo_lancamento date"],
+}
+
+
+@query("lost_values", " union all ".join(_lost(table, *column.split(" ", 1)) for table, columns in _NARROW.items() for column in columns))
+def lost_values(bank):
+    """Fields that were given but do not fit their column."""
+    return cleaning.lost_values(bank.raw, {table: cleaning.NARROW[table] for table in _NARROW})

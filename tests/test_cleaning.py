@@ -107,3 +107,68 @@ def test_municipalities_of_fixed_years(spark):
         text_frame(spark, "populacao", [dict(codigo_ibge="1", ano="2022", populacao="5"), dict(codigo_ibge="2", ano="2021", populacao="6")]),
         text_frame(spark, "pib_municipal", [dict(codigo_ibge="2", ano="2021", pib_total="9", pib_per_capita="1.5")]))
     assert values(got.select("codigo_ibge", "regiao", "populacao", F.col("pib_total"))) == [(1, "Sudeste", 5, None), (2, "Norte", None, 9)]
+
+
+def test_one_pattern_tells_what_an_amount_column_can_hold(spark):
+    """Against casts to wide decimals, on many spellings."""
+    import random
+    import re
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    from ledgerlake.functions import text as t
+
+    rng = random.Random(2)
+    texts = ["0", "-0", "00.00", "0.0000000000", "0.00000000001", "0.00000000004999", "0.00000000005", "-0.0000000001", "5.", "-5.", ".5", "-", "", "1e3", "+1", " 1", "1 ",
+             "999999999999.99", "999999999999.994", "999999999999.995", "000999999999999.999", "1000000000000", "0001000000000000", "-999999999999.996", "12345678901234567890123456789", "1.2.3"]
+    texts += ["".join(rng.choice("0019.-5") for _ in range(rng.randrange(1, 16))) for _ in range(400)]
+    df = spark.createDataFrame([(x,) for x in texts], "v string")
+
+    def plain(text, signed, zero):
+        if not re.fullmatch(r"-?[0-9]+\.?[0-9]*" if signed else r"[0-9]+\.?[0-9]*", text):
+            return False
+        with localcontext() as context:
+            context.prec = 60
+            value = Decimal(text if not text.endswith(".") else text[:-1])
+            return (zero or value.quantize(Decimal("1e-10"), ROUND_HALF_UP) != 0) and abs(value.quantize(Decimal("0.01"), ROUND_HALF_UP)) < 10**12
+
+    for signed in (True, False):
+        for zero in (True, False):
+            got = {r.v: r.k for r in df.select("v", F.col("v").rlike(t.amount_pattern(signed, zero)).alias("k")).distinct().collect()}
+            assert {v: k for v, k in got.items() if k != plain(v, signed, zero)} == {}
+    held = df.where(F.col("v").rlike(t.amount_pattern())).where(t.to_decimal("v").isNull())
+    assert held.count() == 0  # what the pattern lets pass is never lost by the cast
+
+
+def test_amounts_are_parsed_once(spark):
+    raw = text_frame(spark, "transacoes", [dict(cod_transacao="1", valor_transacao="1", nome_transacao="Pix", data_transacao="2024-02-29 23:59:59")])
+    plan = cleaning.clean_transactions(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and "decimal(38,10)" not in plan
+
+
+def test_every_row_is_kept_or_rejected(spark):
+    """Of each table that cleaning filters, kept rows and rejected ones add up."""
+    raw = {
+        "investimentos": text_frame(spark, "investimentos", [dict(id_investimento="1", cod_cliente="2"), dict(id_investimento=" ", cod_cliente="2"), dict(id_investimento="x", cod_cliente="2"),
+                                                             dict(id_investimento="3"), dict(id_investimento="4", cod_cliente="y")]),
+        "clientes_sinteticos": text_frame(spark, "clientes_sinteticos", [dict(cod_cliente="1"), dict(cod_cliente="x"), dict()]),
+        "agencias": text_frame(spark, "agencias", [dict(cod_agencia="1"), dict(cod_agencia="x"), dict()]),
+        "transacoes": text_frame(spark, "transacoes", [dict(cod_transacao="1", valor_transacao=v) for v in ("1", "0", "n/d", None, "1000000000000", "0.001")] + [dict(valor_transacao="1")]),
+        "ipca": text_frame(spark, "ipca", [dict(data="2025-01-01"), dict(data="01/2025"), dict()]),
+    }
+    rules = [k for k in cleaning.KEPT_IF if k.table in raw]
+    lost = {r.tabela: r.n for r in cleaning.rejects(raw, rules).groupBy("tabela").agg(F.count("*").alias("n")).collect()}
+    kept = {
+        "investimentos": cleaning.clean_product_source(raw["investimentos"], "investimentos").count(),
+        "clientes_sinteticos": cleaning.clean_synthetic_clients(raw["clientes_sinteticos"]).count(),
+        "agencias": cleaning.clean_branches(raw["agencias"], text_frame(spark, "agencias_expandidas", [dict(cod_agencia="9")])).count(),
+        "transacoes": cleaning.clean_transactions(raw["transacoes"]).count(),
+        "ipca": cleaning.clean_ipca(raw["ipca"], text_frame(spark, "ipca_projetado", [dict(tipo="REAL")])).count(),
+    }
+    assert {name: kept[name] + lost[name] for name in raw} == {name: df.count() for name, df in raw.items()}
+    assert values(cleaning.rejects(raw, [k for k in rules if k.table == "investimentos"]), "motivo") == [("chave ausente",), ("chave inválida",), ("cliente ausente",), ("cliente inválido",)]
+
+
+def test_lost_values(spark):
+    raw = {"contas": text_frame(spark, "contas", [dict(saldo_disponivel="1", data_abertura="x"), dict(saldo_disponivel=" ", data_abertura="2020-01-01"), dict(saldo_disponivel="9" * 20)])}
+    got = cleaning.lost_values(raw, {"contas": cleaning.NARROW["contas"]})
+    assert values(got, "campo", "qtd") == [("data_abertura", 1), ("data_ultimo_lancamento", 0), ("saldo_disponivel", 1)]

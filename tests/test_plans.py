@@ -63,7 +63,7 @@ def test_hot_lookup_reads_and_shuffles_the_rows_once(spark, tmp_path, frame, no_
     path = str(tmp_path / "fact")
     frame("k int, wide string", [(1, "x"), (1, "y"), (None, "z"), (2, "w")]).write.parquet(path)
     dim = frame("k int, name string", [(1, "a"), (2, "b")])
-    joined = keys.lookup(spark.read.parquet(path), dim, "k", "left", 0.4)
+    joined = keys.lookup(spark.read.parquet(path), dim, "k", "left", 1)
     assert sorted(map(tuple, joined.collect()), key=repr) == [(1, "x", "a"), (1, "y", "a"), (2, "w", "b"), (None, "z", None)]
     plan = joined._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("ReadSchema: struct<k:int,wide:string>") == 1

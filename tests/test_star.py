@@ -98,8 +98,8 @@ def test_account_fact(star):
         (1, 5, 1, 1, 1), (2, 32, 1, 2, 1), (3, 5, 3, 2, None)]
 
 
-@pytest.mark.parametrize("share", [None, 0.2])
-def test_transaction_fact_and_its_marts(frame, star, share):
+@pytest.mark.parametrize("part", [None, 1, 1 << 20])
+def test_transaction_fact_and_its_marts(frame, star, part):
     rows = [(1, 1, dt.datetime(2024, 1, 5, 10), "Pix", D("10"), "Pix", True), (2, 1, dt.datetime(2024, 1, 6), "TED", D("-30"), "TED", False),
             (3, 2, dt.datetime(2024, 2, 1), "Pix", D("5.50"), "Pix", True), (4, 77, dt.datetime(2024, 2, 1), "Pix", D("1"), "Pix", True),
             (5, 1, dt.datetime(2030, 2, 1), "Pix", D("1"), "Pix", True), (6, 4, dt.datetime(2024, 2, 1), "Pix", D("1"), "Pix", True)]
@@ -107,10 +107,10 @@ def test_transaction_fact_and_its_marts(frame, star, share):
                "canal string, flag_credito boolean", rows)
     channels = frame("sk_canal long, nome_canal string", [(1, "Pix")])
     arguments = (tx, star["cal"], star["accounts"], star["clients"], star["branches"], channels)
-    fact = facts.fact_transactions(*arguments, hot_share=share)
+    fact = facts.fact_transactions(*arguments, part_rows=part)
     assert values(fact, "cod_transacao", "sk_tempo", "sk_cliente", "sk_agencia", "sk_canal") == [
         (1, 5, 1, 1, 1), (2, 6, 1, 1, None), (3, 32, 1, 2, 1)]
-    assert facts.fact_transactions(*arguments, keep_unmatched=True, hot_share=share).count() == 6
+    assert facts.fact_transactions(*arguments, keep_unmatched=True, part_rows=part).count() == 6
 
     mix = marts.with_month_label(marts.mix_by_month(fact, star["cal"]))
     assert values(mix, "ano_mes", "nome_transacao", "volume_total", "pct_mix") == [
