@@ -1,8 +1,9 @@
 """Connected components of a graph of links, by alternating large and small stars until nothing changes.
 
 The links stay distributed; only their count and a checksum reach the driver. Each step is a minimum per node, reduced
-before its shuffle and written, joined back to the links. As the minima are a table of their own, the join has exchanges that nothing
-else leans on, and adaptive execution can split the rows of a node with very many links, or broadcast the minima where they are few.
+before its shuffle, joined back to the links. The join goes by the complement of the node, which the aggregate's shuffle does not
+serve: so it has exchanges of its own, and adaptive execution can split the rows of a node with very many links, or broadcast the
+minima where they are few.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from ledgerlake.llm.storage import stored
 
 def _stars(pairs: DataFrame) -> DataFrame:
     """pairs (u, v): v tied to the smallest of u and all of u's."""
-    least = stored(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    return pairs.join(least, "u")
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.bitwise_not("u").alias("key"), F.least("u", "m").alias("m"))
+    return pairs.withColumn("key", F.bitwise_not("u")).join(least, "key").drop("key")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = stored(_stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large_stars")
+        large = _stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         tied = _stars(large)
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(tied.select("u", F.col("m").alias("v")))
         edges = stored(small.filter("u <> v").distinct(), "stars")
