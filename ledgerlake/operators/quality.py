@@ -308,11 +308,12 @@ def totals(kpi: DataFrame, name: str, measures: dict[str, Column]) -> DataFrame:
 def reconcile(
     actual: DataFrame, expected: DataFrame, tolerance: float = 0.02, relative: float = 0.0
 ) -> DataFrame:
-    """Compare totals key by key; a key missing on one side fails."""
+    """Compare totals key by key; a key missing on one side fails. Expected totals may carry their own `tolerancia` and `relativa`."""
+    own = [F.col(c) if c in expected.columns else F.lit(float(v)).alias(c) for c, v in (("tolerancia", tolerance), ("relativa", relative))]
     a = actual.select("kpi", "campo", F.col("valor").alias("obtido"))
-    e = expected.select("kpi", "campo", F.col("valor").alias("esperado"))
+    e = expected.select("kpi", "campo", F.col("valor").alias("esperado"), *own)
     gap = F.abs(F.col("obtido") - F.col("esperado"))
-    allowed = F.greatest(F.lit(float(tolerance)), F.abs("esperado") * relative)
+    allowed = F.greatest(F.col("tolerancia"), F.abs("esperado") * F.col("relativa"))
     return a.join(e, ["kpi", "campo"], "full").select(
         "kpi", "campo", "obtido", "esperado",
         F.round(gap, 2).alias("diferenca"),

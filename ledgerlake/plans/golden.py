@@ -14,6 +14,7 @@ from ledgerlake.operators.quality import reconcile, totals
 EXPECTED = [
     ("kpi1", "qtd_agencias", 10.0),
     ("kpi1", "saldo_total", 26509620.12),
+    ("kpi2_3", "qtd_linhas", 1478.0),
     ("kpi2_3", "volume_total", 58122708.67),
     ("kpi4", "contagem_1", 468.0),
     ("kpi4", "contagem_2", 490.0),
@@ -31,11 +32,16 @@ EXPECTED = [
     ("kpi8", "qtd_meses", 155.0),
     ("kpi8", "volume_nominal", 58122708.67),
 ]
+# How far sums may lie apart, and the share of the managed balance; counts must agree.
 TOLERANCE = 0.10
+SUMS = {("kpi1", "saldo_total"), ("kpi2_3", "volume_total"), ("kpi6", "saldo_gerido"), ("kpi8", "volume_nominal")}
+SHARES = {("kpi6", "saldo_gerido"): 0.01}
 
 
 def expected_totals(spark: SparkSession) -> DataFrame:
-    return constant_rows(spark, ["kpi", "campo", "valor"], EXPECTED)
+    """mart, total, value, and how far the answer may be from it."""
+    rows = [(*row, TOLERANCE if row[:2] in SUMS else 0.0, SHARES.get(row[:2], 0.0)) for row in EXPECTED]
+    return constant_rows(spark, ["kpi", "campo", "valor", "tolerancia", "relativa"], rows)
 
 
 def actual_totals(marts: dict[str, DataFrame]) -> DataFrame:
@@ -53,7 +59,7 @@ def actual_totals(marts: dict[str, DataFrame]) -> DataFrame:
     )
     parts = [
         totals(marts["kpi1"], "kpi1", {"qtd_agencias": F.count("*"), "saldo_total": F.sum("saldo_total")}),
-        totals(marts["kpi2_3"], "kpi2_3", {"volume_total": F.sum("volume_total")}),
+        totals(marts["kpi2_3"], "kpi2_3", {"qtd_linhas": F.count("*"), "volume_total": F.sum("volume_total")}),
         counts,
         totals(marts["kpi5"], "kpi5", {"primeira_agencia": F.min_by("cod_agencia", "ranking")}),
         totals(marts["kpi6"], "kpi6", {"qtd_colaboradores": F.count("*"), "saldo_gerido": F.sum("saldo_gerido")}),

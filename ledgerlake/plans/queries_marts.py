@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions import finance
 from ledgerlake.functions import text as t
 from ledgerlake.functions.rules import AGE_BANDS
-from ledgerlake.operators import facts, marts
+from ledgerlake.operators import dimensions, facts, marts
 from ledgerlake.plans import warehouse
 from ledgerlake.plans.catalog import query
 from ledgerlake.plans.oracle import avg_money, cents, money, pct, ratio
@@ -103,6 +103,23 @@ def top_staff_report(bank):
     return warehouse.report(bank.gold, "kpi6", 20, "qtd_contas_geridas > 0").select("cod_colaborador", "saldo_gerido")
 
 
+@query("reports_in_order", f"""
+    select 'kpi5' as mart, cod_agencia::varchar as chave,
+           row_number() over (order by k.saldo_total desc, coalesce(v.volume_total, 0) desc, k.cod_agencia) as posicao
+    from ({_BALANCES}) k left join ({_VOLUMES}) v using (cod_agencia)
+    union all
+    select * from (
+      select 'kpi6', cod_colaborador::varchar, row_number() over (order by saldo desc, cod_colaborador) as posicao
+      from g_colaborador o join (select sk_colaborador, sum(saldo_total) as saldo from f_contas where computed_flag group by 1) c using (sk_colaborador)
+      where o.eh_ativo) where posicao <= 20""")
+def reports_in_order(bank):
+    """Reports as they are read, first row first: the place of each row is its place in the answer."""
+    branches = warehouse.report(bank.gold, "kpi5").select("cod_agencia").collect()  # a row for each branch
+    staff = warehouse.report(bank.gold, "kpi6", 20, "qtd_contas_geridas > 0").select("cod_colaborador").collect()
+    lines = [(mart, str(row[0]), place) for mart, rows in (("kpi5", branches), ("kpi6", staff)) for place, row in enumerate(rows, 1)]
+    return dimensions.constant_rows(bank.spark, ["mart", "chave", "posicao"], lines).withColumn("posicao", F.col("posicao").cast("bigint"))
+
+
 @query("views_over_views", f"""
     select k.uf, count(*) as agencias, sum(k.saldo_total)::double as saldo, sum(v.volume_total)::double as volume
     from ({_BALANCES}) k join ({_VOLUMES}) v using (cod_agencia) group by 1""")

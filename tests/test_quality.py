@@ -91,5 +91,9 @@ def test_golden_totals_pass_and_fail(spark, frame):
     totals = golden.actual_totals(marts)
     assert ("kpi4", "contagem_1", 3.0) in values(totals) and ("kpi5", "primeira_agencia", 8.0) in values(totals)
     assert {r.situacao for r in golden.golden_check(marts, totals).collect()} == {"APROVADO"}
+    exact = golden.golden_check(marts, totals.withColumn("valor", F.col("valor") * 1.009).withColumns({"tolerancia": F.lit(0.0), "relativa": F.lit(0.01)}))
+    assert {r.situacao for r in exact.collect()} == {"APROVADO"}
+    rules = {(r.kpi, r.campo): (r.tolerancia, r.relativa) for r in golden.expected_totals(spark).collect()}
+    assert rules["kpi6", "saldo_gerido"] == (0.1, 0.01) and rules["kpi4", "contagem_1"] == (0.0, 0.0) and ("kpi2_3", "qtd_linhas") in rules
     published = golden.golden_check(marts, golden.expected_totals(spark))
-    assert published.where("situacao = 'APROVADO'").count() == 0 and published.count() == 18
+    assert published.where("situacao = 'APROVADO'").count() == 0 and published.count() == 19
