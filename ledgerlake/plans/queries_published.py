@@ -136,8 +136,8 @@ def tables_of_layers(bank):
     writers.create_layers(bank.spark, prefix)
     held = {("bronze", "clientes"): bank.raw["clientes"], ("silver", "contas"): bank.silver["contas"]}
     for (layer, name), df in held.items():
-        writers.save_table(df.limit(1), f"{prefix}{layer}.{name}")
-        writers.save_table(df, f"{prefix}{layer}.{name}")
+        for rows in (df.limit(1), df):
+            writers.save_table(rows, f"{prefix}{layer}.{name}", bank.scratch(f"{layer}_{name}"))
     counts = [
         bank.spark.table(f"{prefix}{layer}.{name}").agg(F.count("*").alias("linhas")).select(F.lit(layer).alias("camada"), F.lit(name).alias("tabela"), "linhas")
         for layer, name in held

@@ -42,9 +42,10 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_table(df: DataFrame, name: str) -> DataFrame:
-    """Replace a catalog table, schema included."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Replace a catalog table, schema included; with a path its files lie there, not in the warehouse."""
+    writer = df.write.mode("overwrite").option("overwriteSchema", "true").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
