@@ -118,3 +118,31 @@ def sources_loaded_by_group(bank):
         text.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(f"{root}/{spec.file}")
     loaded, _ = readers.load_group(bank.spark, root, specs)
     return readers.row_counts(loaded)
+
+
+@query("raw_transactions_by_name", """
+    select (['Pix - Realizado', 'TED - Recebido', 'DOC enviado', 'Compra Credito', 'Compra Crédito', 'compra DEBITO', 'Saque ATM',
+             'Deposito em especie', 'Pagamento boleto', 'Estorno', 'Debito automatico TED', 'Tarifa agencia'])[(l_linenumber + l_suppkey) % 12 + 1] as nome,
+           count(*) as linhas, count(distinct l_orderkey * 10 + l_linenumber) as codigos,
+           count(distinct case when o_custkey % 43 = 5 then 900000000 when o_custkey % 50 = 3 then 3000100000 else 100000 end + o_custkey) as contas,
+           count(*) filter (where l_quantity = 50 and not (l_discount = 0 and l_tax = 0)) as sem_numero
+    from lineitem, orders where l_orderkey = o_orderkey group by 1""")
+def raw_transactions_by_name(bank):
+    """The raw view of transactions against the supplied tables, its rules written out a second time."""
+    return bank.raw["transacoes"].groupBy(F.trim("nome_transacao").alias("nome")).agg(
+        F.count("*").alias("linhas"), F.count_distinct("cod_transacao").alias("codigos"), F.count_distinct("num_conta").alias("contas"),
+        F.count_if(F.col("valor_transacao") == "n/d").alias("sem_numero"),
+    )
+
+
+@query("raw_accounts_by_branch", """
+    select c_nationkey::varchar as cod_agencia, count(*) as contas, count(*) filter (where c_custkey % 29 = 0) as sem_colaborador,
+           sum(case when c_custkey % 97 in (5, 6) then null when c_custkey % 97 = 7 then 12 else c_acctbal::decimal(14,2) end)::double as saldo,
+           max(date '2001-08-01' - (c_custkey * 13 % 400)::int) filter (where c_custkey % 50 <> 7)::varchar as ultimo
+    from customer group by 1""")
+def raw_accounts_by_branch(bank):
+    """The raw view of accounts, likewise."""
+    return bank.raw["contas"].groupBy("cod_agencia").agg(
+        F.count("*").alias("contas"), F.count_if(F.col("cod_colaborador").isNull()).alias("sem_colaborador"),
+        marts.money(F.when(F.col("saldo_total").rlike(t.SIGNED_NUMBER), t.to_decimal("saldo_total"))).alias("saldo"), F.max("data_ultimo_lancamento").alias("ultimo"),
+    )
