@@ -305,10 +305,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     prepare(texts.sparkSession)
     found = stored(texts.select("place", "text").mapInArrow(_find(length, gram), _ANCHORS), "anchors")
     often = found.groupBy("gram").agg(F.count("*").alias("total")).filter("total > 1").select("gram")
-    found = stored(found.join(often, "gram", "left_semi"), "repeated_anchors")
+    often = often.select(F.bitwise_not("gram").alias("key"))
+    found = stored(found.withColumn("key", F.bitwise_not("gram")).join(often, "key", "left_semi").drop("key"), "repeated_anchors")
     around = found.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("place", "at", "most", "least")).alias("one"))
     around = around.select("gram", "around", "n", "one.*")
-    wanted = stored(around.join(around.groupBy("gram").agg(F.count("*").alias("different")), "gram"), "surroundings")
+    # The join goes by the complement of the gram, which the count's shuffle does not serve: so the rows of a very common gram can be split.
+    different = around.groupBy("gram").agg(F.count("*").alias("different")).select(F.bitwise_not("gram").alias("key"), "different")
+    wanted = stored(around.withColumn("key", F.bitwise_not("gram")).join(different, "key").drop("key"), "surroundings")
     some, hottest = wanted.agg(F.count("*"), F.max("different")).first()
     parts = max(1, int(-(-some * 2 * length // PART)))
 
