@@ -72,27 +72,31 @@ def fact_transactions(
     keep_unmatched: bool = False,
     part_rows: int | None = PART_ROWS,
 ) -> DataFrame:
-    """`keep_unmatched` gives the variant whose lookups are all left joins."""
+    """`keep_unmatched` gives the variant whose lookups are all left joins.
+
+    Day and channel become keys first, so that the one shuffle, by account, moves neither instants nor names of channels.
+    """
     how = "left" if keep_unmatched else "inner"
-    owned = lookup(
-        transactions, resolve_accounts(accounts, clients, branches), "num_conta", how, part_rows
-    )
-    return build_fact(
-        owned,
+    placed = build_fact(
+        transactions,
         [
             Lookup(cal, "data", "sk_tempo", F.col("data_transacao").cast("date"), how),
             Lookup(channels, "nome_canal", "sk_canal", "canal", "left"),
         ],
-        [
-            "sk_cliente",
-            "sk_agencia",
-            "cod_transacao",
-            "num_conta",
-            "nome_transacao",
-            "valor_transacao",
-            F.abs("valor_transacao").alias("valor_absoluto"),
-            "flag_credito",
-        ],
+        ["cod_transacao", "num_conta", "nome_transacao", "valor_transacao", "flag_credito"],
+    )
+    owned = lookup(placed, resolve_accounts(accounts, clients, branches), "num_conta", how, part_rows)
+    return owned.select(
+        "sk_tempo",
+        "sk_canal",
+        "sk_cliente",
+        "sk_agencia",
+        "cod_transacao",
+        "num_conta",
+        "nome_transacao",
+        "valor_transacao",
+        F.abs("valor_transacao").alias("valor_absoluto"),
+        "flag_credito",
     )
 
 

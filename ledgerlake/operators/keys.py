@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.session import stored
@@ -65,14 +65,31 @@ def current_rows(dim: DataFrame, flag: str = "eh_registro_atual") -> DataFrame:
 PART_ROWS = 1 << 20
 
 
+def _counted_keys(fact: DataFrame, key: str, part_rows: int) -> tuple[DataFrame, int]:
+    """The hot keys, and the rows of all keys, seen while those are counted."""
+    seen = Observation()
+    counts = fact.groupBy(key).agg(F.count("*").alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    hot = counts.where(F.col("_n") > part_rows).select(key, F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts"))
+    return stored(hot, "hot_keys"), seen.get["rows"] or 0
+
+
 def hot_keys(fact: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
     """Keys with more than `part_rows` rows, NULL among them, and the parts to spread them over.
 
     There are fewer of them than tasks of that many rows, so they fit everywhere. They are counted in a scan of that column
     alone and written once.
     """
-    counts = fact.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > part_rows)
-    return stored(counts.select(key, F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")), "hot_keys")
+    return _counted_keys(fact, key, part_rows)[0]
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """`df`, one side of a join on `keys` over `rows` rows, in tasks of about `PART_ROWS` of them.
+
+    Left to Spark where the session shuffles into enough tasks for that; else a task would take a share of the table, and
+    its sort would spill the more, the larger the table.
+    """
+    parts = -(-rows // PART_ROWS)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def lookup(
@@ -88,8 +105,8 @@ def lookup(
     Rows without a key match nothing; in a left join they are spread by the hash of `spread_by` (all columns by default)
     over as many parts as the session shuffles into, so that they do not go to one task. With `part_rows` keys are counted
     first: a key with more rows, or all rows without one, are spread over parts of that size, and the one dimension row
-    of a spread key is repeated for each of its parts. The rows themselves are read and shuffled once. Nothing is salted
-    at random, so a retried task sees the same rows.
+    of a spread key is repeated for each of its parts. The rows themselves are read and shuffled once, into tasks of
+    about `PART_ROWS`. Nothing is salted at random, so a retried task sees the same rows.
     """
     mark = F.xxhash64(*(spread_by or fact.columns))
     if part_rows is None:
@@ -98,9 +115,11 @@ def lookup(
         parts = F.lit(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         rows = fact.withColumn("_part", F.when(F.col(key).isNull(), F.pmod(mark, parts)).otherwise(0).cast("int"))
         return rows.join(dim.withColumn("_part", F.lit(0)), [key, "_part"], how).drop("_part")
-    hot = F.broadcast(hot_keys(fact, key, part_rows).withColumnRenamed(key, "_hot"))
+    counted, total = _counted_keys(fact, key, part_rows)
+    hot = F.broadcast(counted.withColumnRenamed(key, "_hot"))
     marked = fact.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left")
     rows = marked.withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(mark, F.col("_parts"))).otherwise(0).cast("int"))
     every = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
     sides = dim.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_part", F.explode(every)).drop("_hot", "_parts")
-    return rows.drop("_hot", "_parts").join(sides, [key, "_part"], how).drop("_part")
+    both = [dealt(side, total, key, "_part") for side in (rows.drop("_hot", "_parts"), sides)]
+    return both[0].join(both[1], [key, "_part"], how).drop("_part")

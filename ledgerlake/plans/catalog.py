@@ -72,7 +72,8 @@ class Bank:
 
     @property
     def silver(self) -> StoredTables:
-        return self._layer("silver", lambda: warehouse.silver_layer(self.raw, self.root))
+        """Cleaned straight from the views over the supplied tables: raw text is stored only for queries that read it as such."""
+        return self._layer("silver", lambda: warehouse.silver_layer(warehouse.Plans(self.raw), self.root))
 
     @property
     def gold(self) -> StoredTables:

@@ -49,6 +49,10 @@ class StoredTables(Mapping):
                 )
             return self._stored[name]
 
+    def plan(self, name: str) -> DataFrame:
+        """The stored copy if there is one, else the table as a plan, which is not stored for that."""
+        return self._stored[name] if name in self._stored else self._makers[name]()
+
     def __iter__(self):
         return iter(self._makers)
 
@@ -62,6 +66,22 @@ class StoredTables(Mapping):
         return self
 
 
+class Plans(Mapping):
+    """The tables of a layer for readers that read each once: what is not stored yet is planned, not written first."""
+
+    def __init__(self, tables: StoredTables):
+        self._tables = tables
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables.plan(name)
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 def silver(raw: Tables, as_of: dt.date = REFERENCE_DAY) -> Makers:
     """How to make each clean table; nothing is planned until one is called."""
     return {

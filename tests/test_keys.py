@@ -39,6 +39,16 @@ def test_lookup_gives_the_same_rows_whatever_the_skew(frame, skewed, how, part):
     assert got == sorted(expected, key=repr)
 
 
+def test_large_joins_are_dealt_by_their_rows(frame, monkeypatch):
+    """Tasks of a join grow in number with its rows, also where the session shuffles into few."""
+    monkeypatch.setattr(keys, "PART_ROWS", 50)
+    fact, dim = frame("k int, n int", [(i % 250, i) for i in range(500)]), frame("k int, v int", [(i, -i) for i in range(250)])
+    joined = keys.lookup(fact, dim, "k", "inner", 50)
+    assert joined.rdd.getNumPartitions() == 10
+    assert values(joined, "k", "n", "v") == sorted([(i % 250, i, -(i % 250)) for i in range(500)], key=repr)
+    assert keys.dealt(fact, 4 * keys.PART_ROWS, "k") is fact
+
+
 def test_hot_branch_disappears_when_no_key_is_hot(frame):
     fact = frame("k int, n int", [(i % 50, i) for i in range(500)])
     dim = frame("k int, v int", [(i, i) for i in range(50)])

@@ -79,6 +79,19 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, frame):
     assert "other" not in plan.split("ReadSchema")[1].split("\n")[0]
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
+def test_facts_store_no_raw_transactions(spark, monkeypatch):
+    """Raw text is read once for the clean table, so it is not written first; the account shuffle moves keys only."""
+    monkeypatch.setattr(catalog, "_LAYERS", {})
+    bank = catalog.Bank(spark, FOLDER)
+    gold = bank.gold["fato_transacoes"]
+    assert gold.count() and "transacoes" in bank.silver._stored and "transacoes" not in bank.raw._stored
+    clean = bank.silver["transacoes"]
+    plan = physical(facts.fact_transactions(clean, bank.gold["dim_tempo"], bank.silver["contas"], bank.gold["dim_cliente"],
+                                            bank.gold["dim_agencia"], bank.gold["dim_canal"]))
+    assert plan.index("[num_conta") < plan.index("data_transacao")  # the day's key is there before rows move by account
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 def test_audits_read_each_table_once(spark):
     from ledgerlake.operators import findings, quality
