@@ -266,13 +266,14 @@ def product_fact(
     table: str,
     cal: DataFrame,
     clients: DataFrame,
-    branches: DataFrame,
-    products: DataFrame,
-    channels: DataFrame,
+    branches: DataFrame | None,
+    products: DataFrame | None,
+    channels: DataFrame | None,
 ) -> DataFrame:
     """A cleaned product source as a fact: its keys resolved, all its other columns as they are.
 
-    Calendar, client and product must be known; branch and channel may be missing.
+    Calendar, client and product must be known; branch and channel may be missing. A dimension that the table has no
+    key of may be None.
     """
     day, has_product, has_branch, has_channel = PRODUCT_FACTS[table]
     lookups = [

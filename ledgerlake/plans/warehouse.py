@@ -160,11 +160,18 @@ def gold_layer(
             raw["propostas_credito"], g("dim_tempo"), g("dim_cliente"), g("dim_colaborador")
         ),
     }
-    makers["dim_produto"] = lambda: small_surrogate_key(dimensions.dim_product(g("dim_canal").sparkSession), "cod_produto", "sk_produto")
-    for name in sorted(set(facts.PRODUCT_FACTS) & set(clean)):
-        makers[f"fato_{name}"] = lambda name=name: facts.product_fact(
-            c(name), name, g("dim_tempo"), g("dim_cliente"), g("dim_agencia"), g("dim_produto"), g("dim_canal")
+    makers["dim_produto"] = lambda: small_surrogate_key(dimensions.dim_product(cal().sparkSession), "cod_produto", "sk_produto")
+
+    def product(name: str) -> DataFrame:
+        """Only the dimensions that this fact has a key of are asked for, and so made."""
+        _, has_product, has_branch, has_channel = facts.PRODUCT_FACTS[name]
+        linked = (("dim_agencia", has_branch), ("dim_produto", has_product), ("dim_canal", has_channel))
+        return facts.product_fact(
+            c(name), name, g("dim_tempo"), g("dim_cliente"), *[g(dim) if used else None for dim, used in linked]
         )
+
+    for name in sorted(set(facts.PRODUCT_FACTS) & set(clean)):
+        makers[f"fato_{name}"] = lambda name=name: product(name)
     layer = StoredTables(_stamped(makers, GOLD_STAMP), f"{root}/gold", {"fato_transacoes": ["ano_mes"]} if partition_facts else {})
     return layer
 

@@ -92,6 +92,15 @@ def test_facts_store_no_raw_transactions(spark, monkeypatch):
     assert plan.index("[num_conta") < plan.index("data_transacao")  # the day's key is there before rows move by account
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
+def test_facts_without_a_channel_read_no_transactions(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_LAYERS", {})
+    bank = catalog.Bank(spark, FOLDER)
+    assert bank.gold["fato_cartoes"].count()
+    assert "dim_canal" not in bank.gold._stored and "transacoes" not in bank.silver._stored
+    assert not {"cartoes", "transacoes"} & set(bank.raw._stored)
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 def test_audits_read_each_table_once(spark):
     from ledgerlake.operators import findings, quality
