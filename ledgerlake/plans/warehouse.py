@@ -142,7 +142,10 @@ def gold_layer(
         "dim_municipio": lambda: dimensions.dim_municipality(
             raw["municipios"], raw["populacao"], raw["pib_municipal"]
         ),
-        "dim_canal": lambda: dimensions.dim_channel(c("transacoes")),
+        # Only names are read, so a clean table that nothing else has asked for is not written for them.
+        "dim_canal": lambda: dimensions.dim_channel(
+            (clean.plan("transacoes") if isinstance(clean, StoredTables) else clean["transacoes"]).drop(SILVER_STAMP)
+        ),
         "dim_agencia": lambda: dimensions.link_municipality(
             dimensions.dim_branch(c("agencias")), g("dim_municipio")
         ),

@@ -101,6 +101,15 @@ def test_facts_without_a_channel_read_no_transactions(spark, monkeypatch):
     assert not {"cartoes", "transacoes"} & set(bank.raw._stored)
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
+def test_channels_are_listed_without_storing_the_transactions(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_LAYERS", {})
+    bank = catalog.Bank(spark, FOLDER)
+    listed = [r.nome_canal for r in bank.gold["dim_canal"].orderBy("sk_canal").collect()]
+    assert "transacoes" not in bank.silver._stored and "transacoes" not in bank.raw._stored
+    assert listed == [r.canal for r in bank.silver["transacoes"].select("canal").distinct().orderBy("canal").collect()]
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 def test_audits_read_each_table_once(spark):
     from ledgerlake.operators import findings, quality
