@@ -18,11 +18,11 @@ def latest_per_key(
     """One row per key: the greatest by `order_by`, ties settled by all other columns.
 
     Ranks are limited to the first before the shuffle, so each map task reduces a
-    hot key to one row.
+    hot key to one row. Ties go column by column: a struct of them would travel as a second copy of each row.
     """
-    rest = [c for c in df.columns if c not in keys]
+    given = {*keys, *[c for c in order_by if isinstance(c, str)]}
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ties = [F.struct(*rest).desc()] if rest else []
+    ties = [F.desc(c) for c in df.columns if c not in given]
     first = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order], *ties, *([] if order or ties else list(keys)))
     return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 

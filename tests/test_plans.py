@@ -52,6 +52,15 @@ def test_latest_row_is_reduced_map_side(frame):
     assert plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning")) > 0 and "Partial" in plan
 
 
+def test_latest_row_moves_each_column_once(frame):
+    """Columns that settle ties are sorted as they are, not as a struct that repeats the row in sorts and shuffles."""
+    rows = [(1, 1, "b", None), (1, 1, "b", 2), (1, 1, "a", 9), (2, None, "c", 1), (2, 0, None, 1), (None, 3, "d", 4)]
+    latest = keys.latest_per_key(frame("k int, at int, name string, v int", rows), ["k"], ["at"])
+    assert sorted(map(tuple, latest.collect()), key=repr) == [(1, 1, "b", 2), (2, 0, None, 1), (None, 3, "d", 4)]
+    plan = physical(latest)
+    assert "struct(" not in plan and "_w0" not in plan
+
+
 def test_numbering_needs_no_one_task_window_over_rows(frame):
     numbered = keys.number_rows(frame("k int", [(3,), (1,)]), ["k"], "sk")
     plan = physical(numbered)
