@@ -62,7 +62,7 @@ def resolve_accounts(accounts: DataFrame, clients: DataFrame, branches: DataFram
     )
 
 
-def fact_transactions(
+def place_transactions(
     transactions: DataFrame,
     cal: DataFrame,
     accounts: DataFrame,
@@ -72,9 +72,10 @@ def fact_transactions(
     keep_unmatched: bool = False,
     part_rows: int | None = PART_ROWS,
 ) -> DataFrame:
-    """`keep_unmatched` gives the variant whose lookups are all left joins.
+    """Transactions with the keys of their dimensions, without the measures that are computed from others.
 
-    Day and channel become keys first, so that the one shuffle, by account, moves neither instants nor names of channels.
+    `keep_unmatched` gives the variant whose lookups are all left joins. Day and channel become keys first, so that the
+    one shuffle, by account, moves neither instants nor names of channels.
     """
     how = "left" if keep_unmatched else "inner"
     placed = build_fact(
@@ -95,11 +96,31 @@ def fact_transactions(
         "num_conta",
         "nome_transacao",
         "valor_transacao",
-        F.abs("valor_transacao").alias("valor_absoluto"),
         "flag_credito",
     )
 
 
+def transaction_measures(placed: DataFrame) -> DataFrame:
+    """The same rows with their absolute amount beside the signed one."""
+    at = placed.columns.index("valor_transacao") + 1
+    return placed.select(*placed.columns[:at], F.abs("valor_transacao").alias("valor_absoluto"), *placed.columns[at:])
+
+
+def fact_transactions(
+    transactions: DataFrame,
+    cal: DataFrame,
+    accounts: DataFrame,
+    clients: DataFrame,
+    branches: DataFrame,
+    channels: DataFrame,
+    keep_unmatched: bool = False,
+    part_rows: int | None = PART_ROWS,
+) -> DataFrame:
+    return transaction_measures(
+        place_transactions(transactions, cal, accounts, clients, branches, channels, keep_unmatched, part_rows)
+    )
+
+
 def fact_accounts(
     accounts: DataFrame,
     cal: DataFrame,

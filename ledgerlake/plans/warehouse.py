@@ -20,7 +20,7 @@ from ledgerlake.functions.rules import AGE_BANDS
 from ledgerlake.operators import cleaning, dimensions, facts, marts
 from ledgerlake.operators.keys import small_surrogate_key
 from ledgerlake.sources.readers import with_stamp
-from ledgerlake.sources.writers import overwrite, publish_view
+from ledgerlake.sources.writers import laid_out, overwrite, publish_view
 
 # The columns that hold the time a clean or final table was written.
 SILVER_STAMP, GOLD_STAMP = "_silver_ts", "_carga_ts"
@@ -32,6 +32,8 @@ Makers = dict[str, Callable[[], DataFrame]]
 class StoredTables(Mapping):
     """Tables of one layer, each written when first asked for and read back from then on.
 
+    Makers of `partitioned` tables deal their rows by `laid_out` themselves.
+
     A stored table cuts the lineage, survives lost executors, and gives the next
     layer real sizes to plan with.
     """
@@ -45,7 +47,7 @@ class StoredTables(Mapping):
         with self._locks[name]:
             if name not in self._stored:
                 self._stored[name] = overwrite(
-                    self._makers[name](), f"{self._root}/{name}", self._partitioned.get(name, ())
+                    self._makers[name](), f"{self._root}/{name}", self._partitioned.get(name, ()), placed=True
                 )
             return self._stored[name]
 
@@ -153,9 +155,7 @@ def gold_layer(
             dimensions.dim_client(c("clientes"), c("clientes_sinteticos")), g("dim_municipio")
         ),
         "dim_colaborador": lambda: dimensions.dim_staff(c("colaboradores"), g("dim_agencia")),
-        "fato_transacoes": lambda: facts.fact_transactions(
-            c("transacoes"), g("dim_tempo"), c("contas"), g("dim_cliente"), g("dim_agencia"), g("dim_canal")
-        ).withColumn("ano_mes", _month_of_key(g("dim_tempo"))),
+        "fato_transacoes": lambda: transactions(),
         "fato_contas": lambda: facts.fact_accounts(
             c("contas"), g("dim_tempo"), g("dim_cliente"), g("dim_agencia"), g("dim_colaborador"), as_of, all_active
         ),
@@ -165,6 +165,16 @@ def gold_layer(
     }
     makers["dim_produto"] = lambda: small_surrogate_key(dimensions.dim_product(cal().sparkSession), "cod_produto", "sk_produto")
 
+    def transactions() -> DataFrame:
+        """Dealt by month before measures and stamp are added, so that those are not moved."""
+        found = facts.place_transactions(
+            c("transacoes"), g("dim_tempo"), c("contas"), g("dim_cliente"), g("dim_agencia"), g("dim_canal")
+        ).withColumn("ano_mes", _month_of_key(g("dim_tempo")))
+        if partition_facts:
+            rows = c("transacoes").count()  # read from the footers
+            found = laid_out(found, ["ano_mes"], rows, ["cod_transacao"])
+        return facts.transaction_measures(found)
+
     def product(name: str) -> DataFrame:
         """Only the dimensions that this fact has a key of are asked for, and so made."""
         _, has_product, has_branch, has_channel = facts.PRODUCT_FACTS[name]

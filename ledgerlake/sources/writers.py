@@ -24,19 +24,30 @@ def create_layers(spark: SparkSession, prefix: str = "", layers: Sequence[str] =
     return names
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Replace a table, schema included, and hand back the written copy."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+# Rows that a task sorts for a partitioned table: a bound in rows, as the session's advisory size bounds bytes before they are unpacked.
+SORTED_ROWS = 1 << 19
+
+
+def laid_out(df: DataFrame, partition_by: Sequence[str], rows: int | None = None, split_by: Sequence[str] = ()) -> DataFrame:
+    """Rows dealt for a table partitioned by these columns; what is computed from the result is not moved for it.
+
+    One task per partition value would make a hot month a bottleneck, and a task per row group would write many small
+    files. Rebalancing lets adaptive execution split big partition values and merge small ones. With `rows`, at least as
+    many as there are, a table with enough for every core is dealt by ranges of about `SORTED_ROWS` instead, so that the
+    sort of a task fits in little memory; `split_by` parts the rows of one value.
+    """
+    tasks = -(-(rows or 0) // SORTED_ROWS)
+    if tasks > df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartitionByRange(tasks, *partition_by, *split_by)
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), placed: bool = False) -> DataFrame:
+    """Replace a table, schema included, and hand back the written copy. `placed` rows were dealt by `laid_out` already."""
+    dealt = laid_out(df, partition_by) if partition_by and not placed else df
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     if partition_by:
-        # One task per partition value would make a hot month a bottleneck, and a
-        # task per row group would write many small files. Rebalancing lets
-        # adaptive execution split big partition values and merge small ones.
-        writer = (
-            df.hint("rebalance", *[F.col(c) for c in partition_by])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*partition_by)
-        )
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     # The schema is known, so no job has to read it back from the files.
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,8 @@ import pytest
 from compare import DATA
 
 from ledgerlake.operators import dimensions, facts, keys, marts
-from ledgerlake.plans import catalog
+from ledgerlake.plans import catalog, warehouse
+from ledgerlake.sources import writers
 
 FOLDER = f"{DATA}/sf0.001"
 catalog.load()
@@ -101,6 +102,34 @@ def test_facts_store_no_raw_transactions(spark, monkeypatch):
     assert plan.index("[num_conta") < plan.index("data_transacao")  # the day's key is there before rows move by account
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
+@pytest.mark.parametrize("few", [False, True])
+def test_the_fact_moves_by_month_without_what_is_computed_from_it(spark, monkeypatch, few):
+    """Its measures and its stamp are added after the rows are dealt by month, whichever way they are dealt."""
+    monkeypatch.setattr(catalog, "_LAYERS", {})
+    monkeypatch.setattr(writers, "SORTED_ROWS", 100 if few else writers.SORTED_ROWS)
+    bank, handed = catalog.Bank(spark, FOLDER), {}
+    write = warehouse.overwrite
+
+    def seen(df, path, *given, **named):
+        handed[os.path.basename(path)] = (df, named)
+        return write(df, path, *given, **named)
+
+    monkeypatch.setattr(warehouse, "overwrite", seen)
+    stored = bank.gold["fato_transacoes"]
+    df, named = handed["fato_transacoes"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    above, dealt = physical(df).split("rangepartitioning(ano_mes" if few else "hashpartitioning(ano_mes", 1)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert named == {"placed": True} and "Exchange" not in above.rsplit("Exchange", 1)[0]
+    for made in ("abs(valor_transacao", "_carga_ts"):
+        assert made in above and made not in dealt
+    plain = facts.fact_transactions(bank.silver["transacoes"], bank.gold["dim_tempo"], bank.silver["contas"], bank.gold["dim_cliente"],
+                                    bank.gold["dim_agencia"], bank.gold["dim_canal"])
+    assert stored.columns[:-2] == plain.columns
+    assert stored.count() == plain.count() and stored.select(plain.columns).exceptAll(plain).isEmpty()
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="supplied tables not found")
 def test_facts_without_a_channel_read_no_transactions(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_LAYERS", {})

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from compare import values
+from pyspark.sql import functions as F
 
 from ledgerlake.sources import readers, writers
 from ledgerlake.sources.tables import bank_specs, layout
@@ -66,6 +67,20 @@ def test_partitioned_refresh_drops_old_partitions(frame, tmp_path):
     assert values(again, "a", "m") == [(3, "x")]
 
 
+def test_a_busy_partition_is_sorted_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """A task sorts by rows, not by what a session takes packed bytes to hold; the rows of one value are parted."""
+    monkeypatch.setattr(writers, "SORTED_ROWS", 50)
+    path, rows = str(tmp_path / "t"), spark.range(2000).selectExpr("id", "if(id % 10 = 0, 'y', 'x') as m", "-id as v")
+    dealt = writers.laid_out(rows, ["m"], 2000, ["id"])
+    again = writers.overwrite(dealt.withColumn("size", -dealt["v"]), path, ["m"], placed=True)
+    assert again.where("size = id").groupBy("m").count().orderBy("m").collect() == [("x", 1800), ("y", 200)]
+    assert again.count() == again.distinct().count() == 2000
+    files = [f for f in os.listdir(f"{path}/m=x") if f.startswith("part-")]
+    assert 25 <= len(files) <= 45
+    per_task = [r[1] for r in again.groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task")).count().collect()]
+    assert max(per_task) <= 150
+
+
 def test_catalog_tables_and_layers(spark, frame):
     names = writers.create_layers(spark, "t_", ["bronze"])
     writers.save_table(frame("a int", [(1,)]), "t_bronze.x")
