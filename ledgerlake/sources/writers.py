@@ -25,7 +25,7 @@ def create_layers(spark: SparkSession, prefix: str = "", layers: Sequence[str] =
 
 
 # Rows that a task sorts for a partitioned table: a bound in rows, as the session's advisory size bounds bytes before they are unpacked.
-SORTED_ROWS = 1 << 19
+SORTED_ROWS = 1 << 20
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], rows: int | None = None, split_by: Sequence[str] = ()) -> DataFrame:
